@@ -66,9 +66,14 @@ def visible(html: Column) -> Column:
 
 # --- entities ---------------------------------------------------------------
 
-_COMMON = {"nbsp;": "\u00a0", "quot;": '"', "lt;": "<", "gt;": ">", "apos;": "'"}
 _LEGACY = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
-_NAMED = {f"{n};": chr(c) for n, c in name2codepoint.items()} | {n: html5[n] for n in _LEGACY}
+# Common names come first, as the lookup goes through them in order. An ampersand
+# stays spelled out until all else is decoded.
+_NAMED = {"nbsp;": "\u00a0", "quot;": '"', "amp;": "&amp;", "lt;": "<", "gt;": ">", "apos;": "'"}
+_NAMED |= {f"{n};": chr(c) for n, c in name2codepoint.items() if f"{n};" not in _NAMED}
+_NAMED |= {n: html5[n] for n in _LEGACY} | {"amp": "&amp;", "AMP": "&amp;"}
+# One literal, which the optimizer folds into a map.
+_NAMED_TEXT = "\n".join(f"{name}={char}" for name, char in _NAMED.items())
 _REFERENCE = r"^(?:#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 _REFERENCE_IN_TEXT = rf"{_REFERENCE}|^(?:{'|'.join(_LEGACY)})"
 _MAX = 2**31 - 1
@@ -91,17 +96,13 @@ def decode_entities(text: Column, in_attribute: bool = False) -> Column:
     references other than ``&amp;`` is looked at piece by piece.
     """
     pattern = _REFERENCE if in_attribute else _REFERENCE_IN_TEXT
-    named = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    named = F.str_to_map(F.lit(_NAMED_TEXT), F.lit("\n"), F.lit("="))
 
     def shown(name: Column) -> Column:
         digits = F.regexp_extract(name, r"^#[xX]?([0-9a-fA-F]+)", 1)
-        chain = F.when(name == "", None).when(name.isin("amp;", "amp"), "&amp;")
-        for key, char in _COMMON.items():
-            chain = chain.when(name == key, char)
-        return (
-            chain.when(name.rlike("^#[xX]"), _character(F.conv(digits, 16, 10).cast("bigint")))
-            .when(name.startswith("#"), _character(digits.cast("bigint")))
-            .otherwise(F.try_element_at(named, name))
+        code = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        return F.when(name.startswith("#"), _character(code.cast("bigint"))).otherwise(
+            F.try_element_at(named, name)
         )
 
     def piece(part: Column, i: Column) -> Column:

@@ -10,28 +10,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions.plan import computed_once
 from ..profiles import LENIENT, STRICT, LenientProfile, StrictProfile
 
 
-def _computed_once(df: DataFrame, *columns: Column) -> DataFrame:
-    """A projection that later filters cannot be pushed through.
+def _visible(pages: DataFrame) -> DataFrame:
+    return computed_once(pages, F.col("url"), H.visible(F.col("html")).alias("page"))
 
-    The optimizer would otherwise repeat the extraction inside the filter on its
-    result and run every expression twice per row.
-    """
-    return df.select(F.inline(F.array(F.struct(*columns))))
 
+def _mentions(pages: DataFrame, *tags: str) -> DataFrame:
+    """Pages whose raw text has all of these tags; a cheap look before the real one."""
+    for tag in tags:
+        pages = pages.filter(F.col("html").rlike(rf"(?i)<{tag}[\s/>]"))
+    return pages
 
-def _visible(pages: DataFrame, headline_tag: str) -> DataFrame:
-    return pages.filter(F.col("html").rlike(rf"(?i)<{headline_tag}[\s/>]")).select(
-        "url", H.visible(F.col("html")).alias("page")
-    )
+
+def _has(tag: str) -> Column:
+    return F.col("page").rlike(H.tag_pattern(tag))
 
 
-def _headline(page: Column, tag: str) -> Column:
-    opening = H.tag_pattern(tag)
-    inner = F.regexp_extract(page, rf"{opening}(.*?)(?:</{tag}\s*>|\z)", 2)
-    return F.when(page.rlike(opening), H.element_text(inner))
+def _headline(tag: str) -> Column:
+    pattern = rf"{H.tag_pattern(tag)}(.*?)(?:</{tag}\s*>|\z)"
+    return H.element_text(F.regexp_extract("page", pattern, 2)).alias("headline")
 
 
 def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> DataFrame:
@@ -45,10 +45,10 @@ def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> Data
     author = H.attribute_pattern("class", profile.author_class_part, "contains")
     published = H.attribute_pattern("property", profile.published_property)
     texts = H.paragraphs(H.inside_all(page, profile.container))
-    return _computed_once(
-        _visible(pages, profile.headline_tag),
-        F.col("url"),
-        _headline(page, profile.headline_tag).alias("headline"),
+    found = _visible(_mentions(pages, profile.headline_tag)).filter(_has(profile.headline_tag))
+    return found.select(
+        "url",
+        _headline(profile.headline_tag),
         F.when(
             H.has_tag(page, author, profile.author_class_part),
             H.element_text(H.inner_html(page, author)),
@@ -58,34 +58,19 @@ def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> Data
             H.attribute(H.first_tag(page, published), "content"),
         ).alias("publish_time"),
         F.array_join(F.filter(texts, lambda t: t != ""), profile.joiner).alias("article_content"),
-    ).filter(F.col("headline").isNotNull())
+    )
+
 
+def _wrapper_text(profile: StrictProfile) -> Column:
+    """Paragraphs of the first wrapper class present, even if another holds more.
 
-def _wrapper(page: Column, profile: StrictProfile) -> Column:
-    """Inner HTML of the first wrapper class present, even if another holds more."""
-    chosen = None
+    Null if no wrapper is present.
+    """
+    page, chosen = F.col("page"), F
     for name in profile.wrapper_classes:
         pattern = H.attribute_pattern("class", name, "has")
-        inner = H.inner_html(page, pattern)
-        present = H.has_tag(page, pattern, name)
-        chosen = F.when(present, inner) if chosen is None else chosen.when(present, inner)
-    return chosen
-
-
-def _strict_fields(pages: DataFrame, profile: StrictProfile) -> DataFrame:
-    page = F.col("page")
-    return _computed_once(
-        pages,
-        F.col("url"),
-        _headline(page, profile.headline_tag).alias("headline"),
-        page.rlike(H.tag_pattern(profile.time_tag)).alias("has_time"),
-        H.attribute(
-            H.first_tag(page, H.tag_pattern(profile.time_tag)), profile.time_attribute
-        ).alias("date_published"),
-        F.array_join(H.paragraphs(_wrapper(page, profile)), profile.joiner).alias(
-            "article_content"
-        ),
-    )
+        chosen = chosen.when(H.has_tag(page, pattern, name), H.inner_html(page, pattern))
+    return F.array_join(H.paragraphs(chosen), profile.joiner).alias("article_content")
 
 
 def extract_strict(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFrame:
@@ -95,10 +80,15 @@ def extract_strict(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFra
     element without date attribute stays with a null date. Empty paragraphs take part
     in the join, so two of them give a single space, which counts as content.
     """
-    likely = F.col("html").rlike(rf"(?i)<{profile.time_tag}[\s/>]")
-    fields = _strict_fields(_visible(pages.filter(likely), profile.headline_tag), profile)
-    return fields.filter("headline is not null and has_time and article_content <> ''").drop(
-        "has_time"
+    tags = profile.headline_tag, profile.time_tag
+    found = _visible(_mentions(pages, *tags)).filter(_has(tags[0]) & _has(tags[1]))
+    full = computed_once(found, F.col("url"), F.col("page"), _wrapper_text(profile))
+    time = H.first_tag(F.col("page"), H.tag_pattern(profile.time_tag))
+    return full.filter("article_content <> ''").select(
+        "url",
+        _headline(profile.headline_tag),
+        H.attribute(time, profile.time_attribute).alias("date_published"),
+        "article_content",
     )
 
 
@@ -107,12 +97,10 @@ def extract_rejects(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFr
 
     The reason is the first that applies: ``no_h1``, ``no_time``, ``no_content``.
     """
-    fields = _strict_fields(
-        pages.select("url", H.visible(F.col("html")).alias("page")), profile
-    )
     reason = (
-        F.when(F.col("headline").isNull(), "no_h1")
-        .when(~F.col("has_time"), "no_time")
-        .when(F.coalesce(F.col("article_content"), F.lit("")) == "", "no_content")
+        F.when(~_has(profile.headline_tag), "no_h1")
+        .when(~_has(profile.time_tag), "no_time")
+        .when(F.coalesce(_wrapper_text(profile), F.lit("")) == "", "no_content")
     )
-    return fields.select("url", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    found = computed_once(_visible(pages), F.col("url"), reason.alias("reason"))
+    return found.filter("reason is not null")

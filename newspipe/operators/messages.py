@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from ..functions.plan import computed_once
 
 # What the batch fetch and the publisher ask for by default.
 BATCH_QUERY = {"country": "us", "category": "crime", "language": "en"}
 PUBLISH_QUERY = {"category": "crime", "language": "en"}
 
+# Where from_json puts the text of a message it cannot read.
 _CORRUPT = "_corrupt_record"
 
 
@@ -78,17 +80,19 @@ def _parsed(wire: DataFrame, schema: StructType) -> DataFrame:
     record = F.from_json(text, fields, {"columnNameOfCorruptRecord": _CORRUPT})
     # from_json would take the first element of a JSON array as the record.
     is_object = text.rlike(r"^\s*\{") & F.call_function("is_valid_utf8", text)
-    return wire.select("*", F.when(is_object, record).alias("record"))
+    return computed_once(wire, F.col("value"), F.when(is_object, record).alias("record"))
+
+
+def _readable() -> Column:
+    return F.col("record").isNotNull() & F.col(f"record.{_CORRUPT}").isNull()
 
 
 def from_wire(wire: DataFrame, schema: StructType) -> DataFrame:
     """The records of readable messages; keys that are not in the schema are ignored."""
-    good = F.col("record").isNotNull() & F.col(f"record.{_CORRUPT}").isNull()
-    parsed = _parsed(wire, schema).filter(good)
+    parsed = _parsed(wire, schema).filter(_readable())
     return parsed.select(*[F.col(f"record.`{name}`") for name in schema.names])
 
 
 def wire_rejects(wire: DataFrame, schema: StructType) -> DataFrame:
     """``value`` of the messages that ``from_wire`` leaves out."""
-    good = F.col("record").isNotNull() & F.col(f"record.{_CORRUPT}").isNull()
-    return _parsed(wire, schema).filter(~good).select("value")
+    return _parsed(wire, schema).filter(~_readable()).select("value")

@@ -59,34 +59,29 @@ def flatten_raw(
     """Raw JSON items as rows of the schema, lists and objects flattened to text.
 
     The same field may be a list in one item and plain text in the next, so the kind
-    of each value is looked up per row. Objects keep their key order. Booleans that
-    are not JSON booleans become null; in a text column they are ``true`` and
-    ``false``, or ``True`` and ``False`` with ``titled_booleans``.
+    of each value is looked up per row. Objects keep their key order and numbers their
+    spelling. Booleans that are not JSON booleans become null; in a text column they
+    are ``true`` and ``false``, or ``True`` and ``False`` with ``titled_booleans``.
     """
 
-    def parsed(kind) -> Column:
-        fields = [
-            StructField(f.name, BooleanType() if isinstance(f.dataType, BooleanType) else kind)
-            for f in schema.fields
-        ]
-        return F.from_json(F.col(raw), StructType(fields))
-
     def cell(field: StructField) -> Column:
-        text, value = F.col(f"text.`{field.name}`"), F.col(f"value.`{field.name}`")
-        if isinstance(field.dataType, BooleanType):
-            return text.alias(field.name)
+        value = F.col(f"item.`{field.name}`")
         kind = F.schema_of_variant(value)
-        items = F.try_variant_get(value, "$", "array<string>")
-        plain = F.when(text.isin("true", "false") & (kind == "BOOLEAN"), F.initcap(text))
-        plain = plain.otherwise(text) if titled_booleans else text
+        plain = value.cast("string")
+        if isinstance(field.dataType, BooleanType):
+            return F.when(kind == "BOOLEAN", plain.cast("boolean")).alias(field.name)
+        # Parsed again, and only for the few kinds that a variant respells.
+        spelled = F.from_json(F.col("raw"), StructType([StructField(field.name, StringType())]))
+        text = spelled[field.name]
         return (
-            # Only text that starts like a list or an object needs a closer look.
-            F.when(~text.rlike(r"^[\[{]"), plain)
-            .when(kind.startswith("ARRAY"), join_list(items))
+            F.when(kind.isin("STRING", "BIGINT"), plain)
+            .when(kind.startswith("ARRAY"), join_list(F.try_variant_get(value, "$", "array<string>")))
             .when(kind.startswith("OBJECT"), spaced_json(text))
-            .otherwise(text)
+            .when(kind == "BOOLEAN", F.initcap(plain) if titled_booleans else plain)
+            .when(kind != "VOID", text)
             .alias(field.name)
         )
 
-    both = df.select(parsed(StringType()).alias("text"), parsed(VariantType()).alias("value"))
-    return both.select(*[cell(f) for f in schema.fields])
+    variants = StructType([StructField(f.name, VariantType()) for f in schema.fields])
+    items = df.select(F.col(raw).alias("raw"), F.from_json(F.col(raw), variants).alias("item"))
+    return items.select(*[cell(f) for f in schema.fields])

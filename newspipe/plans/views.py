@@ -87,28 +87,33 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     of the way through failed.
     """
     documents = table(spark, sf_dir, "documents")
-    # A one-row subquery; the scan that feeds it reads the key column only.
-    last = documents.agg(F.max("doc_id")).scalar()
-    failed = F.floor(last * 8 / 10)
     item = F.transform(
         F.split("text", "\n"),
         lambda line, i: F.struct(
-            F.concat_ws("-", "doc_id", i).alias("article_id"),
+            F.concat_ws("-", "fetch_seq", i).alias("article_id"),
             F.left(line, F.lit(80)).alias("title"),
             line.alias("description"),
-            F.concat(F.lit("https://news.example.org/"), "doc_id", F.lit("/"), i).alias("link"),
+            F.concat(F.lit("https://news.example.org/"), "fetch_seq", F.lit("/"), i).alias("link"),
             F.col("lang").alias("language"),
             F.array(
-                F.when((F.col("doc_id") + i) % 2 == 0, "crime").otherwise("top"), "source"
+                F.when((F.col("fetch_seq") + i) % 2 == 0, "crime").otherwise("top"), "source"
             ).alias("category"),
-            F.array(F.when((F.col("doc_id") + i) % 3 == 0, "us").otherwise("my")).alias("country"),
+            F.array(F.when((F.col("fetch_seq") + i) % 3 == 0, "us").otherwise("my")).alias(
+                "country"
+            ),
         ),
     )
-    return documents.select(
-        F.col("doc_id").alias("fetch_seq"),
-        (F.col("doc_id") == failed).alias("error"),
-        F.when((F.col("doc_id") != failed) & (F.col("doc_id") % 50 != 49), item).alias("results"),
-        F.when(F.col("doc_id") < last, (F.col("doc_id") + 1).cast("string")).alias("nextPage"),
+    # A one-row subquery; the scan that feeds it reads the key column only.
+    last = documents.agg(F.max("doc_id")).scalar()
+    landed = documents.withColumnRenamed("doc_id", "fetch_seq").withColumn("last", last)
+    failed = F.col("fetch_seq") == F.floor(F.col("last") * 8 / 10)
+    return landed.select(
+        "fetch_seq",
+        failed.alias("error"),
+        F.when(~failed & (F.col("fetch_seq") % 50 != 49), item).alias("results"),
+        F.when(F.col("fetch_seq") < F.col("last"), (F.col("fetch_seq") + 1).cast("string")).alias(
+            "nextPage"
+        ),
     )
 
 
