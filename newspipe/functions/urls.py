@@ -36,10 +36,10 @@ def resolve_href(href: Column, page_url: Column) -> Column:
     """
     origin = F.regexp_extract(page_url, _ORIGIN, 1)
     scheme = F.regexp_extract(page_url, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
-    no_fragment = F.regexp_extract(page_url, r"^([^#]*)", 1)
-    no_query = F.regexp_extract(page_url, r"^([^?#]*)", 1)
-    path = F.regexp_replace(no_query, _ORIGIN, "")
-    directory = F.when(path == "", "/").otherwise(F.regexp_extract(path, r"^(.*/)", 1))
+    query = F.regexp_extract(page_url, r"^[^?#]*(\?[^#]*)?", 1)
+    path = F.regexp_replace(F.regexp_extract(page_url, r"^([^?#]*)", 1), _ORIGIN, "")
+    path = F.when(path == "", "/").otherwise(path)
+    directory = F.regexp_extract(path, r"^(.*/)", 1)
 
     def rooted(target: Column) -> Column:
         split = let(
@@ -56,7 +56,7 @@ def resolve_href(href: Column, page_url: Column) -> Column:
         lambda h: F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
         .when(h.startswith("/"), rooted(h))
-        .when(h.startswith("?"), F.concat(no_query, h))
-        .when(h.startswith("#"), F.concat(no_fragment, h))
+        .when(h.startswith("?"), F.concat(origin, path, h))
+        .when(h.startswith("#"), F.concat(origin, path, query, h))
         .otherwise(rooted(F.concat(directory, h))),
     )

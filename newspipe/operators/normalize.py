@@ -59,9 +59,10 @@ def flatten_raw(
     """Raw JSON items as rows of the schema, lists and objects flattened to text.
 
     The same field may be a list in one item and plain text in the next, so the kind
-    of each value is looked up per row. Objects keep their key order and numbers their
-    spelling. Booleans that are not JSON booleans become null; in a text column they
-    are ``true`` and ``false``, or ``True`` and ``False`` with ``titled_booleans``.
+    of each value is looked up per row. Objects keep their key order, and decimals
+    keep their decimals. A boolean column takes JSON booleans only; in a text column
+    they are ``true`` and ``false``, or ``True`` and ``False`` with
+    ``titled_booleans``.
     """
 
     def cell(field: StructField) -> Column:

@@ -15,7 +15,7 @@ def every(seconds: int = 60) -> dict:
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema: StructType, max_bytes: str | None = None
+    spark: SparkSession, path: str, schema: StructType, max_bytes: int | None = None
 ) -> DataFrame:
     """Parquet files of a table as a stream, whether a single file or a folder.
 

@@ -1,0 +1,60 @@
+"""Plans stay free of Python workers, shuffles and repeated work."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as contract
+
+NARROW = [
+    "scan_pages", "section_urls", "counter_source", "links_child_chain", "links_class_tokens",
+    "links_resolved", "extract_lenient", "extract_strict", "extract_rejects", "headline_label",
+    "wire_encode", "wire_decode", "wire_decode_rejects",
+]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", NARROW)
+def test_no_shuffle_and_no_python(spark, sf_dir, name):
+    text = plan(contract.queries()[name](spark, sf_dir))
+    assert "Exchange" not in text and "Sort" not in text
+    assert "Python" not in text and "Pandas" not in text
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_no_cross_join_window_or_python(spark, sf_dir, name):
+    if name.startswith(("stream_", "csv_", "append_")):
+        pytest.skip("reads back files it has written")
+    text = plan(contract.queries()[name](spark, sf_dir))
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "Python", "Pandas"):
+        assert bad not in text
+
+
+def test_text_is_extracted_once_per_page(spark, sf_dir):
+    text = plan(contract.queries()["extract_strict"](spark, sf_dir))
+    filters = [line for line in text.splitlines() if re.search(r"\bFilter\b", line)]
+    assert all("transform(" not in line for line in filters)
+
+
+def test_messages_are_parsed_once(spark, sf_dir):
+    text = plan(contract.queries()["wire_decode"](spark, sf_dir))
+    assert text.count("from_json") == 1
+
+
+def test_fetch_reads_keys_before_texts(spark, sf_dir):
+    df = contract.queries()["count_news"](spark, sf_dir)
+    scans = re.findall(r"ReadSchema: (\S+)", plan(df))
+    assert "struct<doc_id:bigint>" in scans
+
+
+def test_limits_keep_only_the_first_rows(spark, sf_dir):
+    for name in ("publish_limited", "sample_news"):
+        assert "TakeOrderedAndProject" in plan(contract.queries()[name](spark, sf_dir))
+
+
+def test_keys_are_reduced_before_the_shuffle(spark, sf_dir):
+    text = plan(contract.queries()["key_union"](spark, sf_dir))
+    assert text.index("HashAggregate") < text.index("Exchange") < text.rindex("HashAggregate")
