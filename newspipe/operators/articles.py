@@ -95,10 +95,11 @@ def extract_strict(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFra
 def extract_rejects(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFrame:
     """``url, reason`` of each page that ``extract_strict`` leaves out.
 
-    The reason is the first that applies: ``no_h1``, ``no_time``, ``no_content``.
+    The reason is the first that applies: ``no_h1``, ``no_time``, ``no_content``. A
+    missing page counts as an empty one.
     """
     reason = (
-        F.when(~_has(profile.headline_tag), "no_h1")
+        F.when(F.col("page").isNull() | ~_has(profile.headline_tag), "no_h1")
         .when(~_has(profile.time_tag), "no_time")
         .when(F.coalesce(_wrapper_text(profile), F.lit("")) == "", "no_content")
     )

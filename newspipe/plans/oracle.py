@@ -12,20 +12,28 @@ from .views import HREF_FORMS, LISTING_HTML, SITE_HTML
 
 _UNSEEN = r"(?s)<script>.*?</script>|<style>.*?</style>|<title>.*?</title>|<!--.*?-->"
 
-_SITE = f"""site as (select url, regexp_replace({SITE_HTML}, '{_UNSEEN}', '', 'g') as page from pages)"""
+_SITE = f"""site as (
+ select url, coalesce(regexp_replace({SITE_HTML}, '{_UNSEEN}', '', 'g'), '') as page from pages)"""
 _LISTING = f"""listing as (
  select page_id, url, regexp_replace({LISTING_HTML}, '{_UNSEEN}', '', 'g') as page from pages)"""
 
-_NEWS = """news as (
+
+
+def _news(flag: str = "", join: str = "") -> str:
+    return f"""news as (
  select cast(d.doc_id as varchar) as article_id, substring(d.text, 1, 80) as title,
   d.text as description, 'https://news.example.org/' || d.doc_id as link, d.lang as language,
   case when d.doc_id % 4 = 0 then null when d.doc_id % 4 = 1 then cast([] as varchar[])
    else [d.lang, d.source] end as keywords,
   [case when d.doc_id % 2 = 0 then 'crime' else 'top' end, d.source] as category,
   [case when d.doc_id % 3 = 0 then 'us' else 'my' end] as country,
-  '{"n": ' || d.n_chars || '}' as sentiment_stats, l.toxic = 1 as duplicate,
+  '{{"n": ' || d.n_chars || '}}' as sentiment_stats, {flag}
   d.doc_id // 100 as fetch_seq, d.doc_id % 100 as pos
- from documents d left join labels l using (doc_id))"""
+ from documents d {join})"""
+
+
+_NEWS = _news()
+_LABELLED = _news("l.toxic = 1 as duplicate,", "left join labels l using (doc_id)")
 
 _API = """lines as (
  select doc_id as fetch_seq, lang, source,
@@ -182,14 +190,14 @@ select article_id, title, fetch_seq, cast(null as varchar) as link,
 union all select article_id, null, null, link, language from news where category[1] <> 'crime'""",
     "flatten_lists": f"with {_NEWS} select article_id, {_LISTS}, pos from news",
     "flatten_dicts": f"""with {_NEWS} select article_id, sentiment_stats,
- '{{"title": ' || to_json(title) || ', "pos": ' || pos || ', "languages": ["' || language || '"]}}'
+ '{{"title": ' || coalesce(to_json(title), 'null') || ', "pos": ' || pos || ', "languages": ["' || language || '"]}}'
  as nested from news""",
-    "news_typed": f"""with {_NEWS} select article_id, title, link, description, language,
+    "news_typed": f"""with {_LABELLED} select article_id, title, link, description, language,
  {_LISTS}, sentiment_stats, duplicate, {_ABSENT} from news""",
     "headline_label": """select doc_id, left(text, 60) as saved, left(text, 60) || '...' as sending
 from documents""",
     "wire_encode": f"""with {_MESSAGES} select '{{"title":' || to_json(title) || ',"content":'
- || to_json(content) || ',"pubDate":"' || "pubDate" || '","link":"' || link || '","category":'
+ || coalesce(to_json(content), 'null') || ',"pubDate":"' || "pubDate" || '","link":"' || link || '","category":'
  || category_json || '}}' as value from messages""",
     "wire_decode": _DECODED,
     "wire_decode_rejects": "select event_id || ' cats' as value from events where event_id % 3 = 0",
@@ -197,7 +205,8 @@ from documents""",
  nullif(left(text, 60), '') as headline,
  case when doc_id % 2 = 1 then lang end as date_published,
  nullif(text, '') as article_content from documents""",
-    "csv_roundtrip_news": f"""with {_NEWS} select article_id, title, description, link, language,
+    "csv_roundtrip_news": f"""with {_LABELLED} select article_id, nullif(title, '') as title,
+ nullif(description, '') as description, link, language,
  {_LISTS}, sentiment_stats,
  case when duplicate then 'True' when not duplicate then 'False' end as duplicate,
  cast(fetch_seq as varchar) as fetch_seq, cast(pos as varchar) as pos from news""",

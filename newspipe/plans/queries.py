@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 # Large enough that files stay worth opening, small enough to be read by one task.
-ROWS_PER_FILE = 500_000
+ROWS_PER_FILE = 100_000
 
 
 def query(run: Query) -> Query:

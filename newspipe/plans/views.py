@@ -47,15 +47,18 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", F.expr(LISTING_HTML).alias("html"))
 
 
-def news_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def news_items(spark: SparkSession, sf_dir: str, labelled: bool = False) -> DataFrame:
     """One API item per document; lists are null, empty or filled.
 
-    ``labels`` is keyed like ``documents`` and may grow with it, so the join is left
-    to the optimizer and to adaptive execution.
+    Labelled items also have the ``duplicate`` flag. ``labels`` may grow with
+    ``documents``, so how to join them is left to the optimizer and to adaptive
+    execution; queries that do not look at the flag save the join.
     """
-    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    joined = documents.join(labels.select("doc_id", "toxic"), "doc_id", "left")
-    return joined.selectExpr(
+    items = table(spark, sf_dir, "documents")
+    if labelled:
+        labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+        items = items.join(labels, "doc_id", "left")
+    return items.selectExpr(
         "cast(doc_id as string) as article_id",
         "substring(text, 1, 80) as title",
         "text as description",
@@ -67,15 +70,15 @@ def news_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "array(case when doc_id % 2 = 0 then 'crime' else 'top' end, source) as category",
         "array(case when doc_id % 3 = 0 then 'us' else 'my' end) as country",
         "map('n', n_chars) as sentiment_stats",
-        "toxic = 1 as duplicate",
         "doc_id div 100 as fetch_seq",
         "doc_id % 100 as pos",
+        *(["toxic = 1 as duplicate"] if labelled else []),
     )
 
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same items as JSON text, null fields written out."""
-    items = news_items(spark, sf_dir)
+    items = news_items(spark, sf_dir, labelled=True)
     text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
     return items.select(text.alias("raw"))
 

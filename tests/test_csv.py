@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from newspipe import read_csv, scratch_dir, write_csv, write_raw_csv
+from newspipe import finish, read_csv, scratch_dir, stream_csv, write_csv, write_raw_csv
 from newspipe.plans import flows
 from newspipe.schemas import STRICT_ARTICLE, text_fields
 from newspipe.sinks.csv import BATCH_RECORDS
@@ -85,6 +85,15 @@ def test_overwrite_append_and_no_path(spark, capsys):
     assert "nothing written" in capsys.readouterr().out
 
 
+def test_stream_in_batches_of_a_hundred(spark):
+    base = scratch_dir(spark, "batches")
+    spark.range(250).selectExpr("string(id) as id").coalesce(1).write.parquet(f"{base}/in")
+    stream = spark.readStream.schema("id string").parquet(f"{base}/in")
+    finish(stream_csv(stream, f"{base}/out", f"{base}/c", max_records_per_file=BATCH_RECORDS))
+    assert len(files(f"{base}/out")) == 3
+    assert read_csv(spark, f"{base}/out", text_fields("id")).distinct().count() == 250
+
+
 def test_raw_items_under_all_their_keys(spark):
     path = scratch_dir(spark, "raw.csv")
     raw = ['{"b":1,"a":["x","y"]}', '{"c":true,"a":null}', '{"d":{"k":"v"}}']
