@@ -17,10 +17,13 @@ from html.entities import html5, name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# While a text is cut up, a tag that matters is written as OPEN + name + CLOSE. Pages
-# are cleared of these two characters first.
+from .plan import let
+
+# While a text is cut up, a tag that matters is written as OPEN + name + CLOSE, and
+# NEXT parts one piece from another. Pages are cleared of these characters first.
 OPEN = "\u0001"
 CLOSE = "\u0002"
+NEXT = "\u0003"
 
 # Elements that HTML renders on lines of their own, and elements
 # that never have content.
@@ -35,8 +38,9 @@ VOID_TAGS = (
     "source", "track", "wbr",
 )
 
-_VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
-REST = rf"(?:[^>=]++|=\s*{_VALUE}|=)*+"  # up to the end of an open tag
+# No tag reaches from one piece into the next.
+_VALUE = rf"""(?:"[^"{NEXT}]*"|'[^'{NEXT}]*'|[^\s"'>{NEXT}][^\s>{NEXT}]*)"""
+REST = rf"(?:[^>={NEXT}]++|=\s*{_VALUE}|=)*+"  # up to the end of an open tag
 _ATTR = rf"[^\s=>/]++(?:\s*=\s*{_VALUE})?+"
 STOP = r"(?=[\s/>])"
 
@@ -48,11 +52,6 @@ _TAG = rf"(?i)<(?:(p|br|/?(?:p|{'|'.join(BLOCK_TAGS)})){STOP}|/?[a-z]|[!?]){REST
 _EDGE = f"{OPEN}[^{CLOSE}]*{CLOSE}"
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once however often body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _without(text: Column, *literals: str, put: str = "") -> Column:
     for literal in literals:
         text = F.replace(text, F.lit(literal), F.lit(put))
@@ -61,7 +60,7 @@ def _without(text: Column, *literals: str, put: str = "") -> Column:
 
 def visible(html: Column) -> Column:
     """The page without comments, scripts and styles (and without our own marks)."""
-    return F.regexp_replace(_without(html, OPEN, CLOSE), _UNSEEN, "")
+    return F.regexp_replace(_without(html, OPEN, CLOSE, NEXT), _UNSEEN, "")
 
 
 # --- entities ---------------------------------------------------------------
@@ -130,7 +129,7 @@ def decode_entities(text: Column, in_attribute: bool = False) -> Column:
 # --- text -------------------------------------------------------------------
 
 
-def _marked_text(html: Column) -> Column:
+def _marked(html: Column) -> Column:
     """The text with breaks as newlines, blocks and paragraphs as marks, no other tags.
 
     Tags are rewritten in one pass over the whole piece.
@@ -146,31 +145,47 @@ def _marked_text(html: Column) -> Column:
     return _without(flat, " \n", "\n ", put="\n")
 
 
+def marked_texts(*pieces: Column) -> Column:
+    """The marked texts of several pieces of HTML, worked out together."""
+    joined = F.concat_ws(NEXT, *[F.coalesce(piece, F.lit("")) for piece in pieces])
+    return F.split(_marked(joined), NEXT)
+
+
 def _trimmed(text: Column) -> Column:
     """Trim ends; non-breaking spaces are kept and come out as plain spaces."""
     return _without(F.btrim(text, F.lit(" \n")), "\u00a0", put=" ")
 
 
-def element_text(html: Column) -> Column:
-    """The text of an element's inner HTML: breaks and blocks become lines."""
-    lines = F.regexp_replace(_marked_text(html), f" ?(\n?) ?(?:{_EDGE} ?)+", f"$1{CLOSE}")
+def lines_of(marked: Column) -> Column:
+    """A marked text with each block on a line of its own."""
+    lines = F.regexp_replace(marked, f" ?(\n?) ?(?:{_EDGE} ?)+", f"$1{CLOSE}")
     return _trimmed(_without(_without(lines, "\n" + CLOSE, put="\n"), CLOSE, put="\n"))
 
 
-def paragraphs(scope: Column) -> Column:
-    """Texts of all ``p`` elements of a scope, in order, empty ones included.
+def paragraphs_of(marked: Column) -> Column:
+    """Texts of all ``p`` elements in a marked text, in order, empty ones included.
 
     A paragraph ends at its closing tag, at the next ``p``, at any block tag and at
-    the end of the scope, which also covers paragraphs that are never closed. Only
-    the cut and the trim run per paragraph.
+    the end of the text, which also covers paragraphs that are never closed. Only the
+    cut and the trim run per paragraph.
     """
-    pieces = F.split(_marked_text(scope), f"{OPEN}[pP]{CLOSE}")
+    pieces = F.split(marked, f"{OPEN}[pP]{CLOSE}")
     return F.transform(
         let(pieces, lambda p: F.slice(p, 2, F.size(p))),
         lambda p: _trimmed(F.substring_index(p, OPEN, 1)),
     )
 
 
+def element_text(html: Column) -> Column:
+    """The text of an element's inner HTML: breaks and blocks become lines."""
+    return lines_of(_marked(html))
+
+
+def paragraphs(html: Column) -> Column:
+    """Texts of all ``p`` elements of a piece of HTML."""
+    return paragraphs_of(_marked(html))
+
+
 # --- attributes and elements ------------------------------------------------
 
 

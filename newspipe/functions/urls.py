@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .html import let
+from .plan import let
 
 _ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)"
 

@@ -29,9 +29,8 @@ def _has(tag: str) -> Column:
     return F.col("page").rlike(H.tag_pattern(tag))
 
 
-def _headline(tag: str) -> Column:
-    pattern = rf"{H.tag_pattern(tag)}(.*?)(?:</{tag}\s*>|\z)"
-    return H.element_text(F.regexp_extract("page", pattern, 2)).alias("headline")
+def _headline_html(tag: str) -> Column:
+    return F.regexp_extract("page", rf"{H.tag_pattern(tag)}(.*?)(?:</{tag}\s*>|\z)", 2)
 
 
 def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> DataFrame:
@@ -41,28 +40,41 @@ def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> Data
     page has none. The content joins the non-empty paragraphs inside any container
     and may be ``''``; such rows stay.
     """
-    page = F.col("page")
+    page, texts = F.col("page"), F.col("texts")
     author = H.attribute_pattern("class", profile.author_class_part, "contains")
     published = H.attribute_pattern("property", profile.published_property)
-    texts = H.paragraphs(H.inside_all(page, profile.container))
     found = _visible(_mentions(pages, profile.headline_tag)).filter(_has(profile.headline_tag))
-    return found.select(
+    parts = found.select(
         "url",
-        _headline(profile.headline_tag),
+        "page",
         F.when(
-            H.has_tag(page, author, profile.author_class_part),
-            H.element_text(H.inner_html(page, author)),
+            H.has_tag(page, author, profile.author_class_part), H.inner_html(page, author)
         ).alias("author"),
+    ).select(
+        "url",
+        "page",
+        F.col("author").isNotNull().alias("has_author"),
+        H.marked_texts(
+            _headline_html(profile.headline_tag),
+            F.col("author"),
+            H.inside_all(page, profile.container),
+        ).alias("texts"),
+    )
+    content = F.filter(H.paragraphs_of(texts[2]), lambda t: t != "")
+    return parts.select(
+        "url",
+        H.lines_of(texts[0]).alias("headline"),
+        F.when(F.col("has_author"), H.lines_of(texts[1])).alias("author"),
         F.when(
             H.has_tag(page, published, profile.published_property),
             H.attribute(H.first_tag(page, published), "content"),
         ).alias("publish_time"),
-        F.array_join(F.filter(texts, lambda t: t != ""), profile.joiner).alias("article_content"),
+        F.array_join(content, profile.joiner).alias("article_content"),
     )
 
 
-def _wrapper_text(profile: StrictProfile) -> Column:
-    """Paragraphs of the first wrapper class present, even if another holds more.
+def _wrapper(profile: StrictProfile) -> Column:
+    """Inner HTML of the first wrapper class present, even if another holds more.
 
     Null if no wrapper is present.
     """
@@ -70,7 +82,11 @@ def _wrapper_text(profile: StrictProfile) -> Column:
     for name in profile.wrapper_classes:
         pattern = H.attribute_pattern("class", name, "has")
         chosen = chosen.when(H.has_tag(page, pattern, name), H.inner_html(page, pattern))
-    return F.array_join(H.paragraphs(chosen), profile.joiner).alias("article_content")
+    return chosen
+
+
+def _joined(marked: Column, profile: StrictProfile) -> Column:
+    return F.array_join(H.paragraphs_of(marked), profile.joiner).alias("article_content")
 
 
 def extract_strict(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFrame:
@@ -82,12 +98,18 @@ def extract_strict(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFra
     """
     tags = profile.headline_tag, profile.time_tag
     found = _visible(_mentions(pages, *tags)).filter(_has(tags[0]) & _has(tags[1]))
-    full = computed_once(found, F.col("url"), F.col("page"), _wrapper_text(profile))
-    time = H.first_tag(F.col("page"), H.tag_pattern(profile.time_tag))
+    texts = H.marked_texts(_headline_html(profile.headline_tag), _wrapper(profile))
+    full = computed_once(
+        found.select("url", "page", texts.alias("texts")),
+        F.col("url"),
+        H.first_tag(F.col("page"), H.tag_pattern(profile.time_tag)).alias("time"),
+        F.col("texts")[0].alias("headline"),
+        _joined(F.col("texts")[1], profile),
+    )
     return full.filter("article_content <> ''").select(
         "url",
-        _headline(profile.headline_tag),
-        H.attribute(time, profile.time_attribute).alias("date_published"),
+        H.lines_of(F.col("headline")).alias("headline"),
+        H.attribute(F.col("time"), profile.time_attribute).alias("date_published"),
         "article_content",
     )
 
@@ -98,10 +120,11 @@ def extract_rejects(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFr
     The reason is the first that applies: ``no_h1``, ``no_time``, ``no_content``. A
     missing page counts as an empty one.
     """
+    content = _joined(H.marked_texts(_wrapper(profile))[0], profile)
     reason = (
         F.when(F.col("page").isNull() | ~_has(profile.headline_tag), "no_h1")
         .when(~_has(profile.time_tag), "no_time")
-        .when(F.coalesce(_wrapper_text(profile), F.lit("")) == "", "no_content")
+        .when(content == "", "no_content")
     )
     found = computed_once(_visible(pages), F.col("url"), reason.alias("reason"))
     return found.filter("reason is not null")

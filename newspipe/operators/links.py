@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions.plan import let
 from ..functions.urls import resolve_href
 from ..profiles import ChildChain, ClassTokens
 
@@ -27,12 +28,14 @@ def _cut(path: Column, element: Column) -> Column:
 def _chain_tags(page: Column, names: tuple[str, ...]) -> Column:
     """Open tags at the end of a chain of direct children, in page order.
 
-    Walks the tags of a page once, keeping the open elements as text such as
-    ``<html><body><section>``. A closing tag cuts that path at its last opening.
+    Walks the tags once, from the first that can start a chain, keeping the open
+    elements as text such as ``<section><div><article>``. A closing tag cuts that path
+    at its last opening.
     """
     void = "|".join(H.VOID_TAGS)
+    part = F.regexp_extract(page, rf"(?is)<{names[0]}[\s/>].*", 0)
     tokens = F.regexp_extract_all(
-        page, F.lit(rf"(?i)<(?!(?:{void})[\s/>])/?[a-z]{H.REST}>"), F.lit(0)
+        part, F.lit(rf"(?i)<(?!(?:{void})[\s/>])/?[a-z]{H.REST}>"), F.lit(0)
     )
     parents = "".join(f"<{n}>" for n in names[:-1])
 
@@ -61,7 +64,7 @@ def _chain_tags(page: Column, names: tuple[str, ...]) -> Column:
                 F.struct(closed.alias("path"), state["tags"].alias("tags")),
             ).otherwise(opened(state, token, element, closed))
 
-        return H.let(F.concat(F.lit("<"), name, F.lit(">")), advance)
+        return let(F.concat(F.lit("<"), name, F.lit(">")), advance)
 
     start = F.struct(F.lit("").alias("path"), F.array().cast("array<string>").alias("tags"))
     return F.aggregate(tokens, start, step, lambda s: s["tags"])

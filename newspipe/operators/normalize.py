@@ -16,6 +16,7 @@ from pyspark.sql.types import (
     VariantType,
 )
 
+from ..functions.plan import let
 from ..functions.values import join_list, json_text, spaced_json
 from ..schemas import NEWS_ITEM
 
@@ -65,24 +66,27 @@ def flatten_raw(
     ``titled_booleans``.
     """
 
-    def cell(field: StructField) -> Column:
-        value = F.col(f"item.`{field.name}`")
-        kind = F.schema_of_variant(value)
+    def cell(name: Column, value: Column) -> Column:
         plain = value.cast("string")
-        if isinstance(field.dataType, BooleanType):
-            return F.when(kind == "BOOLEAN", plain.cast("boolean")).alias(field.name)
         # Parsed again, and only for the few kinds that a variant respells.
-        spelled = F.from_json(F.col("raw"), StructType([StructField(field.name, StringType())]))
-        text = spelled[field.name]
-        return (
-            F.when(kind.isin("STRING", "BIGINT"), plain)
+        spelled = F.from_json(F.col("raw"), MapType(StringType(), StringType()))[name]
+        return let(
+            F.schema_of_variant(value),
+            lambda kind: F.when(kind.isin("STRING", "BIGINT"), plain)
             .when(kind.startswith("ARRAY"), join_list(F.try_variant_get(value, "$", "array<string>")))
-            .when(kind.startswith("OBJECT"), spaced_json(text))
+            .when(kind.startswith("OBJECT"), spaced_json(spelled))
             .when(kind == "BOOLEAN", F.initcap(plain) if titled_booleans else plain)
-            .when(kind != "VOID", text)
-            .alias(field.name)
+            .when(kind != "VOID", spelled),
         )
 
-    variants = StructType([StructField(f.name, VariantType()) for f in schema.fields])
-    items = df.select(F.col(raw).alias("raw"), F.from_json(F.col(raw), variants).alias("item"))
-    return items.select(*[cell(f) for f in schema.fields])
+    def column(field: StructField) -> Column:
+        text = F.col("cells")[field.name]
+        if isinstance(field.dataType, BooleanType):
+            is_boolean = F.schema_of_variant(F.col("item")[field.name]) == "BOOLEAN"
+            text = F.when(is_boolean, text.cast("boolean"))
+        return text.alias(field.name)
+
+    variants = F.from_json(F.col(raw), MapType(StringType(), VariantType()))
+    items = df.select(F.col(raw).alias("raw"), variants.alias("item"))
+    cells = items.select("item", F.transform_values("item", cell).alias("cells"))
+    return cells.select(*[column(f) for f in schema.fields])

@@ -92,6 +92,15 @@ def test_lenient_fields(spark):
     }
 
 
+def test_a_broken_field_leaves_the_others_alone(spark):
+    html = (
+        "<h1>a <i x=\"1</h1><b class='author'>b <i </b>"
+        "<article><p title=\"2\">c > d</p><p>e</p></article>"
+    )
+    row = extract_lenient(pages(spark, {"u": html})).first()
+    assert (row.headline, row.author, row.article_content) == ('a <i x="1', "b <i", "c > d\ne")
+
+
 def wrapped(inner, name="entry-content"):
     return f"<h1>t</h1><time datetime='d'>x</time><div class='{name}'>{inner}</div><p>after</p>"
 
