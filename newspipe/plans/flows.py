@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -19,6 +21,8 @@ from ..sinks.csv import stream_csv, write_csv, write_raw_csv
 from ..sources.responses import read_api_pages
 from ..streaming.runs import stream_parquet
 
+T = TypeVar("T")
+
 
 def collect_links(listings: DataFrame, strict: bool = False) -> DataFrame:
     """Absolute article addresses found on listing pages."""
@@ -64,6 +68,13 @@ def news_messages(items: DataFrame, max_messages: int | None = None) -> DataFram
     return to_wire(project_news(limit_messages(items, max_messages, order)))
 
 
+def publish_news(
+    items: DataFrame, send: Callable[[DataFrame], T], max_messages: int | None = None
+) -> T:
+    """Send API items as messages; ``send`` takes the frame of ``value`` to its sink."""
+    return send(news_messages(items, max_messages))
+
+
 def append_news(
     messages: DataFrame, path: str | None, max_records_per_file: int | None = None
 ) -> None:

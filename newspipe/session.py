@@ -16,7 +16,13 @@ _SETTINGS = {
 
 
 def get_session(app_name: str = "newspipe", **settings: str) -> SparkSession:
-    """The running session, or a new one with the settings this package relies on."""
+    """The running session as it is, or a new one with the settings relied on here.
+
+    ``settings`` are for the new session too, a running one keeps its own.
+    """
+    running = SparkSession.getActiveSession()
+    if running:
+        return running
     builder = SparkSession.builder.appName(app_name)
     for key, value in (_SETTINGS | settings).items():
         builder = builder.config(key, value)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
+from ..functions.plan import computed_once
 from ..operators.messages import filter_news
 from ..schemas import api_page
 
@@ -52,6 +53,18 @@ def read_api_pages(
     category: str | None = None,
     language: str | None = None,
 ) -> DataFrame:
-    """All items a batch fetch returns, duplicates kept, with their arrival order."""
+    """All items a batch fetch returns, duplicates kept, with their arrival order.
+
+    The values are what the API was asked for. Responses that were landed with the same
+    question fit already and need none; raw items are looked into if there are any.
+    """
     items = explode_results(collected_pages(pages))
-    return filter_news(items, country=country, category=category, language=language)
+    wanted = {"country": country, "category": category, "language": language}
+    if "raw" in items.columns and any(v is not None for v in wanted.values()):
+        fields = "country array<string>, category array<string>, language string"
+        opened = computed_once(
+            items, *[F.col(c) for c in items.columns], F.from_json("raw", fields).alias("fields")
+        )
+        found = filter_news(opened.select(*items.columns, "fields.*"), **wanted)
+        return found.select(*items.columns)
+    return filter_news(items, **wanted)

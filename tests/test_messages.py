@@ -13,6 +13,7 @@ from newspipe import (
     explode_results,
     filter_news,
     from_wire,
+    get_session,
     landed_pages,
     limit_messages,
     project_news,
@@ -61,6 +62,29 @@ def test_fetch_stops_where_the_loop_would(spark, tmp_path, pages, want):
     assert "".join(json.loads(r.raw)["title"] for r in rows) == want
 
 
+def test_raw_items_can_be_asked_for_by_value(spark, tmp_path):
+    items = [
+        {"title": "a", "country": ["us"], "category": ["crime", "top"], "language": "en"},
+        {"title": "b", "country": ["my"], "category": ["crime"], "language": "en"},
+        {"title": "c", "country": None, "category": ["crime"], "language": "en"},
+    ]
+    df = landed(spark, tmp_path, [{"fetch_seq": 0, "error": False, "results": items}])
+    assert [json.loads(r.raw)["title"] for r in read_api_pages(df, **BATCH_QUERY).collect()] == ["a"]
+    assert read_api_pages(df, category="crime").columns == ["fetch_seq", "pos", "raw"]
+    assert read_api_pages(df, category="crime").count() == 3
+
+
+def test_publishing_hands_messages_to_the_sink(spark):
+    df = spark.range(9).selectExpr("0 as fetch_seq", "id as pos", "string(id) as title")
+    sent = flows.publish_news(df, lambda wire: wire.collect(), max_messages=2)
+    assert [json.loads(bytes(r.value))["title"] for r in sent] == ["0", "1"]
+
+
+def test_a_running_session_is_kept(spark):
+    assert get_session("other", **{"spark.sql.shuffle.partitions": "99"}) is spark
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
 def test_missing_flags_count_as_an_end(spark, tmp_path):
     df = landed(spark, tmp_path, [{"fetch_seq": 0, "results": []}, page(1, "a", None)])
     assert collected_pages(df).count() == 1
