@@ -45,8 +45,8 @@ _ATTR = rf"[^\s=>/]++(?:\s*=\s*{_VALUE})?+"
 STOP = r"(?=[\s/>])"
 
 _UNSEEN = (
-    r"(?is)<(?:!--.*?(?:-->|\z)"
-    rf"|(script|style|noscript|template|title){STOP}.*?(?:</\1\s*>|\z))"
+    r"(?is)<(?:!--(?:[^-]++|-(?!->))*+(?:-->)?+"
+    rf"|(script|style|noscript|template|title){STOP}[^<]*+(?:<(?!/\1\s*>)[^<]*+)*+(?:</\1\s*>)?+)"
 )
 _TAG = rf"(?i)<(?:(p|br|/?(?:p|{'|'.join(BLOCK_TAGS)})){STOP}|/?[a-z]|[!?]){REST}>"
 _EDGE = f"{OPEN}[^{CLOSE}]*{CLOSE}"
@@ -58,23 +58,37 @@ def _without(text: Column, *literals: str, put: str = "") -> Column:
     return text
 
 
+def _rarely(text: Column, *literals: str, put: str) -> Column:
+    """As ``_without``, for literals most texts lack: looking is cheaper than replacing."""
+
+    def guarded(literal: str):
+        return lambda t: F.when(t.contains(literal), _without(t, literal, put=put)).otherwise(t)
+
+    for literal in literals:
+        text = let(text, guarded(literal))
+    return text
+
+
 def visible(html: Column) -> Column:
     """The page without comments, scripts and styles (and without our own marks)."""
-    return F.regexp_replace(_without(html, OPEN, CLOSE, NEXT), _UNSEEN, "")
+    clean = _rarely(html, OPEN, CLOSE, NEXT, put="")
+    return F.regexp_replace(clean, _UNSEEN, "")
 
 
 # --- entities ---------------------------------------------------------------
 
-_LEGACY = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
-# Common names come first, as the lookup goes through them in order. An ampersand
-# stays spelled out until all else is decoded.
-_NAMED = {"nbsp;": "\u00a0", "quot;": '"', "amp;": "&amp;", "lt;": "<", "gt;": ">", "apos;": "'"}
-_NAMED |= {f"{n};": chr(c) for n, c in name2codepoint.items() if f"{n};" not in _NAMED}
-_NAMED |= {n: html5[n] for n in _LEGACY} | {"amp": "&amp;", "AMP": "&amp;"}
+# Frequent references come first, as the lookup goes through them in order.
+_NAMED = {
+    "amp": "&", "nbsp": "\u00a0", "#8217": "’", "quot": '"', "#39": "'", "#039": "'", "lt": "<",
+    "gt": ">", "#8220": "“", "#8221": "”", "#8216": "‘", "#8211": "–", "#8230": "…", "apos": "'",
+}
+_NAMED |= {name: chr(code) for name, code in name2codepoint.items() if name not in _NAMED}
 # One literal, which the optimizer folds into a map.
 _NAMED_TEXT = "\n".join(f"{name}={char}" for name, char in _NAMED.items())
-_REFERENCE = r"^(?:#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[a-zA-Z][a-zA-Z0-9]{1,31});"
-_REFERENCE_IN_TEXT = rf"{_REFERENCE}|^(?:{'|'.join(_LEGACY)})"
+_LEGACY = {name: html5[name] for name in html5 if not name.endswith(";")}
+_LEGACY_TEXT = "\n".join(f"{name}={char}" for name, char in _LEGACY.items())
+_LEGACY_NAME = rf"^(?:{'|'.join(sorted(_LEGACY, key=lambda n: (-len(n), n)))})"
+_NUMBER = r"^#[xX]?([0-9a-fA-F]{1,7});"
 _MAX = 2**31 - 1
 # Code points 128-159 stand for the windows-1252 characters in HTML.
 _C1 = "".join(chr(c) for c in range(128, 160))
@@ -88,42 +102,56 @@ def _character(code: Column) -> Column:
 
 
 def decode_entities(text: Column, in_attribute: bool = False) -> Column:
-    """Decode character references, ``&amp;`` last, so ``&amp;lt;`` gives ``&lt;``.
+    """Decode character references in one pass, so ``&amp;lt;`` gives ``&lt;``.
 
     Old names such as ``&copy`` also count without a semicolon, though not inside
-    attribute values, where ``?a=1&copy=2`` has to stay as it is. Only text that has
-    references other than ``&amp;`` is looked at piece by piece.
+    attribute values, where ``?a=1&copy=2`` has to stay as it is.
     """
-    pattern = _REFERENCE if in_attribute else _REFERENCE_IN_TEXT
-    named = F.str_to_map(F.lit(_NAMED_TEXT), F.lit("\n"), F.lit("="))
-
-    def shown(name: Column) -> Column:
-        digits = F.regexp_extract(name, r"^#[xX]?([0-9a-fA-F]+)", 1)
-        code = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
-        return F.when(name.startswith("#"), _character(code.cast("bigint"))).otherwise(
-            F.try_element_at(named, name)
+
+    def table(pairs: str) -> Column:
+        return F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("="))
+
+    def rest(part: Column, used: Column) -> Column:
+        return F.substring(part, used + 1, F.lit(_MAX))
+
+    def known(part: Column) -> Column:
+        """References that the table lists, which is nearly all there are."""
+        return let(
+            F.substring_index(F.left(part, F.lit(33)), ";", 1),
+            lambda name: F.concat(
+                F.try_element_at(table(_NAMED_TEXT), name), rest(part, F.length(name) + 1)
+            ),
         )
 
-    def piece(part: Column, i: Column) -> Column:
-        after = let(
-            # No reference is longer than this.
-            F.regexp_extract(F.left(part, F.lit(33)), pattern, 0),
-            lambda name: F.coalesce(
-                F.concat(shown(name), F.substring(part, F.length(name) + 1, F.lit(_MAX))),
-                F.concat(F.lit("&"), part),
+    def number(part: Column) -> Column:
+        digits = F.regexp_extract(part, _NUMBER, 1)
+        code = F.when(part.rlike("^#[xX]"), F.conv(digits, 16, 10)).when(
+            digits.rlike(r"^\d+$"), digits
+        )
+        return F.concat(_character(code.cast("bigint")), rest(part, F.instr(part, ";")))
+
+    def legacy(part: Column) -> Column:
+        return let(
+            F.regexp_extract(part, _LEGACY_NAME, 0),
+            lambda name: F.concat(
+                F.try_element_at(table(_LEGACY_TEXT), name), rest(part, F.length(name))
             ),
         )
-        return F.when(i == 0, part).otherwise(after)
-
-    def decoded(t: Column) -> Column:
-        others = _without(t, "&amp;").contains("&")
-        return _without(
-            F.when(others, F.array_join(F.transform(F.split(t, "&"), piece), "")).otherwise(t),
-            "&amp;",
-            put="&",
+
+    def piece(part: Column, i: Column) -> Column:
+        forms = [known(part), F.when(part.rlike(_NUMBER), number(part))]
+        if not in_attribute:
+            forms.append(legacy(part))
+        return F.when(i == 0, part).otherwise(
+            F.coalesce(*forms, F.concat(F.lit("&"), part))
         )
 
-    return let(text, decoded)
+    return let(
+        text,
+        lambda t: F.when(
+            t.contains("&"), F.array_join(F.transform(F.split(t, "&"), piece), "")
+        ).otherwise(t),
+    )
 
 
 # --- text -------------------------------------------------------------------
@@ -134,10 +162,10 @@ def _marked(html: Column) -> Column:
 
     Tags are rewritten in one pass over the whole piece.
     """
-    flat = _without(html, "\n", "\t", "\r", "\f", put=" ")
+    flat = _rarely(_without(html, "\n", put=" "), "\t", "\r", "\f", put=" ")
     flat = _without(F.regexp_replace(flat, _TAG, f"{OPEN}$1{CLOSE}"), OPEN + CLOSE)
     breaks = [f"{OPEN}{name}{CLOSE}" for name in ("br", "BR", "Br", "bR")]
-    flat = decode_entities(_without(flat, *breaks, put="\n"))
+    flat = decode_entities(_rarely(flat, *breaks, put="\n"))
     flat = let(
         flat,
         lambda t: F.when(t.contains("  "), F.regexp_replace(t, "  +", " ")).otherwise(t),
@@ -232,11 +260,6 @@ def first_tag(html: Column, pattern: str) -> Column:
     return F.regexp_extract(html, pattern, 0)
 
 
-def has_tag(html: Column, pattern: str, literal: str) -> Column:
-    """Whether some open tag fits; ``literal`` is text that any such tag contains."""
-    return html.contains(literal) & html.rlike(pattern)
-
-
 def _openings(html: Column, name: Column) -> Column:
     return F.regexp_count(html, F.concat(F.lit("(?i)<"), name, F.lit(STOP)))
 
@@ -245,15 +268,14 @@ def _closings(name: Column) -> Column:
     return F.concat(F.lit("(?i)</"), name, F.lit(r"\s*>"))
 
 
-def inner_html(html: Column, pattern: str) -> Column:
-    """Inner HTML of the first element that fits; for pages that have one.
+def inner_html(html: Column, pattern: str, literal: str) -> Column:
+    """Inner HTML of the first element that fits; null if there is none.
 
     The element ends where its closing tags outnumber the openings of the same name
     since its start, so nested elements of that name do not cut it short. If it is
-    never closed it runs to the end of the page.
+    never closed it runs to the end of the page. ``literal`` is text that any fitting
+    tag contains; pages without it are not searched.
     """
-    name = F.lower(F.regexp_extract(html, pattern, 1))
-    after = F.regexp_extract(html, pattern + "(.*)", 2)
 
     def balanced(element: Column) -> Column:
         tag = element["name"]
@@ -276,8 +298,15 @@ def inner_html(html: Column, pattern: str) -> Column:
             ),
         )
 
-    element = F.struct(name.alias("name"), after.alias("after"))
-    return let(element, balanced)
+    def opened(found: Column) -> Column:
+        name = F.lower(F.regexp_extract(found, r"(?i)^<([a-z][a-z0-9:-]*)", 1))
+        after = F.regexp_extract(found, rf"(?s)^<{REST}>(.*)", 1)
+        element = F.struct(name.alias("name"), after.alias("after"))
+        return F.when(found != "", let(element, balanced))
+
+    # The only search; what follows starts at the tag it found.
+    found = F.regexp_extract(html, pattern + ".*", 0)
+    return F.when(html.contains(literal), let(found, opened))
 
 
 def inside_all(html: Column, name: str) -> Column:

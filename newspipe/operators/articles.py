@@ -47,9 +47,7 @@ def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> Data
     parts = found.select(
         "url",
         "page",
-        F.when(
-            H.has_tag(page, author, profile.author_class_part), H.inner_html(page, author)
-        ).alias("author"),
+        H.inner_html(page, author, profile.author_class_part).alias("author"),
     ).select(
         "url",
         "page",
@@ -66,7 +64,7 @@ def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> Data
         H.lines_of(texts[0]).alias("headline"),
         F.when(F.col("has_author"), H.lines_of(texts[1])).alias("author"),
         F.when(
-            H.has_tag(page, published, profile.published_property),
+            page.contains(profile.published_property),
             H.attribute(H.first_tag(page, published), "content"),
         ).alias("publish_time"),
         F.array_join(content, profile.joiner).alias("article_content"),
@@ -78,11 +76,8 @@ def _wrapper(profile: StrictProfile) -> Column:
 
     Null if no wrapper is present.
     """
-    page, chosen = F.col("page"), F
-    for name in profile.wrapper_classes:
-        pattern = H.attribute_pattern("class", name, "has")
-        chosen = chosen.when(H.has_tag(page, pattern, name), H.inner_html(page, pattern))
-    return chosen
+    patterns = {name: H.attribute_pattern("class", name, "has") for name in profile.wrapper_classes}
+    return F.coalesce(*[H.inner_html(F.col("page"), p, name) for name, p in patterns.items()])
 
 
 def _joined(marked: Column, profile: StrictProfile) -> Column:
