@@ -45,7 +45,7 @@ _ATTR = rf"[^\s=>/]++(?:\s*=\s*{_VALUE})?+"
 STOP = r"(?=[\s/>])"
 
 _UNSEEN = (
-    r"(?is)<(?:!--(?:[^-]++|-(?!->))*+(?:-->)?+"
+    r"(?is)<(?=[!sSnNtT])(?:!--(?:[^-]++|-(?!->))*+(?:-->)?+"
     rf"|(script|style|noscript|template|title){STOP}[^<]*+(?:<(?!/\1\s*>)[^<]*+)*+(?:</\1\s*>)?+)"
 )
 _TAG = rf"(?i)<(?:(p|br|/?(?:p|{'|'.join(BLOCK_TAGS)})){STOP}|/?[a-z]|[!?]){REST}>"
@@ -71,7 +71,8 @@ def _rarely(text: Column, *literals: str, put: str) -> Column:
 
 def visible(html: Column) -> Column:
     """The page without comments, scripts and styles (and without our own marks)."""
-    clean = _rarely(html, OPEN, CLOSE, NEXT, put="")
+    marked = html.contains(OPEN) | html.contains(CLOSE) | html.contains(NEXT)
+    clean = F.when(marked, _without(html, OPEN, CLOSE, NEXT)).otherwise(html)
     return F.regexp_replace(clean, _UNSEEN, "")
 
 

@@ -221,3 +221,22 @@ def test_attribute_values_keep_bare_references(spark):
         H.attribute(F.col("t"), "id").alias("id"),
     ).first()
     assert tuple(row) == ("/?a=1&copy=2&b", "x", None)
+
+
+def test_our_own_marks_in_a_page_do_no_harm(spark):
+    html = "<h1>t\u0001h1\u0002</h1><article><p>a\u0003b\u0001p\u0002c</p><p>\u0002d</p></article>"
+    row = extract_lenient(pages(spark, {"u": html})).first()
+    assert (row.headline, row.article_content) == ("th1", "abpc\nd")
+
+
+def test_unseen_parts(spark):
+    bodies = {
+        "case": "<H1>t</H1><SCRIPT>'<p>'</Script ><article><p>a</p></article>",
+        "unclosed script": "<h1>t</h1><article><p>a</p><script>x<p>b</p>",
+        "unclosed comment": "<h1>t</h1><article><p>a</p><!-- x<p>b</p>--",
+        "dashes": "<h1>t</h1><article><p>a</p><!-- - -- ---><p>b</p></article>",
+        "longer names": "<h1>t</h1><article><scripts><p>a</p></scripts></article>",
+        "other end": "<h1>t</h1><style>p</script>q</style><article><p>a</p></article>",
+    }
+    got = by_url(extract_lenient(pages(spark, bodies)), "article_content")
+    assert got == dict.fromkeys(bodies, "a") | {"dashes": "a\nb"}
