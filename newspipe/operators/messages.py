@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+
 from ..functions.plan import computed_once
 
 # What the batch fetch and the publisher ask for by default.
@@ -38,6 +39,7 @@ def project_news(items: DataFrame) -> DataFrame:
     ``content`` is the item's description; its own ``content`` is ignored. Fields the
     input does not have are null.
     """
+
     def field(name: str, kind: str = "string") -> Column:
         return F.col(name) if name in items.columns else F.lit(None).cast(kind)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DataType,
     MapType,
     StringType,
     StructField,
@@ -63,30 +64,53 @@ def flatten_raw(
     of each value is looked up per row. Objects keep their key order, and decimals
     keep their decimals. A boolean column takes JSON booleans only; in a text column
     they are ``true`` and ``false``, or ``True`` and ``False`` with
-    ``titled_booleans``.
+    ``titled_booleans``. Of a repeated key the last one counts. Items that are not JSON
+    objects give rows of nulls.
     """
 
-    def cell(name: Column, value: Column) -> Column:
-        plain = value.cast("string")
-        # Parsed again, and only for the few kinds that a variant respells.
-        spelled = F.from_json(F.col("raw"), MapType(StringType(), StringType()))[name]
+    names, corrupt = schema.names, "_corrupt_record"
+
+    def parsed(kind: DataType) -> Column:
+        fields = [StructField(n, kind) for n in names] + [StructField(corrupt, StringType())]
+        return F.from_json(
+            F.col("raw"), StructType(fields), {"columnNameOfCorruptRecord": corrupt}
+        )
+
+    # Evaluated for the cells that need it only: a variant respells objects and decimals.
+    texts = let(parsed(StringType()), lambda record: F.array(*[record[n] for n in names]))
+
+    def by_kind(value: Column, i: Column) -> Column:
+        plain, items = value.cast("string"), F.try_variant_get(value, "$", "array<string>")
         return let(
             F.schema_of_variant(value),
             lambda kind: F.when(kind.isin("STRING", "BIGINT"), plain)
-            .when(kind.startswith("ARRAY"), join_list(F.try_variant_get(value, "$", "array<string>")))
-            .when(kind.startswith("OBJECT"), spaced_json(spelled))
+            .when(kind.startswith("ARRAY"), join_list(items))
+            .when(kind.startswith("OBJECT"), spaced_json(texts[i]))
             .when(kind == "BOOLEAN", F.initcap(plain) if titled_booleans else plain)
-            .when(kind != "VOID", spelled),
+            .when(kind != "VOID", F.btrim(texts[i], F.lit('"'))),
         )
 
-    def column(field: StructField) -> Column:
-        text = F.col("cells")[field.name]
+    def by_text(text: Column) -> Column:
+        return (
+            F.when(text.startswith("["), join_list(F.from_json(text, "array<string>")))
+            .when(text.startswith("{"), spaced_json(text))
+            .otherwise(text)
+        )
+
+    readable = F.col("item")[corrupt].isNull()
+
+    def column(i: int, field: StructField) -> Column:
+        text = F.col("cells")[i]
         if isinstance(field.dataType, BooleanType):
             is_boolean = F.schema_of_variant(F.col("item")[field.name]) == "BOOLEAN"
-            text = F.when(is_boolean, text.cast("boolean"))
+            text = F.when(is_boolean | ~readable, text.try_cast("boolean"))
         return text.alias(field.name)
 
-    variants = F.from_json(F.col(raw), MapType(StringType(), VariantType()))
-    items = df.select(F.col(raw).alias("raw"), variants.alias("item"))
-    cells = items.select("item", F.transform_values("item", cell).alias("cells"))
-    return cells.select(*[column(f) for f in schema.fields])
+    items = df.select(F.col(raw).alias("raw")).select("raw", parsed(VariantType()).alias("item"))
+    values = F.array(*[F.col("item")[n] for n in names])
+    # Variants refuse objects that repeat a key; plain text does not.
+    cells = F.when(readable, F.transform(values, by_kind)).otherwise(
+        F.transform(texts, by_text)
+    )
+    flat = items.select("item", cells.alias("cells"))
+    return flat.select(*[column(i, f) for i, f in enumerate(schema.fields)])

@@ -89,6 +89,21 @@ def test_raw_items_are_told_apart_by_value(spark):
     assert titled[3].content == "True" and titled[2].title == "true"
 
 
+def test_raw_items_that_repeat_keys_or_are_broken(spark):
+    raws = {
+        '{"title":"a","title":"b","link":"x"}': ("b", "x", None, None, None),
+        '{"link":"x","sentiment_stats":{"k":1,"k":2},"keywords":["a","b"],"duplicate":true}': (
+            None, "x", "a, b", '{"k": 1, "k": 2}', True,
+        ),
+        '{"title":"cut': (None,) * 5,
+        "[1]": (None,) * 5,
+        '{"title":NaN,"link":"\\ud83d\\ude00"}': ("NaN", "😀", None, None, None),
+    }
+    df = spark.createDataFrame([(r,) for r in raws], "raw string").coalesce(1)
+    rows = flatten_raw(df, "raw").select("title", "link", "keywords", "sentiment_stats", "duplicate")
+    assert [tuple(r) for r in rows.collect()] == list(raws.values())
+
+
 def test_raw_items_with_odd_keys(spark):
     raw = json.dumps({"a.b": 1, "c'd": ["x"], "e f": {"g": 2}, 'h"i': "j"})
     df = spark.createDataFrame([(raw,)], "raw string")
