@@ -89,7 +89,7 @@ _NAMED_TEXT = "\n".join(f"{name}={char}" for name, char in _NAMED.items())
 _LEGACY = {name: html5[name] for name in html5 if not name.endswith(";")}
 _LEGACY_TEXT = "\n".join(f"{name}={char}" for name, char in _LEGACY.items())
 _LEGACY_NAME = rf"^(?:{'|'.join(sorted(_LEGACY, key=lambda n: (-len(n), n)))})"
-_NUMBER = r"^#[xX]?([0-9a-fA-F]{1,7});"
+_NUMBER = r"^#[xX]?0*([0-9a-fA-F]{1,7});"
 _MAX = 2**31 - 1
 # Code points 128-159 stand for the windows-1252 characters in HTML.
 _C1 = "".join(chr(c) for c in range(128, 160))
@@ -195,14 +195,24 @@ def paragraphs_of(marked: Column) -> Column:
     """Texts of all ``p`` elements in a marked text, in order, empty ones included.
 
     A paragraph ends at its closing tag, at the next ``p``, at any block tag and at
-    the end of the text, which also covers paragraphs that are never closed. Only the
-    cut and the trim run per paragraph.
+    the end of the text, which also covers paragraphs that are never closed. A closing
+    tag without an open paragraph makes an empty one, as it does in a browser. Only
+    the cut and the trim run per paragraph.
     """
-    pieces = F.split(marked, f"{OPEN}[pP]{CLOSE}")
-    return F.transform(
-        let(pieces, lambda p: F.slice(p, 2, F.size(p))),
-        lambda p: _trimmed(F.substring_index(p, OPEN, 1)),
-    )
+    end = f"{OPEN}/[pP]{CLOSE}"
+
+    def strays(text: Column) -> Column:
+        count = F.when(text.rlike(end), F.regexp_count(text, F.lit(end))).otherwise(0)
+        return F.array_repeat(F.lit(""), count)
+
+    def piece(part: Column, i: Column) -> Column:
+        text = F.array(_trimmed(F.substring_index(part, OPEN, 1)))
+        # What comes first ends the paragraph, whichever tag it is.
+        after = F.substring(part, F.instr(part, CLOSE) + 1, F.lit(_MAX))
+        after = F.when(part.contains(CLOSE), after).otherwise("")
+        return F.when(i == 0, strays(part)).otherwise(F.concat(text, strays(after)))
+
+    return F.flatten(F.transform(F.split(marked, f"{OPEN}[pP]{CLOSE}"), piece))
 
 
 def element_text(html: Column) -> Column:

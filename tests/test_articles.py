@@ -111,6 +111,7 @@ STRICT = {
     "joined": wrapped("<p>a</p><p></p><p>b</p>"),
     "nested div": wrapped("<div><p>a</p></div><div>x<div><p>b</p></div></div><p>c</p>"),
     "unclosed": "<h1>t</h1><time>x</time><div class='entry-content'><p>a<p>b",
+    "stray ends": wrapped("</p><p>a<div>x</div></p><p>b</p></P>"),
     "second token": wrapped("<p>a</p>", "wide entry-content"),
     "longer token": wrapped("<p>a</p>", "entry-contents"),
     "case": wrapped("<p>a</p>", "Entry-Content"),
@@ -131,6 +132,7 @@ def test_strict_content_and_rejects(spark):
         "joined": "a  b",
         "nested div": "a b c",
         "unclosed": "a b",
+        "stray ends": " a  b ",
         "second token": "a",
         "later first": "a",
         "other element": "a",
@@ -203,6 +205,7 @@ def test_broken_pages_neither_overflow_nor_stall(spark):
         ("&hellip;&eacute;", "…é"),
         ("&amp;amp;", "&amp;"),
         ("&amp &ampx", "& &x"),
+        ("&#0000000000039;&#x00000041;", "'A"),
         ("&", "&"),
         ("", ""),
     ],
