@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import licences, slots
+from . import forest, language, licences, page_diff, quality, slots
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -23,6 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_nearest_url_difference(spark, sf_dir):
+    """Main text of every page."""
+    return page_diff.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_virtual_slots(spark, sf_dir):
     """Every document's shard among 40, and its place there."""
@@ -36,3 +41,24 @@ def op3_sentence_rules(spark, sf_dir):
 
 
 ORACLE["op3_sentence_rules"] = licences.oracle_sql("documents")
+
+
+@query
+def op4_lsh_forest(spark, sf_dir):
+    """Component of near-duplicates of every document."""
+    return forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_weak_supervision(spark, sf_dir):
+    """Measures and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "posterior",
+    )
+
+
+@query
+def op10_byte_network(spark, sf_dir):
+    """Language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))
