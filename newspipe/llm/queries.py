@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import forest, language, licences, page_diff, quality, slots
+from . import forest, language, leaks, licences, packing, page_diff, quality, slots
+from .store import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 REGISTRY: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
 def query(run: Query) -> Query:
-    REGISTRY[run.__name__] = run
-    return run
+    @functools.wraps(run)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return run(spark, sf_dir)
+
+    REGISTRY[run.__name__] = shipped
+    return shipped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +58,12 @@ def op4_lsh_forest(spark, sf_dir):
     return forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_rare_seeds(spark, sf_dir):
+    """Every document that holds a benchmark item, exactly or edited, with the item."""
+    return leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_weak_supervision(spark, sf_dir):
     """Measures and verdict of every document."""
@@ -58,6 +73,12 @@ def op7_weak_supervision(spark, sf_dir):
     )
 
 
+@query
+def op8_vector_packing(spark, sf_dir):
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 @query
 def op10_byte_network(spark, sf_dir):
     """Language of every document."""

@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import scratch_dir
 
 
+_shipped: dict[str, str] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each Spark application.
+
+    Functions that run there import it, and no worker need have it on its path. Spark
+    itself hands the archive out from the driver.
+    """
+    context = spark.sparkContext
+    if _shipped.get("to") == context.applicationId:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for source in sorted(package.rglob("*.py")):
+            packed.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped["to"] = context.applicationId
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame below ``spark.checkpoint.dir`` and read it back.
 

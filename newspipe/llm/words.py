@@ -22,6 +22,10 @@ SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+# Lower case, and ASCII signs as blanks: what is left of a text that is quoted loosely.
+PLAIN = LOWER.copy()
+PLAIN[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -89,8 +93,11 @@ class Batch:
         return run_hashes(LOWER[self.data] if lower else self.data, self.start, self.end)
 
 
-def batch(texts: list[bytes]) -> Batch:
+def batch(texts: list[bytes], fold: np.ndarray | None = None) -> Batch:
+    """``fold`` maps every byte to the one that counts for it, such as ``PLAIN``."""
     data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    if fold is not None:
+        data = fold[data]
     offset = np.zeros(len(texts) + 1, np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=offset[1:])
     inside = np.zeros(len(data) + 1, np.int8)
@@ -102,9 +109,11 @@ def batch(texts: list[bytes]) -> Batch:
     return Batch(data, offset, start, end, doc, first)
 
 
-def batches(texts: list[bytes], limit: int = CHUNK) -> Iterator[tuple[slice, Batch]]:
+def batches(
+    texts: list[bytes], fold: np.ndarray | None = None, limit: int = CHUNK
+) -> Iterator[tuple[slice, Batch]]:
     for rows in groups(np.array([len(t) for t in texts], np.int64), limit):
-        yield rows, batch(texts[rows])
+        yield rows, batch(texts[rows], fold)
 
 
 def windows(hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
