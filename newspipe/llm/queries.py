@@ -8,11 +8,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import forest, language, leaks, licences, packing, page_diff, quality, slots
+from . import forest, language, leaks, licences, packing, page_diff, quality, slots, suffixes, surrogates
 from .store import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+# Stands for a secret that a real run gets from its own store.
+SURROGATE_KEY = "a key for the test tables"
 REGISTRY: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -58,6 +60,12 @@ def op4_lsh_forest(spark, sf_dir):
     return forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_two_stage_suffixes(spark, sf_dir):
+    """What is left of every document without strings of 400 bytes that repeat."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op6_rare_seeds(spark, sf_dir):
     """Every document that holds a benchmark item, exactly or edited, with the item."""
@@ -79,6 +87,12 @@ def op8_vector_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+@query
+def op9_keyed_surrogates(spark, sf_dir):
+    """Every document with surrogates for the personal data found."""
+    return surrogates.report(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+
+
 @query
 def op10_byte_network(spark, sf_dir):
     """Language of every document."""
