@@ -28,14 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import words
+from .bitmaps import bitmap, contained
 from .store import stored
 
 SEED = 3
 LEAST_SEEDS = 4
 SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-BITS = 24  # the bitmap has two to this power bits, 2 MB
-_PAGE = 15  # a row of it has two to this power bits
 
 
 def lowered() -> Column:
@@ -69,21 +68,6 @@ def item_grams(items: DataFrame) -> DataFrame:
     )
 
 
-def bitmap(values: DataFrame, column: str) -> np.ndarray:
-    """The lowest bits of the values, as a set of bits; at most 2 ** BITS of them."""
-    low = F.col(column).bitwiseAND((1 << BITS) - 1)
-    pages = (
-        values.select(F.shiftright(low, _PAGE).alias("page"), low.bitwiseAND((1 << _PAGE) - 1).alias("bit"))
-        .groupBy("page")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
-        .collect()  # 2 ** (BITS - _PAGE) pages of 4 KB at most
-    )
-    out = np.zeros((1 << (BITS - _PAGE), 1 << (_PAGE - 3)), np.uint8)
-    for row in pages:
-        out[row["page"]] = np.frombuffer(row["bits"], np.uint8)
-    return out.ravel()
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, text`` as bytes: what identifies a document, and what it holds."""
     text = lowered()
@@ -95,16 +79,13 @@ def occurrences(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # of fixed size
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        mask = words.U((1 << BITS) - 1)
         for frame in frames:
             for rows, b in words.batches(list(frame["text"]), words.PLAIN):
                 part = frame[["doc_id", "text_hash"]].iloc[rows]
                 hashes = b.hashes()
                 for size in sizes:
                     grams, at = words.windows(hashes, b.doc, size)
-                    low = grams & mask
-                    hit = known[low >> words.U(3)] >> (low & words.U(7)).astype(np.uint8) & 1 == 1
+                    hit = contained(shared.value, grams)
                     at, doc = at[hit], b.doc[at[hit]]
                     yield part.iloc[doc].assign(
                         at=at - b.first[doc], size=size, gram=grams[hit].view(np.int64)

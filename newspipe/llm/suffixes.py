@@ -36,6 +36,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bitmaps import maybe_in
 from .store import stored, utf8
 from .words import BASE, INVERSE, U, groups, mix, powers
 
@@ -228,9 +229,16 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
-def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
-    """For each string, where in it a run of ``length`` bytes starts that also starts at
-    another place of these strings."""
+def repeated_starts(
+    strings: list[bytes], length: int, place: np.ndarray, surely: np.ndarray
+) -> list[np.ndarray]:
+    """For each string, where in it a run of ``length`` bytes starts that also starts
+    elsewhere.
+
+    Strings may be cut from the same text and overlap: ``place`` numbers the first byte of
+    each, such that the same byte has the same number everywhere. What is in a string of
+    ``surely`` is known to start elsewhere as well.
+    """
     sizes = np.array([len(s) for s in strings], np.int64)
     offset = np.cumsum(sizes + 1) - sizes - 1
     raw = np.frombuffer(b"".join(s + b"\0" for s in strings) + b"\0", np.uint8)
@@ -242,13 +250,21 @@ def repeated_starts(strings: list[bytes], length: int) -> list[np.ndarray]:
     ends = np.append(np.repeat(offset + sizes, sizes + 1), 0)
     fits = np.arange(len(text)) + length <= ends
     order = order[fits[order]]
+    if not len(order):
+        return [np.empty(0, np.int64) for _ in strings]
     # Common prefixes of neighbours, as far as they matter.
     pair = np.arange(len(order) - 1)
     for at in [*range(0, length - 7, 8), length - 8]:
         pair = pair[packed[order[pair] + at] == packed[order[pair + 1] + at]]
+    new = np.ones(len(order), bool)
+    new[pair + 1] = False
+    head = np.flatnonzero(new)  # runs of suffixes that share the prefix
+    which = np.searchsorted(offset, order, "right") - 1
+    number = place[which] + (order - offset[which])
+    twice = np.minimum.reduceat(number, head) != np.maximum.reduceat(number, head)
+    twice |= np.logical_or.reduceat(surely[which], head)
     marked = np.zeros(len(text), bool)
-    marked[order[pair]] = True
-    marked[order[pair + 1]] = True
+    marked[order] = twice[np.cumsum(new) - 1]
     return [np.flatnonzero(marked[o : o + s]) for o, s in zip(offset, sizes, strict=True)]
 
 
@@ -265,39 +281,50 @@ def _runs(starts: np.ndarray) -> list[tuple[int, int]]:
     )
 
 
+_CONTEXT = (
+    "gram bigint, digest binary, n bigint, crowd bigint, before int, owner bigint, base bigint,"
+    " context binary"
+)
+
+
 def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` contexts with their bytes, each from one text that has it."""
     asked = (
         wanted.groupBy("doc_id", "text_hash")
         .agg(
-            F.collect_list(F.struct("gram", "digest", "crowd", "at", "before", "after")).alias(
-                "places"
-            )
+            F.collect_list(
+                F.struct("gram", "digest", "n", "crowd", "at", "before", "after")
+            ).alias("places")
         )
         .select(
             F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "places"
         )
     )
-    joined = docs.join(
-        asked, docs["doc_id"].eqNullSafe(F.col("__id")) & (docs["text_hash"] == F.col("__hash"))
-    ).select("text", "places")
+    key = F.xxhash64("doc_id", "text_hash")
+    few = docs.filter(maybe_in(wanted.select(key.alias("key")), "key", key))
+    joined = few.join(
+        asked, few["doc_id"].eqNullSafe(F.col("__id")) & (few["text_hash"] == F.col("__hash"))
+    ).select(key.alias("owner"), "text", "places")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for text, places in zip(frame["text"], frame["places"], strict=True):
+            for owner, text, places in zip(
+                frame["owner"], frame["text"], frame["places"], strict=True
+            ):
                 yield pd.DataFrame(
                     [
                         (
-                            p["gram"], p["digest"], p["crowd"], p["before"],
+                            p["gram"], p["digest"], p["n"], p["crowd"], p["before"],
+                            owner, p["at"] - p["before"],
                             text[p["at"] - p["before"] : p["at"] + p["after"]],
                         )
                         for p in places
                     ],
-                    columns=["gram", "digest", "crowd", "before", "context"],
+                    columns=_CONTEXT.replace(",", " ").split()[::2],
                 )
 
     return joined.mapInPandas(
-        run, "gram bigint, digest binary, crowd bigint, before int, context binary"
+        run, _CONTEXT
     ).dropDuplicates(["gram", "digest"])
 
 
@@ -321,7 +348,10 @@ def _split(contexts: DataFrame, length: int, gram: int, width: int) -> DataFrame
         .withColumn("begin", begin)
         .withColumn("end", end)
         .withColumn("key", F.xxhash64("gram", "lo", F.expr("substring(context, int(begin) + 1, int(end - begin))")))
-        .select("gram", "digest", F.col("cut").cast("int").alias("cut"), "key", part.alias("context"))
+        .select(
+            "gram", "digest", "n", "owner", "base", F.col("cut").cast("int").alias("cut"), "key",
+            part.alias("context"),
+        )
     )
 
 
@@ -330,13 +360,16 @@ def searched(contexts: DataFrame, length: int, block: int) -> DataFrame:
     blocks = max(1, -(-contexts.count() // block))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        found = repeated_starts(list(frame["context"]), length)
+        _, owner = np.unique(frame["owner"], return_inverse=True)
+        place = (owner.astype(np.int64) << 40) + (frame["base"] + frame["cut"]).to_numpy()
+        many = (frame["n"] > 1).to_numpy()
+        found = repeated_starts(list(frame["context"]), length, place, many)
         runs = [
             [{"first": a + c, "last": b + c} for a, b in _runs(starts)]
             for starts, c in zip(found, frame["cut"], strict=True)
         ]
         out = frame[["gram", "digest"]].assign(starts=runs)
-        return out[[len(r) > 0 for r in runs]]
+        return out[np.array([len(r) > 0 for r in runs]) & ~many]
 
     return (
         contexts.withColumn("block", F.pmod("key", F.lit(blocks)))
@@ -347,10 +380,17 @@ def searched(contexts: DataFrame, length: int, block: int) -> DataFrame:
 
 def _single_starts(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     """The same by counting whole strings, for what no block can hold together."""
-    strings = _split(contexts, length, gram, 1).select("gram", "digest", "cut", "key")
-    twice = strings.groupBy("key").agg(F.count("*").alias("twice")).filter(F.col("twice") > 1)
+    place = F.struct("owner", (F.col("base") + F.col("cut")).alias("at"))
+    strings = _split(contexts, length, gram, 1).select(
+        "gram", "digest", "n", "cut", "key", place.alias("place")
+    )
+    twice = (
+        strings.groupBy("key")
+        .agg(F.min("place").alias("one"), F.max("place").alias("other"), F.max("n").alias("most"))
+        .filter((F.col("one") != F.col("other")) | (F.col("most") > 1))
+    )
     at = F.col("cut").cast("bigint")
-    return strings.join(twice, "key").select(
+    return strings.filter(F.col("n") == 1).join(twice, "key").select(
         "gram", "digest", F.array(F.struct(at.alias("first"), at.alias("last"))).alias("starts")
     )
 
@@ -370,10 +410,13 @@ def repeats(
     whole = rows.join(contexts.filter(F.col("n") > 1).select("gram", "digest"), ["gram", "digest"])
 
     crowd = contexts.groupBy("gram").agg(F.count("*").alias("crowd")).filter(F.col("crowd") > 1)
-    several = contexts.select("gram", "digest", "n", "place.*").join(crowd, "gram")
+    several = stored(
+        contexts.select("gram", "digest", "n", "place.*").join(crowd, "gram"), "several"
+    )
     texts = stored(fetched(docs, several), "context_texts")
     usual = texts.filter(F.col("crowd") <= block).select(
-        "gram", "digest", F.lit(0).alias("cut"), F.xxhash64("gram").alias("key"), "context"
+        "gram", "digest", "n", "owner", "base", F.lit(0).alias("cut"),
+        F.xxhash64("gram").alias("key"), "context",
     )
     crowded = texts.filter(F.col("crowd") > block)
     parts = stored(
