@@ -77,3 +77,8 @@ def ranked(df: DataFrame, *order: str, name: str = "ranked") -> DataFrame:
 def utf8(text: str) -> Column:
     """Bytes of a text column, null as none."""
     return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+
+
+def row_keys() -> list[Column]:
+    """``__k1, __k2``: 96 bits that tell a document from others, null ids and texts included."""
+    return [F.xxhash64("doc_id", "text").alias("__k1"), F.hash("text", "doc_id").alias("__k2")]

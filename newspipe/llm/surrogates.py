@@ -393,12 +393,14 @@ def replacement(key: str, text: str = "text") -> Column:
 
 
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
-    """The documents with surrogates in their texts, all other columns as they are."""
-    names = docs.columns
+    """The documents with surrogates in their texts, and their lengths if they have them as
+    ``n_chars``; all other columns as they are."""
     new = "__surrogates"
-    return docs.withColumn(new, replacement(key)).select(
-        *[F.col(f"{new}.text").alias("text") if n == "text" else F.col(n) for n in names]
-    )
+    changed = docs.withColumn(new, replacement(key)).withColumn("text", F.col(f"{new}.text"))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
+    return changed.select(*docs.columns)
 
 
 def report(docs: DataFrame, key: str) -> DataFrame:
