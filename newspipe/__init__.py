@@ -37,5 +37,11 @@ from .sinks.kafka import stream_kafka, write_kafka
 from .sources.counter import counter_messages, counter_source, live_counter
 from .sources.kafka import read_kafka
 from .sources.pages import add_section_urls, scan_pages, section_urls
-from .sources.responses import collected_pages, explode_results, landed_pages, read_api_pages
-from .streaming.runs import every, finish, rows_read, stream_parquet, stream_table
+from .sources.responses import (
+    collected_pages,
+    explode_results,
+    landed_items,
+    landed_pages,
+    read_api_pages,
+)
+from .streaming.runs import RowsRead, every, finish, rows_read, stream_parquet, stream_table

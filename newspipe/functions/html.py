@@ -12,12 +12,13 @@ noted below.
 
 from __future__ import annotations
 
+import re
 from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .plan import let
+from .plan import folded, let
 
 # While a text is cut up, a tag that matters is written as OPEN + name + CLOSE, and
 # NEXT parts one piece from another. Pages are cleared of these characters first.
@@ -44,6 +45,16 @@ REST = rf"(?:[^>={NEXT}]++|=\s*{_VALUE}|=)*+"  # up to the end of an open tag
 _ATTR = rf"[^\s=>/]++(?:\s*=\s*{_VALUE})?+"
 STOP = r"(?=[\s/>])"
 
+# Elements with optional closing tags and the tags that end them.
+_ENDED_BY = {
+    "p": rf"(?i)<(?:/?(?:{'|'.join((*BLOCK_TAGS, 'p'))}|/body|/html)){STOP}",
+    "li": rf"(?i)<(?:li|/(?:li|ul|ol|menu)){STOP}",
+    "dt dd": rf"(?i)<(?:d[td]|/(?:d[tdl])){STOP}",
+    "td th": rf"(?i)<(?:t[dhr]|tbody|tfoot|/(?:t[dhr]|table|thead|tbody|tfoot)){STOP}",
+    "tr": rf"(?i)<(?:tr|tbody|tfoot|/(?:tr|table|thead|tbody|tfoot)){STOP}",
+    "option": rf"(?i)<(?:option|optgroup|/(?:option|optgroup|select)){STOP}",
+}
+
 _UNSEEN = (
     r"(?is)<(?=[!sSnNtT])(?:!--(?:[^-]++|-(?!->))*+(?:-->)?+"
     rf"|(script|style|noscript|template|title){STOP}[^<]*+(?:<(?!/\1\s*>)[^<]*+)*+(?:</\1\s*>)?+)"
@@ -83,13 +94,15 @@ _NAMED = {
     "amp": "&", "nbsp": "\u00a0", "#8217": "’", "quot": '"', "#39": "'", "#039": "'", "lt": "<",
     "gt": ">", "#8220": "“", "#8221": "”", "#8216": "‘", "#8211": "–", "#8230": "…", "apos": "'",
 }
-_NAMED |= {name: chr(code) for name, code in name2codepoint.items() if name not in _NAMED}
+_OLD = {name: chr(code) for name, code in name2codepoint.items()}
+_NEW = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+_NAMED = _NAMED | {name: text for name, text in (_OLD | _NEW).items() if name not in _NAMED}
 # One literal, which the optimizer folds into a map.
-_NAMED_TEXT = "\n".join(f"{name}={char}" for name, char in _NAMED.items())
+_NAMED_TEXT = NEXT.join(f"{name}={text}" for name, text in _NAMED.items())
 _LEGACY = {name: html5[name] for name in html5 if not name.endswith(";")}
-_LEGACY_TEXT = "\n".join(f"{name}={char}" for name, char in _LEGACY.items())
+_LEGACY_TEXT = NEXT.join(f"{name}={text}" for name, text in _LEGACY.items())
 _LEGACY_NAME = rf"^(?:{'|'.join(sorted(_LEGACY, key=lambda n: (-len(n), n)))})"
-_NUMBER = r"^#[xX]?0*([0-9a-fA-F]{1,7});"
+_NUMBER = r"^#(?:0*([0-9]+)|[xX]0*([0-9a-fA-F]+));?"
 _MAX = 2**31 - 1
 # Code points 128-159 stand for the windows-1252 characters in HTML.
 _C1 = "".join(chr(c) for c in range(128, 160))
@@ -97,9 +110,14 @@ _C1_SHOWN = "".join(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in ran
 
 
 def _character(code: Column) -> Column:
-    legal = code.between(32, 0xD7FF) | code.between(0xE000, 0x10FFFF) | code.isin(9, 10, 13)
+    """The character of a code point; control characters show nothing, illegal ones U+FFFD."""
+    legal = code.between(32, 0xD7FF) | code.between(0xE000, 0x10FFFF) | code.isin(9, 10, 12, 13)
     char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(legal, F.translate(char, _C1, _C1_SHOWN)).otherwise("")
+    return (
+        F.when(legal, F.translate(char, _C1, _C1_SHOWN))
+        .when(code.between(1, 31), "")
+        .otherwise("\ufffd")
+    )
 
 
 def decode_entities(text: Column, in_attribute: bool = False) -> Column:
@@ -110,7 +128,7 @@ def decode_entities(text: Column, in_attribute: bool = False) -> Column:
     """
 
     def table(pairs: str) -> Column:
-        return F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("="))
+        return F.str_to_map(F.lit(pairs), F.lit(NEXT), F.lit("="))
 
     def rest(part: Column, used: Column) -> Column:
         return F.substring(part, used + 1, F.lit(_MAX))
@@ -125,11 +143,13 @@ def decode_entities(text: Column, in_attribute: bool = False) -> Column:
         )
 
     def number(part: Column) -> Column:
-        digits = F.regexp_extract(part, _NUMBER, 1)
-        code = F.when(part.rlike("^#[xX]"), F.conv(digits, 16, 10)).when(
-            digits.rlike(r"^\d+$"), digits
+        decimal, hexadecimal = F.regexp_extract(part, _NUMBER, 1), F.regexp_extract(part, _NUMBER, 2)
+        # No code point takes more digits than this.
+        code = F.when(F.length(decimal) + F.length(hexadecimal) > 7, F.lit(-1)).otherwise(
+            F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).otherwise(decimal).cast("bigint")
         )
-        return F.concat(_character(code.cast("bigint")), rest(part, F.instr(part, ";")))
+        used = F.length(F.regexp_extract(part, _NUMBER, 0))
+        return let(code, lambda c: F.concat(_character(c), rest(part, used)))
 
     def legacy(part: Column) -> Column:
         return let(
@@ -166,7 +186,9 @@ def _marked(html: Column) -> Column:
     flat = _rarely(_without(html, "\n", put=" "), "\t", "\r", "\f", put=" ")
     flat = _without(F.regexp_replace(flat, _TAG, f"{OPEN}$1{CLOSE}"), OPEN + CLOSE)
     breaks = [f"{OPEN}{name}{CLOSE}" for name in ("br", "BR", "Br", "bR")]
-    flat = decode_entities(_rarely(flat, *breaks, put="\n"))
+    # White space that was written as a reference collapses like any other.
+    flat = _rarely(decode_entities(flat), "\n", "\t", "\r", "\f", put=" ")
+    flat = _rarely(flat, *breaks, put="\n")
     flat = let(
         flat,
         lambda t: F.when(t.contains("  "), F.regexp_replace(t, "  +", " ")).otherwise(t),
@@ -230,6 +252,7 @@ def paragraphs(html: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of an open tag; null if the tag does not have it."""
+    name = re.escape(name)
     front = (
         rf"(?is)^<[a-z][^\s/>]*+(?:[\s/]++(?!{name}[\s=/>]){_ATTR})*+[\s/]++{name}"
         r"""(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))|(?=[\s/>]))"""
@@ -240,7 +263,7 @@ def attribute(tag: Column, name: str) -> Column:
 
 def tag_pattern(name: str) -> str:
     """Pattern of an open tag by element name."""
-    return rf"(?is)<({name}){STOP}{REST}>"
+    return rf"(?is)<({re.escape(name)}){STOP}{REST}>"
 
 
 def attribute_pattern(name: str, value: str, how: str = "is") -> str:
@@ -249,7 +272,7 @@ def attribute_pattern(name: str, value: str, how: str = "is") -> str:
     ``how`` is ``is`` (equal), ``has`` (one of the space-separated words) or
     ``contains`` (anywhere in the value). Group 1 is the element name.
     """
-    word = rf"(?-i:{value})"
+    word, name = rf"(?-i:{re.escape(value)})", re.escape(name)
     forms = {
         "is": (word, word, rf"{word}(?=[\s>])"),
         "has": (
@@ -284,8 +307,10 @@ def inner_html(html: Column, pattern: str, literal: str) -> Column:
 
     The element ends where its closing tags outnumber the openings of the same name
     since its start, so nested elements of that name do not cut it short. If it is
-    never closed it runs to the end of the page. ``literal`` is text that any fitting
-    tag contains; pages without it are not searched.
+    never closed it runs to the end of the page. Elements whose closing tag is optional
+    end at the first tag that closes them, nested lists and tables included, and elements
+    that never have content are empty. ``literal`` is text that any fitting tag contains;
+    pages without it are not searched.
     """
 
     def balanced(element: Column) -> Column:
@@ -313,7 +338,21 @@ def inner_html(html: Column, pattern: str, literal: str) -> Column:
         name = F.lower(F.regexp_extract(found, r"(?i)^<([a-z][a-z0-9:-]*)", 1))
         after = F.regexp_extract(found, rf"(?s)^<{REST}>(.*)", 1)
         element = F.struct(name.alias("name"), after.alias("after"))
-        return F.when(found != "", let(element, balanced))
+        return F.when(found != "", let(element, content))
+
+    def content(element: Column) -> Column:
+        by_name = F.when(element["name"].isin(*VOID_TAGS), "")
+        for names, stop in _ENDED_BY.items():
+            by_name = by_name.when(
+                element["name"].isin(*names.split()),
+                let(
+                    F.regexp_instr(element["after"], F.lit(stop)),
+                    lambda at: F.when(at == 0, element["after"]).otherwise(
+                        F.left(element["after"], at - 1)
+                    ),
+                ),
+            )
+        return by_name.otherwise(balanced(element))
 
     # The only search; what follows starts at the tag it found.
     found = F.regexp_extract(html, pattern + ".*", 0)
@@ -325,17 +364,9 @@ def inside_all(html: Column, name: str) -> Column:
     tag = F.lit(name)
     opening = tag_pattern(name) + "(.*)"
 
-    def step(state: Column, part: Column) -> Column:
-        kept = F.when(state["depth"] > 0, part).otherwise(F.regexp_extract(part, opening, 2))
-        depth = F.greatest(state["depth"] + _openings(part, tag) - 1, F.lit(0))
-        return F.struct(
-            depth.alias("depth"), F.concat(state["kept"], F.array(kept)).alias("kept")
-        )
+    def step(depth: Column, part: Column) -> tuple[Column, Column]:
+        kept = F.when(depth > 0, part).otherwise(F.regexp_extract(part, opening, 2))
+        return F.greatest(depth + _openings(part, tag) - 1, F.lit(0)), kept
 
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
-    return F.aggregate(
-        F.split(html, rf"(?i)</{name}\s*>"),
-        start,
-        step,
-        lambda s: F.array_join(s["kept"], f"</{name}>"),
-    )
+    kept = folded(F.split(html, rf"(?i)</{re.escape(name)}\s*>"), F.lit(0), step)
+    return F.array_join(kept, f"</{name}>")

@@ -6,6 +6,8 @@ shuffles and nothing runs in a Python worker.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,14 +16,15 @@ from ..functions.plan import computed_once
 from ..profiles import LENIENT, STRICT, LenientProfile, StrictProfile
 
 
-def _visible(pages: DataFrame) -> DataFrame:
+def visible_pages(pages: DataFrame) -> DataFrame:
+    """``url, page``: what the rules look at."""
     return computed_once(pages, F.col("url"), H.visible(F.col("html")).alias("page"))
 
 
 def _mentions(pages: DataFrame, *tags: str) -> DataFrame:
     """Pages whose raw text has all of these tags; a cheap look before the real one."""
     for tag in tags:
-        pages = pages.filter(F.col("html").rlike(rf"(?i)<{tag}[\s/>]"))
+        pages = pages.filter(F.col("html").rlike(rf"(?i)<{re.escape(tag)}[\s/>]"))
     return pages
 
 
@@ -30,7 +33,18 @@ def _has(tag: str) -> Column:
 
 
 def _headline_html(tag: str) -> Column:
-    return F.regexp_extract("page", rf"{H.tag_pattern(tag)}(.*?)(?:</{tag}\s*>|\z)", 2)
+    return F.regexp_extract("page", rf"{H.tag_pattern(tag)}(.*?)(?:</{re.escape(tag)}\s*>|\z)", 2)
+
+
+def is_lenient(profile: LenientProfile = LENIENT) -> Column:
+    """Whether ``extract_lenient`` gives a row for a visible page."""
+    return _has(profile.headline_tag)
+
+
+def is_strict(profile: StrictProfile = STRICT) -> Column:
+    """Whether ``extract_strict`` gives a row for a visible page."""
+    content = _joined(H.marked_texts(_wrapper(profile))[0], profile)
+    return _has(profile.headline_tag) & _has(profile.time_tag) & (content != "")
 
 
 def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> DataFrame:
@@ -43,7 +57,7 @@ def extract_lenient(pages: DataFrame, profile: LenientProfile = LENIENT) -> Data
     page, texts = F.col("page"), F.col("texts")
     author = H.attribute_pattern("class", profile.author_class_part, "contains")
     published = H.attribute_pattern("property", profile.published_property)
-    found = _visible(_mentions(pages, profile.headline_tag)).filter(_has(profile.headline_tag))
+    found = visible_pages(_mentions(pages, profile.headline_tag)).filter(_has(profile.headline_tag))
     parts = found.select(
         "url",
         "page",
@@ -92,7 +106,7 @@ def extract_strict(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFra
     in the join, so two of them give a single space, which counts as content.
     """
     tags = profile.headline_tag, profile.time_tag
-    found = _visible(_mentions(pages, *tags)).filter(_has(tags[0]) & _has(tags[1]))
+    found = visible_pages(_mentions(pages, *tags)).filter(_has(tags[0]) & _has(tags[1]))
     texts = H.marked_texts(_headline_html(profile.headline_tag), _wrapper(profile))
     full = computed_once(
         found.select("url", "page", texts.alias("texts")),
@@ -121,5 +135,5 @@ def extract_rejects(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFr
         .when(~_has(profile.time_tag), "no_time")
         .when(content == "", "no_content")
     )
-    found = computed_once(_visible(pages), F.col("url"), reason.alias("reason"))
+    found = computed_once(visible_pages(pages), F.col("url"), reason.alias("reason"))
     return found.filter("reason is not null")

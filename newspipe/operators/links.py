@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions.plan import let
+from ..functions.plan import folded, let
 from ..functions.urls import resolve_href
 from ..profiles import ChildChain, ClassTokens
 
@@ -29,45 +30,46 @@ def _chain_tags(page: Column, names: tuple[str, ...]) -> Column:
     """Open tags at the end of a chain of direct children, in page order.
 
     Walks the tags once, from the first that can start a chain, keeping the open
-    elements as text such as ``<section><div><article>``. A closing tag cuts that path
+    elements, but not what is found, as text such as ``<section><div><article>``. A closing tag cuts that path
     at its last opening.
     """
     void = "|".join(H.VOID_TAGS)
-    part = F.regexp_extract(page, rf"(?is)<{names[0]}[\s/>].*", 0)
+    part = F.regexp_extract(page, rf"(?is)<{re.escape(names[0])}[\s/>].*", 0)
     tokens = F.regexp_extract_all(
         part, F.lit(rf"(?i)<(?!(?:{void})[\s/>])/?[a-z]{H.REST}>"), F.lit(0)
     )
     parents = "".join(f"<{n}>" for n in names[:-1])
 
-    def opened(state: Column, token: Column, element: Column, closed: Column) -> Column:
-        sibling = element.isin(*_CLOSED_BY_SIBLING) & state["path"].endswith(element)
-        before = (
+    def opened(path: Column, element: Column, closed: Column) -> Column:
+        sibling = element.isin(*_CLOSED_BY_SIBLING) & path.endswith(element)
+        return (
             F.when(sibling | (element == "<a>"), closed)
-            .when(element.isin(*_CLOSING_P), F.regexp_replace(state["path"], "<p>$", ""))
-            .otherwise(state["path"])
-        )
-        hit = (element == f"<{names[-1]}>") & before.endswith(parents)
-        return F.struct(
-            F.concat(before, element).alias("path"),
-            F.when(hit, F.concat(state["tags"], F.array(token)))
-            .otherwise(state["tags"])
-            .alias("tags"),
+            .when(element.isin(*_CLOSING_P), F.regexp_replace(path, "<p>$", ""))
+            .otherwise(path)
         )
 
-    def step(state: Column, token: Column) -> Column:
+    def step(path: Column, token: Column) -> tuple[Column, Column]:
         name = F.lower(F.regexp_extract(token, r"^</?([^\s/>]+)", 1))
 
         def advance(element: Column) -> Column:
-            closed = _cut(state["path"], element)
-            return F.when(
-                token.startswith("</"),
-                F.struct(closed.alias("path"), state["tags"].alias("tags")),
-            ).otherwise(opened(state, token, element, closed))
-
-        return let(F.concat(F.lit("<"), name, F.lit(">")), advance)
-
-    start = F.struct(F.lit("").alias("path"), F.array().cast("array<string>").alias("tags"))
-    return F.aggregate(tokens, start, step, lambda s: s["tags"])
+            closed = _cut(path, element)
+            before = F.when(token.startswith("</"), closed).otherwise(opened(path, element, closed))
+            return let(
+                before,
+                lambda b: F.when(
+                    token.startswith("</"), F.struct(b.alias("path"), F.lit(False).alias("hit"))
+                ).otherwise(
+                    F.struct(
+                        F.concat(b, element).alias("path"),
+                        ((element == f"<{names[-1]}>") & b.endswith(parents)).alias("hit"),
+                    )
+                ),
+            )
+
+        now = let(F.concat(F.lit("<"), name, F.lit(">")), advance)
+        return now["path"], F.when(now["hit"], token)
+
+    return folded(tokens, F.lit(""), step)
 
 
 def _token_tags(page: Column, tokens: tuple[str, ...]) -> Column:
@@ -85,34 +87,37 @@ def _token_tags(page: Column, tokens: tuple[str, ...]) -> Column:
     return F.filter(tags, all_present)
 
 
+def _likely(rule: ChildChain | ClassTokens) -> Column:
+    """A cheap look at the raw page before the real one."""
+    if isinstance(rule, ChildChain):
+        found = [F.col("html").rlike(rf"(?i)<{re.escape(n)}[\s/>]") for n in rule.names[:-1]]
+    else:
+        found = [F.col("html").contains(t) for t in rule.tokens]
+    return reduce(lambda a, b: a & b, found, F.lit(True))
+
+
+def _hrefs(page: Column, rule: ChildChain | ClassTokens) -> Column:
+    tags = _chain_tags(page, rule.names) if isinstance(rule, ChildChain) else _token_tags(page, rule.tokens)
+    return F.filter(F.transform(tags, lambda t: H.attribute(t, "href")), lambda h: h != "")
+
+
+def count_links(rule: ChildChain | ClassTokens) -> Column:
+    """How many links ``extract_links`` finds on a page."""
+    found = F.size(_hrefs(H.visible(F.col("html")), rule))
+    return F.when(_likely(rule), found).otherwise(0)
+
+
 def extract_links(pages: DataFrame, rule: ChildChain | ClassTokens) -> DataFrame:
     """One row ``(…, pos, href)`` per link; all columns of ``pages`` but ``html`` stay.
 
     Links without or with an empty ``href`` are left out, duplicates are kept, and
     ``pos`` counts the links of a page from 0 in page order.
     """
-    if isinstance(rule, ChildChain):
-        words, find, spec = rule.names[:-1], _chain_tags, rule.names
-    else:
-        words, find, spec = rule.tokens, _token_tags, rule.tokens
     kept = [c for c in pages.columns if c != "html"]
-    likely = reduce(
-        lambda a, b: a & b,
-        [
-            F.col("html").rlike(rf"(?i)<{w}[\s/>]")
-            if isinstance(rule, ChildChain)
-            else F.col("html").contains(w)
-            for w in words
-        ],
-    )
-    hrefs = F.filter(
-        F.transform(find(F.col("page"), spec), lambda t: H.attribute(t, "href")),
-        lambda h: h != "",
-    )
     return (
-        pages.filter(likely)
+        pages.filter(_likely(rule))
         .select(*kept, H.visible(F.col("html")).alias("page"))
-        .select(*kept, F.posexplode(hrefs).alias("pos", "href"))
+        .select(*kept, F.posexplode(_hrefs(F.col("page"), rule)).alias("pos", "href"))
     )
 
 

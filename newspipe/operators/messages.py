@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
-
-from ..functions.plan import computed_once
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+)
+
+from ..functions.plan import computed_once, let
+from ..functions.values import join_list, spaced_json
 
 # What the batch fetch and the publisher ask for by default.
 BATCH_QUERY = {"country": "us", "category": "crime", "language": "en"}
 PUBLISH_QUERY = {"category": "crime", "language": "en"}
 
-# Where from_json puts the text of a message it cannot read.
-_CORRUPT = "_corrupt_record"
+# Closes the brackets around a message.
+_END = "end of message"
 
 
 def filter_news(
@@ -77,22 +86,70 @@ def to_wire(df: DataFrame, ascii_only: bool = False) -> DataFrame:
 
 
 def _parsed(wire: DataFrame, schema: StructType) -> DataFrame:
+    """``value`` and ``record``: the fields as text, null where the message is no object.
+
+    Set between brackets with an element of our own after it, a message that is exactly
+    one JSON value is the first of two; trailing text breaks that or adds to it.
+    """
     text = F.col("value").cast("string")
-    fields = StructType([*schema.fields, StructField(_CORRUPT, StringType())])
-    record = F.from_json(text, fields, {"columnNameOfCorruptRecord": _CORRUPT})
-    # from_json would take the first element of a JSON array as the record.
-    is_object = text.rlike(r"^\s*\{") & F.call_function("is_valid_utf8", text)
+    strict = {"allowSingleQuotes": "false"}
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')), "array<string>", strict)
+    is_object = (
+        text.rlike(r"^\s*\{")
+        & F.call_function("is_valid_utf8", text)
+        & let(alone, lambda parts: (F.size(parts) == 2) & (F.try_element_at(parts, F.lit(2)) == _END))
+    )
+    def fields(kind: DataType) -> StructType:
+        return StructType([StructField(name, kind) for name in schema.names])
+
+    def with_kinds(record: Column) -> Column:
+        # Only a text that looks like a list or an object may be one; then its kind tells.
+        texts = [f.name for f in schema.fields if isinstance(f.dataType, StringType)]
+        nested = F.exists(F.array(*[record[n] for n in texts]), lambda t: t.rlike(r"^[\[{]"))
+        kinds = F.from_json(text, fields(VariantType()), strict)
+        return F.struct(
+            record.alias("text"), F.when(nested if texts else F.lit(False), kinds).alias("kind")
+        )
+
+    record = let(F.from_json(text, fields(StringType()), strict), with_kinds)
     return computed_once(wire, F.col("value"), F.when(is_object, record).alias("record"))
 
 
+def _field(field: StructField) -> Column:
+    """A field of a message, given as text, in the type asked for.
+
+    A text takes lists joined and objects as JSON text. A list of texts takes a single value
+    as a list of one. What fits a type in no way is null in that field only.
+    """
+    text, kind = F.col(f"record.text.`{field.name}`"), field.dataType
+    if isinstance(kind, StringType):
+        found = F.schema_of_variant(F.col(f"record.kind.`{field.name}`"))
+        value = (
+            F.when(found.startswith("ARRAY"), join_list(F.from_json(text, "array<string>")))
+            .when(found.startswith("OBJECT"), spaced_json(text))
+            .otherwise(text)
+        )
+    elif isinstance(kind, ArrayType) and isinstance(kind.elementType, StringType):
+        several = F.when(text.startswith("["), F.from_json(text, kind))
+        value = F.coalesce(several, F.when(text.isNotNull(), F.array(text)))
+    elif isinstance(kind, (ArrayType, StructType, MapType)):
+        value = F.from_json(text, kind)
+    else:
+        value = text.try_cast(kind)
+    return value.alias(field.name)
+
+
 def _readable() -> Column:
-    return F.col("record").isNotNull() & F.col(f"record.{_CORRUPT}").isNull()
+    return F.col("record").isNotNull()
 
 
 def from_wire(wire: DataFrame, schema: StructType) -> DataFrame:
-    """The records of readable messages; keys that are not in the schema are ignored."""
+    """The records of all messages that are JSON objects.
+
+    Keys that are not in the schema are ignored, keys that are missing are null.
+    """
     parsed = _parsed(wire, schema).filter(_readable())
-    return parsed.select(*[F.col(f"record.`{name}`") for name in schema.names])
+    return parsed.select(*[_field(field) for field in schema.fields])
 
 
 def wire_rejects(wire: DataFrame, schema: StructType) -> DataFrame:

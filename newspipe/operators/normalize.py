@@ -76,10 +76,16 @@ def flatten_raw(
             F.col("raw"), StructType(fields), {"columnNameOfCorruptRecord": corrupt}
         )
 
-    # Evaluated for the cells that need it only: a variant respells objects and decimals.
-    texts = let(parsed(StringType()), lambda record: F.array(*[record[n] for n in names]))
+    # A variant respells objects and decimals, so their cells come from the text. It is parsed
+    # once for an item, and not at all if no cell asks for it.
+    as_text = let(parsed(StringType()), lambda record: F.array(*[record[n] for n in names]))
 
-    def by_kind(value: Column, i: Column) -> Column:
+    def respelled(value: Column) -> Column:
+        kind = F.schema_of_variant(value)
+        plain = kind.startswith("ARRAY") | kind.isin("STRING", "BIGINT", "BOOLEAN", "VOID")
+        return F.coalesce(~plain, F.lit(False))
+
+    def by_kind(value: Column, i: Column, texts: Column) -> Column:
         plain, items = value.cast("string"), F.try_variant_get(value, "$", "array<string>")
         return let(
             F.schema_of_variant(value),
@@ -109,8 +115,13 @@ def flatten_raw(
     items = df.select(F.col(raw).alias("raw")).select("raw", parsed(VariantType()).alias("item"))
     values = F.array(*[F.col("item")[n] for n in names])
     # Variants refuse objects that repeat a key; plain text does not.
-    cells = F.when(readable, F.transform(values, by_kind)).otherwise(
-        F.transform(texts, by_text)
+    asks = ~readable | F.exists("values", respelled)
+    cells = let(
+        F.when(asks, as_text),
+        lambda texts: F.when(
+            readable, F.transform("values", lambda value, i: by_kind(value, i, texts))
+        ).otherwise(F.transform(texts, by_text)),
     )
+    items = items.select("raw", "item", values.alias("values"))
     flat = items.select("item", cells.alias("cells"))
     return flat.select(*[column(i, f) for i, f in enumerate(schema.fields)])

@@ -8,18 +8,27 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, DataType, StructField, StructType
 
 from ..operators.analyze import count_rows, key_union, sample
 from ..operators.articles import extract_lenient, extract_strict
 from ..operators.links import extract_links, resolve_links
-from ..operators.messages import from_wire, limit_messages, project_news, to_wire
+from ..operators.messages import (
+    PUBLISH_QUERY,
+    filter_news,
+    from_wire,
+    limit_messages,
+    project_news,
+    to_wire,
+)
 from ..operators.normalize import flatten_raw
 from ..profiles import CHILD_CHAIN, CLASS_TOKENS
-from ..schemas import LENIENT_ARTICLE, STRICT_ARTICLE, STRICT_CSV_NAMES
+from ..schemas import LENIENT_ARTICLE, NEWS_SOURCE_ITEM, STRICT_ARTICLE, STRICT_CSV_NAMES
 from ..sinks.csv import stream_csv, write_csv, write_raw_csv
-from ..sources.responses import read_api_pages
-from ..streaming.runs import stream_parquet
+from ..sinks.kafka import stream_kafka
+from ..sources.kafka import read_kafka
+from ..sources.responses import explode_results, landed_pages, read_api_pages
+from ..streaming.runs import stream_parquet, stream_table
 
 T = TypeVar("T")
 
@@ -30,7 +39,11 @@ def collect_links(listings: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def articles_to_csv(
-    pages: DataFrame, path: str, strict: bool = False, max_records_per_file: int | None = None
+    pages: DataFrame,
+    path: str,
+    strict: bool = False,
+    max_records_per_file: int | None = None,
+    max_bytes_per_file: int | None = None,
 ) -> None:
     """Stored article pages to CSV files."""
     if strict:
@@ -38,28 +51,96 @@ def articles_to_csv(
     else:
         articles, columns, rename = extract_lenient(pages), LENIENT_ARTICLE.names, None
     write_csv(
-        articles, path, columns, rename=rename, max_records_per_file=max_records_per_file
+        articles,
+        path,
+        columns,
+        rename=rename,
+        max_records_per_file=max_records_per_file,
+        max_bytes_per_file=max_bytes_per_file,
     )
 
 
 def publish_articles(
-    pages: DataFrame, topic: str, checkpoint: str, strict: bool = False, trigger: dict | None = None
-) -> StreamingQuery:
-    """A stream of pages to a topic of article messages, kept as a table of ``value``."""
+    pages: DataFrame, send: Callable[[DataFrame], T], strict: bool = False
+) -> T:
+    """Pages, a batch or a stream, to article messages.
+
+    ``send`` takes the frame of ``value`` to its sink, see ``to_table`` and ``to_kafka``.
+    """
     articles = extract_strict(pages) if strict else extract_lenient(pages)
-    return stream_parquet(to_wire(articles), topic, checkpoint, trigger)
+    return send(to_wire(articles))
+
+
+def to_table(
+    topic: str, checkpoint: str, trigger: dict | None = None
+) -> Callable[[DataFrame], StreamingQuery]:
+    """Sends a stream of messages to a topic kept as a table of ``value``."""
+    return lambda wire: stream_parquet(wire, topic, checkpoint, trigger)
 
 
-def read_topic(spark: SparkSession, topic: str) -> DataFrame:
-    """The messages of a topic kept as a table, as a stream."""
-    return spark.readStream.schema("value binary").parquet(topic)
+def to_kafka(
+    servers: str, topic: str, checkpoint: str, trigger: dict | None = None
+) -> Callable[[DataFrame], StreamingQuery]:
+    """Sends a stream of messages to a Kafka topic."""
+    return lambda wire: stream_kafka(wire, servers, topic, checkpoint, trigger)
+
+
+def read_topic(spark: SparkSession, topic: str, max_bytes: int | None = None) -> DataFrame:
+    """The messages of a topic kept as a table, as a stream in steps of ``max_bytes``."""
+    return stream_table(spark, topic, StructType([StructField("value", BinaryType())]), max_bytes)
 
 
 def consume_to_csv(
-    wire: DataFrame, schema: StructType, path: str, checkpoint: str, trigger: dict | None = None
+    wire: DataFrame,
+    schema: StructType,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_records_per_file: int | None = None,
 ) -> StreamingQuery:
-    """A stream of messages to CSV files; unreadable messages are left out."""
-    return stream_csv(from_wire(wire, schema), path, checkpoint, schema.names, trigger)
+    """A stream of messages to CSV files; unreadable messages are left out.
+
+    A step writes a file for each of its tasks at most, so that the bound on what a step
+    reads, set at the source, bounds the files too.
+    """
+    return stream_csv(
+        from_wire(wire, schema), path, checkpoint, schema.names, trigger, max_records_per_file
+    )
+
+
+def consume_topic_to_csv(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    schema: StructType,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_records_per_file: int | None = None,
+    **settings,
+) -> StreamingQuery:
+    """A Kafka topic, from its earliest message on, to CSV files."""
+    wire = read_kafka(spark, servers, topic, **settings)
+    return consume_to_csv(wire, schema, path, checkpoint, trigger, max_records_per_file)
+
+
+def publish_continuously(
+    spark: SparkSession,
+    landing: str,
+    send: Callable[[DataFrame], T],
+    item: DataType = NEWS_SOURCE_ITEM,
+    max_messages: int | None = None,
+    max_files: int | None = None,
+    **asked: str,
+) -> T:
+    """Responses as they land, to messages of the items that fit the publisher's question.
+
+    ``asked`` overrides parts of ``PUBLISH_QUERY``; ``max_files`` bounds a step.
+    """
+    options = {"maxFilesPerTrigger": max_files} if max_files else {}
+    pages = landed_pages(spark, landing, item, stream=True, **options)
+    items = filter_news(explode_results(pages), **(PUBLISH_QUERY | asked))
+    return publish_news(items, send, max_messages)
 
 
 def news_messages(items: DataFrame, max_messages: int | None = None) -> DataFrame:
@@ -76,10 +157,19 @@ def publish_news(
 
 
 def append_news(
-    messages: DataFrame, path: str | None, max_records_per_file: int | None = None
+    messages: DataFrame,
+    path: str | None,
+    max_records_per_file: int | None = None,
+    max_bytes_per_file: int | None = None,
 ) -> None:
     """Add messages to a folder of CSV files, the last incomplete batch included."""
-    write_csv(messages, path, mode="append", max_records_per_file=max_records_per_file)
+    write_csv(
+        messages,
+        path,
+        mode="append",
+        max_records_per_file=max_records_per_file,
+        max_bytes_per_file=max_bytes_per_file,
+    )
 
 
 @dataclass
@@ -97,9 +187,12 @@ def fetch_report(pages: DataFrame, count: int = 5) -> FetchReport:
     return FetchReport(count_rows(items), sample(items, count), key_union(items, "raw"))
 
 
-def fetch_to_csv(pages: DataFrame, path: str) -> list[str]:
-    """Raw items of a batch fetch to CSV under the union of their keys."""
-    return write_raw_csv(read_api_pages(pages), "raw", path)
+def fetch_to_csv(pages: DataFrame, path: str, max_keys: int | None = None, **bounds) -> list[str]:
+    """Raw items of a batch fetch to CSV under the union of their keys.
+
+    ``bounds`` are those of the files.
+    """
+    return write_raw_csv(read_api_pages(pages), "raw", path, max_keys=max_keys, **bounds)
 
 
 def typed_news(pages: DataFrame) -> DataFrame:

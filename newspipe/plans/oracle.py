@@ -44,7 +44,7 @@ api as (
  select fetch_seq, pos, fetch_seq || '-' || pos as article_id, left(line, 80) as title,
   line as description, 'https://news.example.org/' || fetch_seq || '/' || pos as link,
   lang as language,
-  case when (fetch_seq + pos) % 2 = 0 then 'crime' else 'top' end || ', ' || source as category,
+  concat_ws(', ', case when (fetch_seq + pos) % 2 = 0 then 'crime' else 'top' end, source) as category,
   case when (fetch_seq + pos) % 3 = 0 then 'us' else 'my' end as country
  from lines)"""
 _FAILED = "(select max(doc_id) * 8 // 10 from documents)"
@@ -53,8 +53,8 @@ _MESSAGES = """messages as (
  select event_id, event_type as title, props as content,
   strftime(ts, '%Y-%m-%d %H:%M:%S') as "pubDate",
   'https://news.example.org/' || event_id as link,
-  event_type || ', user ' || user_id as category,
-  '["' || event_type || '","user ' || user_id || '"]' as category_json
+  nullif(concat_ws(', ', event_type, 'user ' || user_id), '') as category,
+  to_json([event_type, 'user ' || user_id]) as category_json
  from events)"""
 
 
@@ -84,7 +84,8 @@ def _paragraphs(scope: str) -> str:
 _HEADLINE = _text("regexp_extract(page, '(?s)<h1>(.*?)</h1>', 1)")
 _LENIENT = f"""lenient as (
  select url, {_HEADLINE} as headline,
-  nullif(regexp_extract(page, 'class="[^"]*author[^"]*">([^<]*)<', 1), '') as author,
+  case when contains(page, 'author-avatar') then ''
+   else nullif(regexp_extract(page, 'class="[^"]*author[^"]*">([^<]*)<', 1), '') end as author,
   nullif(regexp_extract(page, 'published_time" content="([^"]*)"', 1), '') as publish_time,
   array_to_string(list_filter({_paragraphs("regexp_extract(page, '(?s)<article>(.*?)</article>', 1)")},
    lambda t: t <> ''), chr(10)) as article_content
@@ -126,12 +127,6 @@ _RESOLVED = f"""case when spelled like 'https://%' then spelled
 
 # --- queries ----------------------------------------------------------------
 
-_NEWS_KEYS = (
-    "article_id", "title", "description", "link", "language", "keywords", "category",
-    "country", "sentiment_stats", "duplicate", "fetch_seq", "pos",
-)
-_KEYS = " union all ".join(f"select '{k}' as key from documents" for k in _NEWS_KEYS)
-
 _LISTS = f"""{_joined('keywords')} as keywords, {_joined('category')} as category,
  {_joined('country')} as country"""
 
@@ -183,23 +178,28 @@ select {_PROJECTED} from first""",
     "sample_news": f"""with {_NEWS} select fetch_seq, pos, article_id, title, link from news
 order by fetch_seq, pos limit 5""",
     "count_news": f"with {_API} select count(*) as n from api where fetch_seq < {_FAILED}",
-    "key_union": f"select distinct key from ({_KEYS})",
+    "key_union": f"""with {_LABELLED} select distinct unnest(json_keys(to_json(n))) as key
+from news n""",
     "fill_missing": f"""with {_NEWS}
 select article_id, title, fetch_seq, cast(null as varchar) as link,
  cast(null as varchar) as language from news where category[1] = 'crime'
 union all select article_id, null, null, link, language from news where category[1] <> 'crime'""",
     "flatten_lists": f"with {_NEWS} select article_id, {_LISTS}, pos from news",
     "flatten_dicts": f"""with {_NEWS} select article_id, sentiment_stats,
- '{{"title": ' || coalesce(to_json(title), 'null') || ', "pos": ' || pos || ', "languages": ["' || language || '"]}}'
+ '{{"title": ' || coalesce(to_json(title), 'null') || ', "pos": ' || pos || ', "languages": [' || coalesce(to_json(language), 'null') || ']}}'
  as nested from news""",
     "news_typed": f"""with {_LABELLED} select article_id, title, link, description, language,
  {_LISTS}, sentiment_stats, duplicate, {_ABSENT} from news""",
     "headline_label": """select doc_id, left(text, 60) as saved, left(text, 60) || '...' as sending
 from documents""",
-    "wire_encode": f"""with {_MESSAGES} select '{{"title":' || to_json(title) || ',"content":'
- || coalesce(to_json(content), 'null') || ',"pubDate":"' || "pubDate" || '","link":"' || link || '","category":'
- || category_json || '}}' as value from messages""",
-    "wire_decode": _DECODED,
+    "wire_encode": f"""with {_MESSAGES} select '{{"title":' || coalesce(to_json(title), 'null')
+ || ',"content":' || coalesce(to_json(content), 'null') || ',"pubDate":'
+ || coalesce(to_json("pubDate"), 'null') || ',"link":' || coalesce(to_json(link), 'null')
+ || ',"category":' || category_json || '}}' as value from messages""",
+    "wire_decode": f"""with {_MESSAGES} select title, content, "pubDate", link,
+ case coalesce(event_id % 3, 0) when 0 then category when 1 then title
+  else '{{"type":' || coalesce(to_json(title), 'null') || '}}' end as category
+from messages""",
     "wire_decode_rejects": "select event_id || ' cats' as value from events where event_id % 3 = 0",
     "csv_roundtrip_article": """select 'https://news.example.org/' || doc_id as url,
  nullif(left(text, 60), '') as headline,

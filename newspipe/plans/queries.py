@@ -22,7 +22,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 # Large enough that files stay worth opening, small enough to be read by one task.
-ROWS_PER_FILE = 100_000
+BYTES_PER_FILE = 128 << 20
+# What a step of a stream reads, so that a restart repeats no more than that.
+BYTES_PER_STEP = 1 << 30
 
 
 def query(run: Query) -> Query:
@@ -91,17 +93,20 @@ def extract_rejects(spark, sf_dir):
 
 @query
 def count_scrape(spark, sf_dir):
-    """How many links and articles each kind of site gives."""
+    """How many links and articles each kind of site gives, in one pass for each view."""
     site, listing = views.site_pages(spark, sf_dir), views.listing_pages(spark, sf_dir)
-    results = {
-        "lenient articles": articles.extract_lenient(site),
-        "lenient links": links.extract_links(listing, CHILD_CHAIN),
-        "strict articles": articles.extract_strict(site),
-        "strict links": links.extract_links(listing, CLASS_TOKENS),
-    }
     counts = [
-        analyze.count_rows(df).select(F.lit(what).alias("what"), "n")
-        for what, df in results.items()
+        analyze.count_each(
+            articles.visible_pages(site),
+            {"lenient articles": articles.is_lenient(), "strict articles": articles.is_strict()},
+        ),
+        analyze.count_each(
+            listing,
+            {
+                "lenient links": links.count_links(CHILD_CHAIN),
+                "strict links": links.count_links(CLASS_TOKENS),
+            },
+        ),
     ]
     return reduce(DataFrame.unionByName, counts)
 
@@ -153,8 +158,8 @@ def key_union(spark, sf_dir):
 @query
 def fill_missing(spark, sf_dir):
     items = views.news_items(spark, sf_dir)
-    crime = items.filter(F.array_contains("category", "crime"))
-    other = items.filter(~F.array_contains("category", "crime"))
+    is_crime = F.coalesce(F.array_contains("category", "crime"), F.lit(False))
+    crime, other = items.filter(is_crime), items.filter(~is_crime)
     return normalize.fill_missing(
         crime.select("article_id", "title", "fetch_seq"),
         other.select("article_id", "link", "language"),
@@ -206,7 +211,21 @@ def wire_encode(spark, sf_dir):
 
 @query
 def wire_decode(spark, sf_dir):
-    wire = messages.to_wire(_event_messages(spark, sf_dir))
+    """Messages whose category is a list, a plain text or an object."""
+    events = views.table(spark, sf_dir, "events")
+    form = F.coalesce(F.col("event_id") % 3, F.lit(0))
+    spelled = {
+        0: F.col("category"),
+        1: F.col("title"),
+        2: F.struct(F.col("title").alias("type")),
+    }
+    wires = [
+        messages.to_wire(
+            views.event_messages(events.filter(form == k)).withColumn("category", category)
+        )
+        for k, category in spelled.items()
+    ]
+    wire = reduce(DataFrame.unionByName, wires)
     return normalize.flatten(messages.from_wire(wire, NEWS_MESSAGE))
 
 
@@ -214,7 +233,7 @@ def wire_decode(spark, sf_dir):
 def wire_decode_rejects(spark, sf_dir):
     """Every third event arrives as a plain counter message."""
     events = views.table(spark, sf_dir, "events")
-    plain = F.col("event_id") % 3 == 0
+    plain = F.coalesce(F.col("event_id") % 3 == 0, F.lit(False))
     wire = messages.to_wire(views.event_messages(events.filter(~plain))).unionByName(
         counter.counter_messages(events.filter(plain), "event_id")
     )
@@ -237,7 +256,7 @@ def csv_roundtrip_article(spark, sf_dir):
         path,
         STRICT_ARTICLE.names,
         rename=STRICT_CSV_NAMES,
-        max_records_per_file=ROWS_PER_FILE,
+        max_bytes_per_file=BYTES_PER_FILE,
     )
     names = [STRICT_CSV_NAMES.get(name, name) for name in STRICT_ARTICLE.names]
     back = csv.read_csv(spark, path, text_fields(*names))
@@ -249,7 +268,7 @@ def csv_roundtrip_news(spark, sf_dir):
     """Raw items written under the union of their keys."""
     path = scratch_dir(spark, "news.csv")
     keys = csv.write_raw_csv(
-        views.raw_items(spark, sf_dir), "raw", path, max_records_per_file=ROWS_PER_FILE
+        views.raw_items(spark, sf_dir), "raw", path, max_bytes_per_file=BYTES_PER_FILE
     )
     return csv.read_csv(spark, path, text_fields(*keys))
 
@@ -259,8 +278,8 @@ def append_csv(spark, sf_dir):
     """Two appends to one folder, no matter which comes first."""
     path = scratch_dir(spark, "appended.csv")
     items = _event_messages(spark, sf_dir)
-    for batch in (items.filter("title = 'click'"), items.filter("title <> 'click'")):
-        flows.append_news(batch, path, max_records_per_file=ROWS_PER_FILE)
+    for batch in (items.filter("title <=> 'click'"), items.filter("not title <=> 'click'")):
+        flows.append_news(batch, path, max_bytes_per_file=BYTES_PER_FILE)
     return csv.read_csv(spark, path, text_fields(*NEWS_MESSAGE.names))
 
 
@@ -269,7 +288,7 @@ def append_csv(spark, sf_dir):
 
 def _stream(spark, sf_dir, name):
     schema = views.table(spark, sf_dir, name).schema
-    return runs.stream_table(spark, f"{sf_dir}/{name}.parquet", schema)
+    return runs.stream_table(spark, f"{sf_dir}/{name}.parquet", schema, BYTES_PER_STEP)
 
 
 def _published_events(spark, sf_dir, base):
@@ -277,7 +296,7 @@ def _published_events(spark, sf_dir, base):
     events = _stream(spark, sf_dir, "events")
     wire = messages.to_wire(views.event_messages(events).withColumn("unexpected", F.lit(1)))
     runs.finish(runs.stream_parquet(wire, f"{base}/topic", f"{base}/publish"))
-    return flows.read_topic(spark, f"{base}/topic")
+    return flows.read_topic(spark, f"{base}/topic", BYTES_PER_STEP)
 
 
 @query
@@ -304,8 +323,10 @@ def stream_extract_strict(spark, sf_dir):
     site = _stream(spark, sf_dir, "pages").select(
         "url", F.expr(views.SITE_HTML).alias("html")
     )
-    runs.finish(flows.publish_articles(site, f"{base}/topic", f"{base}/publish", strict=True))
-    records = messages.from_wire(flows.read_topic(spark, f"{base}/topic"), STRICT_ARTICLE)
+    send = flows.to_table(f"{base}/topic", f"{base}/publish")
+    runs.finish(flows.publish_articles(site, send, strict=True))
+    wire = flows.read_topic(spark, f"{base}/topic", BYTES_PER_STEP)
+    records = messages.from_wire(wire, STRICT_ARTICLE)
     runs.finish(runs.stream_parquet(records, f"{base}/records", f"{base}/consume"))
     return spark.read.parquet(f"{base}/records")
 
@@ -317,7 +338,9 @@ def stream_api_project(spark, sf_dir):
     landed = views.api_pages(spark, sf_dir)
     landed.write.json(f"{base}/landing")
     item = landed.schema["results"].dataType.elementType
-    stream = responses.landed_pages(spark, f"{base}/landing", item, stream=True)
+    stream = responses.landed_pages(
+        spark, f"{base}/landing", item, stream=True, maxBytesPerTrigger=BYTES_PER_STEP
+    )
     news = normalize.flatten(messages.project_news(responses.explode_results(stream)))
     runs.finish(runs.stream_parquet(news, f"{base}/news", f"{base}/publish"))
     return spark.read.parquet(f"{base}/news")

@@ -16,7 +16,7 @@ SITE_HTML = """case page_id % 6
  when 2 then replace(replace(html, '<article>', '<time datetime="2025-04-11">x</time><div class="dable-content-wrapper"></div><div class="entry-content">'), '</article>', '</div>')
  when 3 then replace(replace(html, '<article>', '<time>x</time><div class="article-content wide">'), '</article>', '</div>')
  when 4 then replace(replace(html, '<h1>', '<h2>'), '</h1>', '</h2>')
- else html end"""
+ else replace(html, '<article>', '<img class="author-avatar" src="a.png"><article>') end"""
 
 LISTING_HTML = """case page_id % 3
  when 0 then replace(replace(html, '<li><a href=', '<section><article><a href='), '</a></li>', '</a></article></section>')
@@ -36,7 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article pages: author and time, three wrappers, no headline, plain."""
+    """Article pages: author and time, three wrappers, no headline, an empty author."""
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", "url", F.expr(SITE_HTML).alias("html"))
 
@@ -86,8 +86,8 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed API responses: one per document, one result per line of its text.
 
-    Every 50th response has no results, the last one no next page, and the one 80%
-    of the way through failed.
+    Every 50th response has no results, every seventh no error flag, the last one no next
+    page, and the one 80% of the way through failed.
     """
     documents = table(spark, sf_dir, "documents")
     item = F.transform(
@@ -112,7 +112,7 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("fetch_seq") == F.floor(F.col("last") * 8 / 10)
     return landed.select(
         "fetch_seq",
-        failed.alias("error"),
+        F.when(failed | (F.col("fetch_seq") % 7 != 3), failed).alias("error"),
         F.when(~failed & (F.col("fetch_seq") % 50 != 49), item).alias("results"),
         F.when(F.col("fetch_seq") < F.col("last"), (F.col("fetch_seq") + 1).cast("string")).alias(
             "nextPage"

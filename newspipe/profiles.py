@@ -9,6 +9,7 @@ from dataclasses import dataclass
 class LenientProfile:
     """Fields may be missing; only a page without headline is dropped."""
 
+    # What the pages of this kind of site use.
     headline_tag: str = "h1"
     author_class_part: str = "author"
     published_property: str = "article:published_time"

@@ -40,6 +40,15 @@ NEWS_ITEM = StructType(
     ]
 )
 
+# What a publisher needs of an API item as it was landed.
+NEWS_SOURCE_ITEM = StructType(
+    [
+        *text_fields("title", "description", "pubDate", "link", "language").fields,
+        StructField("category", ArrayType(StringType())),
+        StructField("country", ArrayType(StringType())),
+    ]
+)
+
 # The batch CSV of the strict site spells its date column with spaces.
 STRICT_CSV_NAMES = {"date_published": "date of published"}
 

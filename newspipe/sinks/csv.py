@@ -7,6 +7,8 @@ both written as nothing and read back as null.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,6 +46,18 @@ def csv_rows(df: DataFrame, columns: list[str] | None = None, rename: dict | Non
     return flat.select(*[cell(f) for f in flat.schema.fields])
 
 
+def _write_options(rows: DataFrame) -> dict[str, str]:
+    """A line with nothing on it is no row, so a lone column has its blanks quoted."""
+    quoted = {"emptyValue": '""', "nullValue": '""'} if len(rows.columns) == 1 else {}
+    return WRITE_OPTIONS | quoted
+
+
+def _bytes(rows: DataFrame) -> int:
+    """Size of the rows as text, without quotes."""
+    cells = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 1 for c in rows.columns]
+    return rows.agg(F.sum(reduce(Column.__add__, cells))).first()[0] or 0
+
+
 def write_csv(
     df: DataFrame,
     path: str | None,
@@ -51,15 +65,21 @@ def write_csv(
     mode: str = "overwrite",
     rename: dict | None = None,
     max_records_per_file: int | None = None,
+    max_bytes_per_file: int | None = None,
 ) -> None:
     """Write one file per task, or more if ``max_records_per_file`` is given.
 
-    Without a path nothing is written. ``mode="append"`` adds files.
+    With ``max_bytes_per_file`` the rows are first measured, in a pass of their own, and
+    dealt out evenly to as many files as that takes; a file may exceed it by the size of a
+    few rows. Without a path nothing is written. ``mode="append"`` adds files.
     """
     if not path:
         print("No path given, nothing written.")
         return
-    writer = csv_rows(df, columns, rename).write.mode(mode).options(**WRITE_OPTIONS)
+    rows = csv_rows(df, columns, rename)
+    if max_bytes_per_file:
+        rows = rows.repartition(max(1, -(-_bytes(rows) // max_bytes_per_file)))
+    writer = rows.write.mode(mode).options(**_write_options(rows))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.csv(path)
@@ -71,19 +91,32 @@ def write_raw_csv(
     path: str,
     mode: str = "overwrite",
     max_records_per_file: int | None = None,
+    max_bytes_per_file: int | None = None,
+    max_keys: int | None = None,
 ) -> list[str]:
-    """Raw JSON items under the union of their keys in ascending order."""
-    keys = key_list(df, raw)
+    """Raw JSON items under the union of their keys in ascending order.
+
+    The header has to be known first, so the input is read once for the keys and once for
+    the rows; store what is costly to work out before. More than ``max_keys`` keys are an
+    error.
+    """
+    keys = key_list(df, raw, at_most=max_keys)
     rows = flatten_raw(df, raw, text_fields(*keys), titled_booleans=True)
-    write_csv(rows, path, mode=mode, max_records_per_file=max_records_per_file)
+    write_csv(
+        rows,
+        path,
+        mode=mode,
+        max_records_per_file=max_records_per_file,
+        max_bytes_per_file=max_bytes_per_file,
+    )
     return keys
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read back what ``write_csv`` wrote; rows may span lines.
 
-    A file is then read by one task. Keep files small with ``max_records_per_file``
-    where they are read again, or keep the records in a columnar format.
+    A file is then read by one task. Keep files small with ``max_bytes_per_file`` where
+    they are read again, or keep the records in a columnar format.
     """
     return spark.read.schema(schema).options(**READ_OPTIONS).csv(path)
 
@@ -98,7 +131,7 @@ def stream_csv(
 ) -> StreamingQuery:
     """Append every micro-batch as CSV files, exactly once per checkpoint."""
     rows = csv_rows(df, columns)
-    writer = rows.writeStream.format("csv").options(**WRITE_OPTIONS)
+    writer = rows.writeStream.format("csv").options(**_write_options(rows))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     return (

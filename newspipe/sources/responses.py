@@ -23,6 +23,15 @@ def landed_pages(
     return reader.schema(api_page(item or StringType())).options(**options).json(path)
 
 
+def landed_items(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Items landed as JSON lines under the columns that their keys give.
+
+    Types are inferred, which reads the files once more; a ``samplingRatio`` among the
+    options makes that cheaper, at the risk of missing rare keys.
+    """
+    return spark.read.options(**options).json(path)
+
+
 def explode_results(pages: DataFrame) -> DataFrame:
     """One row ``(fetch_seq, pos, item fields…)`` per result; no results, no rows."""
     results = F.coalesce(F.col("results"), F.array())
@@ -36,14 +45,15 @@ def explode_results(pages: DataFrame) -> DataFrame:
 def collected_pages(pages: DataFrame) -> DataFrame:
     """The responses a fetch loop collects: up to the first page without a next one.
 
-    A failed page ends the loop too; what came before it is kept. The end is found by
-    a one-row aggregate over the narrow columns and enters the filter as a scalar
-    subquery, so there is no join.
+    A failed page ends the loop too; what came before it is kept. A page without error
+    flag has not failed. The end is found by a one-row aggregate over the narrow columns
+    and enters the filter as a scalar subquery, so there is no join. A landed line that is
+    no JSON has no place in the order; it neither ends the loop nor gives items.
     """
-    last = F.col("error") | (F.coalesce(F.col("nextPage"), F.lit("")) == "")
-    ends = pages.filter(F.coalesce(last, F.lit(True))).agg(F.min("fetch_seq"))
-    stop = F.coalesce(ends.scalar(), F.lit(2**63 - 1))
     failed = F.coalesce(F.col("error"), F.lit(False))
+    last = failed | (F.coalesce(F.col("nextPage"), F.lit("")) == "")
+    ends = pages.filter(last).agg(F.min("fetch_seq"))
+    stop = F.coalesce(ends.scalar(), F.lit(2**63 - 1))
     return pages.filter((F.col("fetch_seq") <= stop) & ~failed)
 
 

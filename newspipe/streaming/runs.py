@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -14,6 +16,18 @@ def every(seconds: int = 60) -> dict:
     return {"processingTime": f"{seconds} seconds"}
 
 
+def _pattern(path: str) -> str:
+    """A glob pattern that matches just this path: the last letter as a choice of one.
+
+    A stream over a single file needs one. Spark's file streams read the files of a folder
+    more than once if its name has characters that mean something in patterns, so such
+    names are refused.
+    """
+    if re.search(r"[\\\[\]{}*?]", path):
+        raise ValueError(f"a file stream cannot read from a name with pattern characters: {path}")
+    return re.sub(r"(\w)(?=\W*$)", r"[\1]", path.rstrip("/"))
+
+
 def stream_table(
     spark: SparkSession, path: str, schema: StructType, max_bytes: int | None = None
 ) -> DataFrame:
@@ -25,8 +39,7 @@ def stream_table(
     reader = spark.readStream.schema(schema)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    # A stream over a plain file name needs a glob; this one matches just the name.
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    return reader.parquet(_pattern(path))
 
 
 def stream_parquet(
@@ -37,17 +50,51 @@ def stream_parquet(
     return writer.trigger(**(trigger or ONCE)).start(path)
 
 
-def finish(query: StreamingQuery) -> None:
-    """Wait for a bounded run; the query is stopped in any case."""
+class RowsRead:
+    """Rows a query has read, added up by batch however many batches there are.
+
+    Spark keeps the last ``spark.sql.streaming.numRecentProgressUpdates`` reports only, so
+    ``look`` has to be called more often than that many batches pass, which ``finish`` does.
+    Batches are numbered without gaps: one that was never seen is an error, not a low count.
+    """
+
+    def __init__(self, query: StreamingQuery) -> None:
+        self.query = query
+        self.by_batch: dict[int, int] = {}
+
+    def look(self) -> None:
+        for report in self.query.recentProgress:
+            batch, rows = report["batchId"], report["numInputRows"]
+            self.by_batch[batch] = max(rows, self.by_batch.get(batch, 0))
+
+    @property
+    def total(self) -> int:
+        self.look()
+        if self.by_batch:
+            missing = set(range(min(self.by_batch), max(self.by_batch))) - set(self.by_batch)
+            if missing:
+                raise RuntimeError(f"no report seen of {len(missing)} batches")
+        return sum(self.by_batch.values())
+
+
+def finish(query: StreamingQuery) -> int:
+    """Wait for a bounded run; the query is stopped in any case. Gives the rows read."""
+    rows = RowsRead(query)
     try:
-        query.awaitTermination()
+        while not query.awaitTermination(timeout=1):
+            rows.look()
+        return rows.total
     finally:
         query.stop()
 
 
 def rows_read(query: StreamingQuery) -> int:
-    """Rows the query has read so far, summed over the progress reports Spark keeps.
+    """Rows the query has read so far.
 
-    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them.
+    An error if Spark may have dropped reports already; follow long runs with ``RowsRead``.
     """
-    return sum(report["numInputRows"] for report in query.recentProgress)
+    spark = SparkSession.getActiveSession()
+    kept = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(query.recentProgress) >= kept - 1:  # the oldest goes before the newest comes
+        raise RuntimeError(f"only the last {kept} reports are kept")
+    return RowsRead(query).total

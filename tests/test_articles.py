@@ -1,5 +1,7 @@
 """Extraction rules on hand-made pages, one per branch."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ LENIENT_CONTENT = {
     "comment": "a",
     "spaces": "a b\nc",
     "hard space": " \na  b",
-    "entities": "&lt; <b> ’A © 1 &bogus; a&b",
+    "entities": "&lt; <b> ’A © 1 &bogus; a&b \ufffd",
     "upper case": "a\nb",
     "attributes": "a\nb",
     "pre is no p": "a",
@@ -200,8 +202,8 @@ def test_broken_pages_neither_overflow_nor_stall(spark):
     [
         ("&#146;", "’"),
         ("&#x1F600;", "😀"),
-        ("&#55296;", ""),
-        ("&#99999999;", "&#99999999;"),
+        ("&#55296;", "\ufffd"),
+        ("&#99999999;", "\ufffd"),
         ("&hellip;&eacute;", "…é"),
         ("&amp;amp;", "&amp;"),
         ("&amp &ampx", "& &x"),
@@ -243,3 +245,73 @@ def test_unseen_parts(spark):
     }
     got = by_url(extract_lenient(pages(spark, bodies)), "article_content")
     assert got == dict.fromkeys(bodies, "a") | {"dashes": "a\nb"}
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        ('<img class="author-avatar"><nav>n</nav><article><p>x</p></article>', ""),
+        ('<link class="author" href="a"><p>x</p>', ""),
+        ('<ul><li class="author">By A<li>Share</ul><p>x</p>', "By A"),
+        ('<p class="author">By A<div>x</div>', "By A"),
+        ('<dl><dt class="author">By A<dd>x</dl>', "By A"),
+        ('<table><tr><td class="author">By A<td>x</table>', "By A"),
+        ('<div class="author">By <div>A</div> B</div>x', "By\nA\nB"),
+    ],
+)
+def test_author_ends_where_its_element_does(spark, body, want):
+    df = pages(spark, {"u": "<h1>t</h1>" + body})
+    assert by_url(extract_lenient(df), "author") == {"u": want}
+
+
+def test_a_wrapper_without_content_rejects_the_page(spark):
+    df = pages(spark, {"u": '<h1>t</h1><time>x</time><input class="entry-content"><p>x</p>'})
+    assert extract_strict(df).count() == 0
+    assert by_url(extract_rejects(df), "reason") == {"u": "no_content"}
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("a&#10;b&#9;c", "a b c"),
+        ("x&#13;&#10;y", "x y"),
+        ("a&NewLine;&Tab;b", "a b"),
+        ("a<br>&#10; b", "a\nb"),
+        ("&#8212 z", "— z"),
+        ("&#x110000;", "\ufffd"),
+        ("&#0;q", "\ufffdq"),
+        ("&#xD800;", "\ufffd"),
+        ("&#00000000000000065;&#x00000000041;", "AA"),
+        ("&#99999999999999999999;", "\ufffd"),
+        ("&hearts;&CounterClockwiseContourIntegral;&NotEqualTilde;&equals;", "♥∳≂̸="),
+        ("&#x;&#;", "&#x;&#;"),
+    ],
+)
+def test_references_in_text(spark, text, want):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert df.select(H.element_text(F.col("t"))).first()[0] == want
+
+
+def test_references_in_attributes_keep_their_white_space(spark):
+    df = spark.createDataFrame([('<a href="a&#10;b&copy=1&#8212">',)], "t string")
+    assert df.select(H.attribute(F.col("t"), "href")).first()[0] == "a\nb&copy=1—"
+
+
+@pytest.mark.parametrize("value", ["w-[10px]", "a+b", "x.y", "(z)", "a|b", "^$", "c*"])
+def test_profile_values_are_no_patterns(spark, value):
+    df = spark.createDataFrame([(f'<p class="q"><a class="u {value} v" href=h>',)], "t string")
+    tag = H.first_tag(F.col("t"), H.attribute_pattern("class", value, "has"))
+    assert df.select(H.attribute(tag, "href")).first()[0] == "h"
+
+
+def test_time_grows_with_the_page(spark):
+    def seconds(body):
+        df = pages(spark, {"u": "<h1>t</h1>" + body})
+        start = time.perf_counter()
+        text = extract_lenient(df).first()["article_content"]
+        assert text == "\n".join(["x"] * body.count("<article>"))
+        return time.perf_counter() - start
+
+    article = "<article><p>x</p></article>"
+    seconds(article * 100)
+    assert seconds(article * 16_000) < 8

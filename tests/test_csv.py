@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from newspipe import finish, read_csv, scratch_dir, stream_csv, write_csv, write_raw_csv
+from newspipe import finish, key_list, read_csv, scratch_dir, stream_csv, write_csv, write_raw_csv
 from newspipe.plans import flows
 from newspipe.schemas import STRICT_ARTICLE, text_fields
 from newspipe.sinks.csv import BATCH_RECORDS
@@ -123,3 +123,26 @@ def test_scratch_is_below_the_shared_folder(spark, name):
     path = scratch_dir(spark, name)
     assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert path != scratch_dir(spark, name)
+
+
+def test_blank_rows_of_a_lone_column_survive(spark, tmp_path):
+    df = spark.createDataFrame([("a",), (None,), ("",), ("b",), (" ",)], "x string").coalesce(1)
+    write_csv(df, f"{tmp_path}/one")
+    back = read_csv(spark, f"{tmp_path}/one", df.schema)
+    assert [r.x for r in back.collect()] == ["a", None, None, "b", " "]
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    df = spark.range(2000).selectExpr("repeat('x', 1000) as a", "id").coalesce(1)
+    write_csv(df, f"{tmp_path}/out", max_bytes_per_file=200_000)
+    sizes = [p.stat().st_size for p in (tmp_path / "out").glob("*.csv")]
+    assert len(sizes) >= 10 and max(sizes) < 230_000
+    assert read_csv(spark, f"{tmp_path}/out", df.selectExpr("a", "string(id) id").schema).count() == 2000
+
+
+def test_any_number_of_keys(spark, tmp_path):
+    raw = [("{" + ",".join(f'"k{i}":{i}' for i in range(j, 10_050, 3)) + "}",) for j in range(3)]
+    df = spark.createDataFrame(raw, "raw string")
+    assert len(key_list(df, "raw")) == 10_050
+    with pytest.raises(ValueError):
+        write_raw_csv(df, "raw", f"{tmp_path}/x", max_keys=100)

@@ -1,3 +1,4 @@
+import time
 """Links and their addresses on hand-made listings."""
 
 from urllib.parse import urljoin
@@ -113,3 +114,11 @@ def test_collected_links_are_absolute(spark):
         "url string, html string",
     )
     assert flows.collect_links(df, strict=True).first().href == "https://a.example.org/p"
+
+
+def test_a_page_with_many_links(spark):
+    link = "<section><article><a href='/x'>x</a></article></section>"
+    df = spark.createDataFrame([("u", link * 16_000)], "url string, html string")
+    start = time.perf_counter()
+    assert extract_links(df, CHILD_CHAIN).count() == 16_000
+    assert time.perf_counter() - start < 20

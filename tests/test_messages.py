@@ -4,6 +4,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from newspipe import (
     BATCH_QUERY,
@@ -14,6 +15,7 @@ from newspipe import (
     filter_news,
     from_wire,
     get_session,
+    landed_items,
     landed_pages,
     limit_messages,
     project_news,
@@ -85,12 +87,63 @@ def test_a_running_session_is_kept(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
-def test_missing_flags_count_as_an_end(spark, tmp_path):
+def test_a_missing_next_page_is_an_end(spark, tmp_path):
     df = landed(spark, tmp_path, [{"fetch_seq": 0, "results": []}, page(1, "a", None)])
     assert collected_pages(df).count() == 1
     assert explode_results(df).count() == 1
 
 
+def test_a_missing_error_flag_is_no_failure(spark, tmp_path):
+    pages = [page(0, "a", "1"), page(1, "b", "2"), page(2, "c", None), page(3, "d", None)]
+    df = landed(spark, tmp_path, [{k: v for k, v in p.items() if k != "error"} for p in pages])
+    assert [json.loads(r.raw)["title"] for r in read_api_pages(df).collect()] == ["a", "b", "c"]
+
+
+def test_a_line_that_is_no_json_neither_ends_a_fetch_nor_gives_items(spark, tmp_path):
+    df = landed(spark, tmp_path, [page(0, "a", "1"), page(1, "b", None)])
+    path = str(tmp_path / "broken")
+    df.select(F.to_json(F.struct("*")).alias("value")).union(
+        spark.createDataFrame([("no json",)], "value string")
+    ).coalesce(1).write.text(path)
+    assert read_api_pages(landed_pages(spark, path)).count() == 2
+
+
+def test_landed_items_get_the_columns_their_keys_give(spark, tmp_path):
+    (tmp_path / "items.json").write_text('{"title": "a", "n": 1}\n{"title": "b", "tags": ["x"]}\n')
+    df = landed_items(spark, str(tmp_path / "items.json"))
+    assert dict(df.dtypes) == {"n": "bigint", "tags": "array<string>", "title": "string"}
+    assert df.count() == 2
+
+
+def test_every_json_object_is_a_record_and_nothing_else(spark):
+    good = {
+        '{"title":"x","category":"crime"}': ("x", ["crime"]),
+        '{"title":"x","category":["a","b"]}': ("x", ["a", "b"]),
+        '{"title":"x","category":{"k":1}}': ("x", ['{"k":1}']),
+        '{"title":["a","b"],"category":null}': ("a, b", None),
+        '{"title":{"k":1},"zz":2}': ('{"k": 1}', None),
+        '{"title":"[Breaking] news"}': ("[Breaking] news", None),
+        '{"title":"{x"}': ("{x", None),
+        '{"title":5}': ("5", None),
+        ' {} ': (None, None),
+        '{"title":"a","title":"b"}': ("b", None),
+    }
+    bad = [
+        "{'title':'single'}", '{"title":"trail"} junk', '{"a":1},{"b":2}', '{"a":1}]junk[', "[]",
+        '["a"]', "null", "0 cats", "", '{"a":', '"text"', None,
+    ]
+    texts = [*good, *bad]
+    wire = spark.createDataFrame([(t,) for t in texts], "value string").selectExpr(
+        "cast(value as binary) value"
+    )
+    schema = StructType(
+        [StructField("title", StringType()), StructField("category", ArrayType(StringType()))]
+    )
+    assert [(r.title, r.category) for r in from_wire(wire, schema).collect()] == list(good.values())
+    rejected = [None if r.value is None else bytes(r.value).decode() for r in wire_rejects(wire, schema).collect()]
+    assert rejected == bad
+
+
 def test_fetch_report_and_typed_table(spark, tmp_path):
     df = landed(spark, tmp_path, [page(0, "abc", "1"), page(1, "de", None)])
     report = flows.fetch_report(df, count=4)
@@ -155,13 +208,13 @@ def test_wire_keeps_nulls_and_text(spark):
 
 
 def test_unreadable_messages_go_to_the_rejects(spark):
-    good = [b'{"title":"a","zz":1}', b'{"category":["x"]}', b"{}", b' {"title":null}']
-    bad = [b"0 cats", b"", b"null", b"5", b'"x"', b"[]", b'[{"title":"a"}]', b'{"title":', b'{"category":5}', b'{"title":"\xff"}']
+    good = [b'{"title":"a","zz":1}', b'{"category":["x"]}', b"{}", b' {"title":null}', b'{"category":5}']
+    bad = [b"0 cats", b"", b"null", b"5", b'"x"', b"[]", b'[{"title":"a"}]', b'{"title":', b'{"title":"\xff"}']
     df = spark.createDataFrame([(bytearray(v),) for v in [*good, *bad, None] if v is not None], "value binary")
     records = from_wire(df, NEWS_MESSAGE)
     assert records.columns == NEWS_MESSAGE.names
     assert sorted((r.title or "", r.category or []) for r in records.collect()) == [
-        ("", []), ("", []), ("", ["x"]), ("a", []),
+        ("", []), ("", []), ("", ["5"]), ("", ["x"]), ("a", []),
     ]
     assert sorted(bytes(r.value) for r in wire_rejects(df, NEWS_MESSAGE).collect()) == sorted(bad)
 

@@ -1,7 +1,7 @@
 """The same comparison on tables with hot values and gaps.
 
 A third of the pages share one address, a third of the documents one source, language
-and text, a third of the events one user; some texts are missing or empty.
+and text, a third of the events one user; some texts, sources, types and ids are missing.
 """
 
 import compare
@@ -21,11 +21,13 @@ TABLES = {
         when doc_id % 40 = 10 then 'a "b" \\ c, d' || chr(10) || chr(10) || ' e'
         else text end as text,
         case when doc_id % 3 = 0 then 'en' else lang end as lang,
-        case when doc_id % 3 = 0 then 'hot' else source end as source, n_chars
+        case when doc_id % 3 = 0 then 'hot' when doc_id % 8 = 5 then null else source end as source,
+        n_chars
         from documents where doc_id < 400""",
     "labels": "select * from labels",
-    "events": """select event_id, ts, case when event_id % 3 = 0 then 1 else user_id end as user_id,
-        event_type, value, case when event_id % 10 = 7 then null else props end as props
+    "events": """select case when event_id % 25 = 11 then null else event_id end as event_id, ts,
+        case when event_id % 3 = 0 then 1 else user_id end as user_id,
+        case when event_id % 10 = 4 then null else event_type end as event_type, value, case when event_id % 10 = 7 then null else props end as props
         from events where event_id < 900""",
 }
 
