@@ -30,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .bitmaps import maybe_in
 from .components import components
-from .store import ranked, stored, utf8
+from .store import map_frames, ranked, row_keys, stored, utf8
 
 SHINGLE = 5
 PERCENT = 85
@@ -41,7 +42,9 @@ LEAST_PREFIX = 2
 RUN = 16  # as many nodes are compared with each other
 BESIDE = 3  # in larger runs, each with as many neighbours
 CHUNK = 4096
-HEADS = 2
+# Pairs whose signatures agree in a smaller share are not compared in full. At the least
+# similarity that counts, this is more than six standard deviations off.
+SCREEN = 0.62
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = _rng.integers(1, 2**63, TREES * DEPTH, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -65,16 +68,16 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """The smallest 32-bit value of the set under each hash function."""
-    least = np.full(len(_FACTOR), 2**32 - 1, np.uint64)
+    """The smallest value of the set under each hash function, cut to its low 16 bits."""
+    least = np.full(len(_FACTOR), 2**48 - 1, np.uint64)
     for at in range(0, len(shingles), 4096):
-        values = (shingles[at : at + 4096, None] * _FACTOR + _SHIFT) >> np.uint64(32)
+        values = (shingles[at : at + 4096, None] * _FACTOR + _SHIFT) >> np.uint64(16)
         np.minimum(least, values.min(axis=0), out=least)
-    return least.astype(np.uint32)
+    return least.astype(">u2")
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, digest, signature`` of every document."""
+    """``doc_id, n_shingles, digest, signature`` and the row keys of every document."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -83,13 +86,12 @@ def sketched(docs: DataFrame) -> DataFrame:
                 n.append(len(shingles))
                 some = len(shingles) > 0
                 digest.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if some else None)
-                sign.append(signature(shingles).astype(">u4").tobytes() if some else None)
-            yield frame[["doc_id"]].assign(n_shingles=n, digest=digest, signature=sign)
+                sign.append(signature(shingles).tobytes() if some else None)
+            yield frame.drop(columns="text").assign(n_shingles=n, digest=digest, signature=sign)
 
-    source = docs.select("doc_id", utf8("text").alias("text"))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInPandas(
-        run, f"doc_id {kind}, n_shingles long, digest binary, signature binary"
+    source = docs.select("doc_id", *row_keys(), utf8("text").alias("text"))
+    return map_frames(
+        source, run, "__k1 bigint, __k2 int, n_shingles long, digest binary, signature binary"
     )
 
 
@@ -121,7 +123,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     rows = nodes.select("node", "n_shingles", "signature", trees.alias("tree")).select(
         "tree",
-        F.substring("signature", F.col("tree") * DEPTH * 4 + 1, F.lit(DEPTH * 4)).alias("label"),
+        F.substring("signature", F.col("tree") * DEPTH * 2 + 1, F.lit(DEPTH * 2)).alias("label"),
         "node",
         "n_shingles",
     )
@@ -134,7 +136,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
 
     def search(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("rank")
-        label = np.frombuffer(b"".join(frame["label"]), ">u4").reshape(len(frame), DEPTH)
+        label = np.frombuffer(b"".join(frame["label"]), ">u2").reshape(len(frame), DEPTH).astype(np.int32)
         tree = frame["tree"].to_numpy()[:, None]
         pairs = np.array(chunk_candidates(np.hstack((tree, label)), LEAST_PREFIX + 1), np.int64)
         pairs = pairs.reshape(-1, 2)
@@ -153,22 +155,21 @@ def candidates(nodes: DataFrame) -> DataFrame:
     )
     # Runs that share whole labels: how crowded a node's places are over all trees tells
     # which ones the others in its runs derive from.
-    runs = order.groupBy("tree", "label").agg(F.count("*").alias("crowd")).filter(
-        F.col("crowd") > RUN
-    )
-    crowded = order.select("tree", "label", "node").join(runs, ["tree", "label"])
+    places = order.select(F.xxhash64("tree", "label").alias("place"), "node")
+    runs = places.groupBy("place").agg(F.count("*").alias("crowd")).filter(F.col("crowd") > RUN)
+    crowded = places.join(runs, "place")
     central = crowded.groupBy("node").agg(F.sum("crowd").alias("central"))
     crowded = stored(crowded.join(central, "node"), "crowded")
     pick = F.struct("central", (-F.col("node")).alias("node"))
-    heads = crowded.groupBy("tree", "label").agg(F.max(pick).alias("head"))
+    heads = crowded.groupBy("place").agg(F.max(pick).alias("head"))
     second = (
-        crowded.join(heads, ["tree", "label"])
+        crowded.join(heads, "place")
         .filter(F.col("node") != -F.col("head.node"))
-        .groupBy("tree", "label")
+        .groupBy("place")
         .agg(F.max(pick).alias("head"))
     )
-    heads = heads.unionByName(second).select("tree", "label", (-F.col("head.node")).alias("head"))
-    to_heads = crowded.join(heads, ["tree", "label"]).select(
+    heads = heads.unionByName(second).select("place", (-F.col("head.node")).alias("head"))
+    to_heads = crowded.join(heads, "place").select(
         F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")
     )
     return beside.unionByName(to_heads).filter(F.col("a") < F.col("b")).distinct()
@@ -183,10 +184,29 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum()) if len(b) else 0
 
 
+def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree enough."""
+
+    def alike(x: pd.Series, y: pd.Series) -> pd.Series:
+        left = np.frombuffer(b"".join(x), np.uint16).reshape(len(x), -1)
+        right = np.frombuffer(b"".join(y), np.uint16).reshape(len(y), -1)
+        return pd.Series((left == right).mean(axis=1) >= SCREEN)
+
+    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("x"))
+    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("y"))
+    close = F.pandas_udf(alike, "boolean")("x", "y")
+    return pairs.join(left, "a").join(right, "b").filter(close).select("a", "b").distinct()
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs that are links, told from the full shingle sets."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    asked = docs.select("doc_id", utf8("text").alias("text")).join(ids, "doc_id")
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "asked")
+    key = F.xxhash64("doc_id")
+    asked = (
+        docs.select("doc_id", utf8("text").alias("text"))
+        .filter(maybe_in(ids.select(key.alias("key")), "key", key))
+        .join(ids, "doc_id")
+    )
 
     def to_sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -196,7 +216,6 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     kind = asked.schema["doc_id"].dataType.simpleString()
     sets = stored(asked.mapInPandas(to_sets, f"doc_id {kind}, shingles binary"), "shingle_sets")
 
-    @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
         out = []
         for p, q in zip(x, y, strict=True):
@@ -205,13 +224,14 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             out.append(100 * shared >= PERCENT * (len(p) + len(q) - shared) and shared > 0)
         return pd.Series(out, dtype=bool)
 
+    link = F.pandas_udf(linked, "boolean")("x", "y")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").filter(linked("x", "y")).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(link).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every document."""
+    """``doc_id, n_shingles, component_id, kept`` and the row keys of every document."""
     sketches = stored(sketched(docs), "sketches")
     nodes = (
         sketches.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -223,7 +243,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
     )
     nodes = stored(nodes, "nodes")
-    pairs = stored(candidates(nodes), "candidates")
+    pairs = stored(screened(candidates(nodes), nodes), "candidates")
     links = stored(confirmed(docs, pairs), "links")
     roots = components(links)
     named = nodes.join(roots, "node", "left").select(
@@ -231,10 +251,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     alone = F.when(F.col("n_shingles") == 0, F.col("doc_id"))
     return (
-        sketches.select("doc_id", "n_shingles", "digest")
+        sketches.drop("signature")
         .join(named, "digest", "left")
         .select(
-            "doc_id", "n_shingles", F.coalesce("component_id", alone).alias("component_id")
+            "doc_id",
+            "n_shingles",
+            F.coalesce("component_id", alone).alias("component_id"),
+            "__k1",
+            "__k2",
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
     )
+
+
+def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One document of each component, all columns as they are.
+
+    A document without id stays if its component has no name, and of rows that are equal in
+    id and text one stays.
+    """
+    found = near_duplicates(docs)
+    unnamed = F.col("doc_id").isNull() & F.col("component_id").isNull()
+    staying = found.filter(F.col("kept") | unnamed).select("__k1", "__k2").distinct()
+    return (
+        docs.select("*", *row_keys())
+        .join(staying, ["__k1", "__k2"], "left_semi")
+        .dropDuplicates(["__k1", "__k2"])
+        .select(*docs.columns)
+    )

@@ -57,7 +57,7 @@ ORACLE["op3_sentence_rules"] = licences.oracle_sql("documents")
 @query
 def op4_lsh_forest(spark, sf_dir):
     """Component of near-duplicates of every document."""
-    return forest.near_duplicates(table(spark, sf_dir, "documents"))
+    return forest.near_duplicates(table(spark, sf_dir, "documents")).drop("__k1", "__k2")
 
 
 @query

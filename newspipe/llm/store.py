@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -82,3 +84,20 @@ def utf8(text: str) -> Column:
 def row_keys() -> list[Column]:
     """``__k1, __k2``: 96 bits that tell a document from others, null ids and texts included."""
     return [F.xxhash64("doc_id", "text").alias("__k1"), F.hash("text", "doc_id").alias("__k2")]
+
+
+def map_frames(
+    df: DataFrame,
+    run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
+    shape: str,
+    ids: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
+    """``mapInPandas`` for frames with ids, which come out as they were.
+
+    In pandas a null turns whole numbers into floating ones, which cannot tell large ids
+    apart; so ids travel as text. ``shape`` lists the other columns, which follow the ids.
+    """
+    kinds = {c: df.schema[c].dataType for c in ids}
+    texts = df.withColumns({c: F.col(c).cast("string") for c in ids})
+    found = texts.mapInPandas(run, ", ".join([*(f"{c} string" for c in ids), shape]))
+    return found.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items()})
