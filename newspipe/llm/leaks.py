@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from . import words
 from .bitmaps import bitmap, contained
-from .store import stored
+from .store import map_frames, stored
 
 SEED = 3
 LEAST_SEEDS = 4
@@ -62,9 +62,8 @@ def item_grams(items: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=["item_id", "item_words", "size", "gram", "at"])
 
     source = items.select("item_id", lowered().alias("text")).distinct()
-    kind = source.schema["item_id"].dataType.simpleString()
-    return source.mapInPandas(
-        run, f"item_id {kind}, item_words array<bigint>, size int, gram bigint, at int"
+    return map_frames(
+        source, run, "item_words array<bigint>, size int, gram bigint, at int", ("item_id",)
     )
 
 
@@ -91,10 +90,7 @@ def occurrences(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFram
                         at=at - b.first[doc], size=size, gram=grams[hit].view(np.int64)
                     )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(
-        run, f"doc_id {kind}, text_hash bigint, at int, size int, gram bigint"
-    )
+    return map_frames(docs, run, "text_hash bigint, at int, size int, gram bigint")
 
 
 def seeds(grams: DataFrame, found: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import map_frames, stored
 from .words import groups, run_hashes
 
 CAPACITY = 2048
@@ -190,10 +190,8 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
                 table.insert(0, "doc_id", doc_ids.iloc[table["row"]].to_numpy())
                 yield table.drop(columns="row")
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInPandas(
-        run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long"
-    )
+    source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return map_frames(source, run, "start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def fill(demands: np.ndarray, limits: np.ndarray) -> list[list[int]]:
@@ -237,7 +235,9 @@ def pack(
 ) -> DataFrame:
     """``sequence_id`` and ``offset`` for pieces with ``length`` and ``loss`` (tokens that bear
     loss). Full pieces are sequences by themselves, all others are packed by groups."""
+    kind = rows.schema["doc_id"].dataType
     rows = rows.withColumn("__key", F.xxhash64("doc_id", "start", "ids_crc32"))
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))  # as in map_frames
     n = rows.filter(F.col("length") < capacity).count()
     n_groups = max(1, -(-n // group))
     limits = np.array([capacity, segments, loss_tokens])
@@ -270,7 +270,7 @@ def pack(
         (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
         F.lit(0).cast("long").alias("offset"),
     )
-    return loose.unionByName(full)
+    return loose.unionByName(full).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str, **limits: int) -> DataFrame:

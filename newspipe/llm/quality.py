@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .store import stored, utf8
+from .store import map_frames, stored, utf8
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -103,8 +103,7 @@ def measured(docs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": frame["doc_id"].iloc[rows].to_numpy()} | measures(b))
 
     source = docs.select("doc_id", utf8("text").alias("text"))
-    kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInPandas(run, f"doc_id {kind}, " + ", ".join(f"{m} long" for m in MEASURES))
+    return map_frames(source, run, ", ".join(f"{m} long" for m in MEASURES))
 
 
 def _band(value: Column, good: tuple[float, float], fair: tuple[float, float]) -> Column:

@@ -69,26 +69,18 @@ def rebalance(held: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
         ).alias("stays"),
     )
     kept = slots.filter("stays")
-    loose = slots.filter("not stays")
-    start = kept.groupBy("shard").agg(F.sum("bytes").alias("bytes"))
-    filled = (
-        slots.sparkSession.range(shards)
-        .join(start, F.col("id") == F.col("shard"), "left")
-        .agg(
-            F.transform(
-                F.array_sort(
-                    F.collect_list(F.struct("id", F.coalesce("bytes", F.lit(0)).alias("bytes")))
-                ),
-                lambda x: x["bytes"],
-            ).alias("filled")
-        )
-    )
-    queue = loose.agg(
-        F.array_sort(F.collect_list(F.struct((-F.col("bytes")).alias("less"), "vslot"))).alias(
-            "queue"
-        )
+    row = F.struct((-F.col("bytes")).alias("less"), "vslot")
+    both = slots.agg(
+        F.array_sort(F.collect_list(F.when(~F.col("stays"), row))).alias("queue"),
+        F.collect_list(F.when(F.col("stays"), F.struct("shard", "bytes"))).alias("kept"),
     )
 
+    def held_by(shard):
+        own = F.filter("kept", lambda k: k["shard"] == shard)
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda total, k: total + k["bytes"])
+
+    filled = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), held_by)
+
     def place(state, slot):
         to = F.array_position(state["filled"], F.array_min(state["filled"]))
         return F.struct(
@@ -102,13 +94,8 @@ def rebalance(held: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
         )
 
     nothing = F.expr("cast(array() as array<struct<vslot:int,shard:int>>)")
-    moved = (
-        queue.crossJoin(filled)  # one row each
-        .select(
-            F.inline(
-                F.aggregate("queue", F.struct("filled", nothing.alias("moves")), place)["moves"]
-            )
-        )
+    moved = both.select("queue", filled.alias("filled")).select(
+        F.inline(F.aggregate("queue", F.struct("filled", nothing.alias("moves")), place)["moves"])
     )
     return kept.select("vslot", "shard").unionByName(moved)
 

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmaps import maybe_in
-from .store import stored, utf8
+from .store import map_frames, stored, utf8
 from .words import BASE, INVERSE, U, groups, mix, powers
 
 LENGTH = 400
@@ -121,11 +121,10 @@ def anchored(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
                     before=left, after=right,
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(
+    return map_frames(
+        docs,
         run,
-        f"doc_id {kind}, text_hash bigint, gram bigint, digest binary, at bigint,"
-        " before int, after int",
+        "text_hash bigint, gram bigint, digest binary, at bigint, before int, after int",
     )
 
 
@@ -497,9 +496,6 @@ def remove_repeats(
             table.insert(0, "doc_id", frame["doc_id"].to_numpy())
             yield table
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(
-        run,
-        f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary,"
-        " kept_sha256 string",
+    return map_frames(
+        rows, run, "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
     )
