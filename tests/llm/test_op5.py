@@ -1,0 +1,95 @@
+"""Repeated strings against a count of all of them."""
+
+import collections
+import hashlib
+import random
+
+import cases
+import numpy as np
+import pytest
+
+from newspipe.llm import suffixes
+from newspipe.llm.queries import REGISTRY
+
+
+def brute(texts, length):
+    count = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        covered = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if count[t[i : i + length]] > 1:
+                covered[i : i + length] = b"\1" * length
+        kept = bytes(b for b, c in zip(t, covered, strict=True) if not c)
+        spans = sum(c and not (i and covered[i - 1]) for i, c in enumerate(covered))
+        out.append((len(t), sum(covered), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+COLUMNS = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+
+
+def check(df, rows, **settings):
+    want = brute([(t or "").encode() for _, t in rows], settings["length"])
+    want = sorted(((d, *w) for (d, _), w in zip(rows, want, strict=True)), key=repr)
+    assert cases.plain_rows(suffixes.remove_repeats(df, **settings), "doc_id", *COLUMNS) == want
+
+
+def patchwork(seed):
+    """Texts made of overlapping parts of a few others, some letters changed."""
+    rng = random.Random(seed)
+    pool = ["".join(rng.choice("ab cdé") for _ in range(90)) for _ in range(6)]
+    rows = []
+    for i in range(120):
+        parts = [rng.choice(pool)[rng.randrange(40) : rng.randrange(50, 90)] for _ in range(rng.randrange(5))]
+        text = list("".join(parts))
+        for _ in range(rng.randrange(3)):
+            if text:
+                text[rng.randrange(len(text))] = "#"
+        rows.append((i, "".join(text)))
+    return [*rows, (200, "a" * 150), (201, "ab" * 80), (3, rows[3][1]), (None, rows[4][1])]
+
+
+@pytest.mark.parametrize("block", [2048, 6, 2])
+def test_patchwork(spark, block):
+    """With small blocks crowded runs are split by ranges, then by single strings."""
+    rows = patchwork(5)
+    check(cases.documents(spark, rows), rows, length=24, gram=6, block=block)
+
+
+def test_awkward_rows(spark):
+    check(cases.documents(spark), cases.ROWS, length=40, gram=8)
+
+
+def test_no_rows(spark):
+    assert suffixes.remove_repeats(cases.documents(spark, [])).count() == 0
+
+
+def test_query(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    want = brute([(r.text or "").encode() for r in docs], 400)
+    want = sorted(((r.doc_id, *w) for r, w in zip(docs, want, strict=True)), key=repr)
+    assert cases.plain_rows(REGISTRY["op5_two_stage_suffixes"](spark, sf_dir), "doc_id", *COLUMNS) == want
+
+
+def test_suffix_arrays_are_sorted():
+    rng = random.Random(2)
+    for _ in range(300):
+        text = bytes(rng.randrange(1, 4) for _ in range(rng.randrange(1, 80))) + b"\0"
+        order = suffixes.suffix_array(np.frombuffer(text, np.uint8), len(text) + 8)
+        assert [text[i:] for i in order] == sorted(text[i:] for i in range(len(text)))
+
+
+def test_equal_strings_have_an_anchor_in_the_same_place():
+    rng = random.Random(3)
+    for _ in range(200):
+        texts = [bytes(rng.choice(b"abc") for _ in range(rng.randrange(120))) for _ in range(3)]
+        offset = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+        at, _ = suffixes.anchors(np.frombuffer(b"".join(texts), np.uint8), offset, 20, 6)
+        places = {}
+        for k, text in enumerate(texts):
+            own = [a - offset[k] for a in at if offset[k] <= a < offset[k + 1]]
+            for i in range(len(text) - 19):
+                here = {a - i for a in own if i <= a <= i + 14}
+                places[text[i : i + 20]] = places.get(text[i : i + 20], here) & here
+        assert all(places.values())

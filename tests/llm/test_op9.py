@@ -1,0 +1,115 @@
+"""Surrogates: type, form, distinctness, coreference."""
+
+import random
+import re
+
+import cases
+import pytest
+
+from newspipe.llm import surrogates as S
+from newspipe.llm.queries import REGISTRY
+
+KEY = b"k"
+
+
+@pytest.mark.parametrize("size", [2, 3, 7, 10, 97, 1000])
+def test_circles_are_permutations_without_fixed_points(size):
+    circle = S.Circle(KEY, "f", size)
+    new = [circle.following(x) for x in range(size)]
+    assert sorted(new) == list(range(size)) and all(x != y for x, y in enumerate(new))
+
+
+@pytest.mark.parametrize(
+    "kind, make, shape",
+    [
+        ("phone", lambda r: f"+1 ({r.randrange(200, 999)}) {r.randrange(200, 999)}-{r.randrange(10000):04d}", r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}"),
+        ("network", lambda r: ".".join(str(r.randrange(1, 224)) for _ in range(4)), r"(\d{1,3}\.){3}\d{1,3}"),
+        ("card", lambda r: f"4{r.randrange(10**15):015d}", r"4\d{15}"),
+        ("email", lambda r: f"{''.join(r.choice('abc') for _ in range(2))}.{r.randrange(90)}@mail{r.randrange(9)}.example.com", r"[a-z]+\.\d+@mail\d\.example\.com"),
+        ("secret", lambda r: "".join(r.choice("abcXYZ019") for _ in range(8)), r"\w{8}"),
+        ("hex", lambda r: f"{r.randrange(16**40):040x}", r"[0-9a-f]{40}"),
+        ("social", lambda r: f"{r.randrange(1, 600):03d}-{r.randrange(1, 99):02d}-{r.randrange(1, 9999):04d}", r"\d{3}-\d\d-\d{4}"),
+        ("person", lambda r: f"{r.choice(S.FIRST_NAMES['latin f'].split())} {r.choice('BDK')}{r.choice('aei')}{r.choice('lmn')}{r.choice('aou')}", r"[A-Z]\w+ [A-Z]\w+"),
+    ],
+)
+def test_distinct_entities_stay_distinct(kind, make, shape):
+    rng = random.Random(1)
+    entities = {make(rng) for _ in range(400)}
+    new = {e: S.surrogate(KEY, kind, e) for e in entities}
+    assert len(set(new.values())) == len(entities)
+    assert all(e != n and re.fullmatch(shape, n) for e, n in new.items())
+    if kind == "card":
+        assert all(S._luhn(e) == S._luhn(n) for e, n in new.items())
+    if kind == "network":
+        import ipaddress
+
+        assert all(ipaddress.ip_address(e).is_private == ipaddress.ip_address(n).is_private for e, n in new.items())
+
+
+@pytest.mark.parametrize(
+    "text, kinds",
+    [
+        ("write to a.b@mail.example.com now", ["email"]),
+        ("call +1 (882) 555-9754 or 555-123-4567.", ["phone", "phone"]),
+        ("at 10.1.2.3, 4111 1111 1111 1111 and 123-45-6789", ["network", "card", "social"]),
+        ('token = "2f1e8a3c4b5d6e7f8091a2b3c4d5e6f708192a3b" x', ["hex"]),
+        ("password=de7d2564822667d841 de", ["secret"]),
+        ("pay DE89370400440532013000 today", ["account"]),
+        ("Mrs. Smith and John Miller met Frau Müller", ["person", "person", "person"]),
+        ("Анна Петрова", ["person"]),
+        ("Chapter 12, pages 100-200, 2024-01-02, version 1.2.3, 5.99 EUR", []),
+        ("the Will of John, mary had a lamb", []),
+        ("no data at all", []),
+    ],
+)
+def test_what_is_found(text, kinds):
+    new, log = S.replaced(KEY, text)
+    assert [k for k, _, _ in log] == kinds
+    for _, entity, surrogate in log:
+        assert entity not in new and surrogate in new
+
+
+def test_names_keep_gender_and_script():
+    for group, names in S.FIRST_NAMES.items():
+        listed = names.split()
+        assert sorted(S.first_name(KEY, n, "") for n in listed) == sorted(listed), group
+    new = S.person(KEY, "Mr. John Smith")
+    assert new.startswith("Mr. ") and new.split()[1] in S.FIRST_NAMES["latin m"].split()
+    assert re.fullmatch(r"[А-Я][а-яё]+ [А-Я][а-яё]+", S.person(KEY, "Ольга Иванова"))
+
+
+def test_same_entity_same_surrogate_in_all_documents(spark):
+    rows = [(i, f"x{i} a.b@mail.example.com y +1 (882) 555-975{i % 3}") for i in range(30)]
+    got = S.report(cases.documents(spark, rows), "k").collect()
+    mails = {re.search(r"\S+@\S+", r.text)[0] for r in got}
+    phones = {}
+    for r in got:
+        phones.setdefault(r.doc_id % 3, set()).add(re.search(r"\+1.*", r.text)[0])
+    assert len(mails) == 1 and all(len(p) == 1 for p in phones.values())
+    assert len(set.union(*phones.values())) == 3
+    assert S.replaced(b"other", rows[0][1])[0] != S.replaced(b"k", rows[0][1])[0]
+
+
+def test_awkward_rows(spark):
+    df = cases.documents(spark)
+    got = S.replace_entities(df, "k")
+    assert got.columns == df.columns
+    want = sorted(((d, t if d != 8 else t) for d, t in cases.ROWS), key=repr)
+    assert cases.plain_rows(got, "doc_id", "text") == want
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.collect())
+    assert S.report(cases.documents(spark, []), "k").count() == 0
+
+
+def test_query(spark, sf_dir):
+    """Nothing that plain patterns find is left, and texts without any stay as they are."""
+    plain = re.compile(r"[\w.]+@[\w.]+|\+1 \(\d{3}\) \d{3}-\d{4}|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}|\b4\d{15}\b|\b[0-9a-f]{40}\b|(?<=password=)\w+")
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    found = 0
+    for r in REGISTRY["op9_keyed_surrogates"](spark, sf_dir).collect():
+        entities = plain.findall(docs[r.doc_id])
+        found += len(entities)
+        assert r.n_replaced >= len(entities)
+        assert not any(e in r.text for e in entities)
+        if not entities and not r.n_replaced:
+            assert r.text == docs[r.doc_id]
+    assert found > 20
