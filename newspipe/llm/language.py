@@ -212,6 +212,7 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
         labelled.select("doc_id", "lang")
+        .distinct()
         .withColumn("nth", F.row_number().over(order))
         .filter(F.col("nth") <= per_language)
         .select("doc_id")

@@ -39,7 +39,7 @@ def test_query(spark, sf_dir):
 
 
 def test_awkward_rows(spark):
-    rows = [*labelled(), *[(1000 + (i or 0) % 100, t, None) for i, t in cases.ROWS], (None, "tokari", "aa")]
+    rows = [*labelled(), *[(1000 + i, t, None) for i, (_, t) in enumerate(cases.ROWS)], (None, "tokari", "aa")]
     got = language.identify(frame(spark, rows))
     assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
     found = {r.doc_id: (r.lang_pred, r.score) for r in got.collect()}
