@@ -7,10 +7,10 @@ neighbours in one share a prefix of that length, both start such a string.
 No array holds the corpus. Each text gives anchors: of each of its strings of ``LENGTH``
 bytes, the place of the run of ``GRAM`` bytes with the smallest hash. Equal strings have
 equal anchors at the same place within, so that all copies of a string lie in the contexts,
-everything up to ``LENGTH`` bytes to either side, of anchors with the same run. Equal
-contexts are counted as one. What is counted twice repeats throughout; a context alone with
-its run cannot repeat; the others go, by runs, into blocks of bounded size, and a suffix
-array is built of each.
+the strings that have the anchor taken together, of anchors with the same run. Equal
+contexts are counted as one. What is counted twice repeats throughout; a context that shares
+neither half of a string with another one of its run cannot repeat; the others go, by runs,
+into blocks of bounded size, and a suffix array is built of each.
 
 A block's array is built in two stages: only suffixes that are smaller than their
 successor are sorted directly; a scan over the buckets of the first byte, in order, puts
@@ -37,25 +37,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmaps import maybe_in
-from .store import map_frames, stored, utf8
+from .store import map_frames, release_memory, stored, utf8
 from .words import BASE, INVERSE, U, groups, mix, powers
 
 LENGTH = 400
 GRAM = 32
-BLOCK = 2048  # contexts in a block, of up to two lengths each
+BLOCK = 1024  # contexts in a block on the average, of up to two lengths each
+CROWD = 2048  # different contexts of a run that go to one block as they are
+AT_ONCE = 2 << 20  # bytes of texts that a worker looks at
 RANGE = 16  # starts in one part of a split context
 
 
 # --- anchors ------------------------------------------------------------------
 
 
+def running_sums(data: np.ndarray) -> np.ndarray:
+    """What the hashes of all runs are read off."""
+    sums = np.zeros(len(data) + 1, U)
+    np.cumsum((data.astype(U) + U(1)) * powers(BASE, len(data))[: len(data)], out=sums[1:])
+    return sums
+
+
+def hashes_at(sums: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` bytes that start at some places."""
+    return mix((sums[at + size] - sums[at]) * powers(INVERSE, len(sums))[at])
+
+
 def rolling(data: np.ndarray, size: int) -> np.ndarray:
     """Hash of every run of ``size`` bytes."""
     n = len(data) - size + 1
     if n <= 0:
         return np.empty(0, U)
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum((data.astype(U) + U(1)) * powers(BASE, len(data))[: len(data)], out=sums[1:])
+    sums = running_sums(data)
     return mix((sums[size:] - sums[:n]) * powers(INVERSE, n)[:n])
 
 
@@ -72,23 +85,30 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def anchors(data: np.ndarray, offset: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the anchors of joined texts, and the hashes of their runs.
+def anchors(
+    data: np.ndarray, offset: np.ndarray, length: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the anchors of joined texts, the hashes of their runs, and where the first
+    and the last string of ``length`` start that have them as anchor.
 
     Places are packed into the low bits of the hashes, so that the first of equal hashes
-    is the smallest.
+    is the smallest. Going through a text the anchor never moves back, so that the strings
+    of one anchor stand together.
     """
     hashes = rolling(data, gram)
     if len(data) < length:
-        return np.empty(0, np.int64), np.empty(0, U)
+        none = np.empty(0, np.int64)
+        return none, np.empty(0, U), none, none
     bits = U(max(1, int(len(data)).bit_length()))
     packed = hashes >> bits << bits | np.arange(len(hashes), dtype=U)
     least = sliding_min(packed, length - gram + 1)
     end = np.repeat(offset[1:], np.diff(offset))[: len(least)]
-    inside = np.arange(len(least)) + length <= end  # strings do not cross texts
+    inside = np.flatnonzero(np.arange(len(least)) + length <= end)  # strings do not cross texts
     found = (least[inside] & ((U(1) << bits) - U(1))).astype(np.int64)
-    at = np.unique(found)
-    return at, hashes[at]
+    new = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1]))) if len(found) else inside
+    at = found[new]
+    last = np.append(new[1:], len(found))[: len(new)] - 1
+    return at, hashes[at], inside[new], inside[last]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -97,40 +117,62 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def anchored(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """One row for each anchor: the hash of its run, the digest of its context, where it is."""
+    """One row for each anchor: the hash of its run, the digest of its context, where it is.
+
+    ``left`` and ``right`` are hashes of the run with half of what a string of ``length`` may
+    hold besides, before or after it; any such string holds one of the two. 0 is for halves
+    that the text does not have.
+    """
     reach = length - gram
+    half = reach // 2
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             frame = frame[frame["text"].str.len() >= length]
             texts = list(frame["text"])
-            for rows in groups(np.array([len(t) for t in texts], np.int64)):
+            for rows in groups(np.array([len(t) for t in texts], np.int64), AT_ONCE // 4):
                 part = texts[rows]
                 joined = b"".join(part)
                 offset = np.concatenate(([0], np.cumsum([len(t) for t in part], dtype=np.int64)))
-                at, hashes = anchors(np.frombuffer(joined, np.uint8), offset, length, gram)
+                data = np.frombuffer(joined, np.uint8)
+                at, hashes, first, last = anchors(data, offset, length, gram)
+                sums = running_sums(data)
                 doc = np.searchsorted(offset, at, "right") - 1
-                left = np.minimum(at - offset[doc], reach)
-                right = np.minimum(offset[doc + 1] - at, length)
+                left, right = at - first, last + length - at
+                before_half, after_half = np.zeros((2, len(at)), np.int32)
+                for out, fits, from_ in (
+                    (before_half, left >= half, at - half),
+                    (after_half, right >= half + gram, at),
+                ):
+                    found = hashes_at(sums, from_[fits], half + gram)
+                    out[fits] = (found >> U(33)).astype(np.int32) + 1
                 digest = [
-                    hashlib.blake2b(joined[p - x : p + y], digest_size=14).digest() + int(x).to_bytes(2)
+                    hashlib.blake2b(
+                        joined[p - x : p + y], digest_size=12, salt=x.to_bytes(8)
+                    ).digest()
                     for p, x, y in zip(at.tolist(), left.tolist(), right.tolist(), strict=True)
                 ]
                 yield frame[["doc_id", "text_hash"]].iloc[rows].iloc[doc].assign(
                     gram=hashes.view(np.int64), digest=digest, at=at - offset[doc],
-                    before=left, after=right,
+                    before=left, after=right, left=before_half, right=after_half,
                 )
 
     return map_frames(
         docs,
         run,
-        "text_hash bigint, gram bigint, digest binary, at bigint, before int, after int",
+        "text_hash bigint, gram bigint, digest binary, at bigint, before int, after int,"
+        " left int, right int",
+        at_once=AT_ONCE,
     )
 
 
 # --- suffix arrays --------------------------------------------------------------
 
 
+_STRIDES = (256, 128, 64, 32, 16, 8)
+_FEW = 8
+
+
 def _packed(text: np.ndarray) -> np.ndarray:
     """Eight bytes from every place as one number, in the order of the bytes."""
     wide = np.concatenate((text, np.zeros(8, np.uint8)))
@@ -145,34 +187,46 @@ def _directly_sorted(
 ) -> np.ndarray:
     """Suffixes in order of their first ``depth`` bytes.
 
-    Suffixes with the same such prefix are sorted as one. Then ties are broken by eight
-    bytes at a time.
+    Suffixes with the same such prefix are sorted as one. The others are sorted by eight
+    bytes, and those still tied by the next eight, and so on. Ties of a few first move on,
+    in strides that halve, over all bytes that the hashes show them to share.
     """
-    full = np.concatenate((text, np.zeros(depth, np.uint8)))
-    prefix = rolling(full, depth)[which]
-    _, first, back = np.unique(prefix, return_index=True, return_inverse=True)
+    full = np.concatenate((text, np.zeros(2 * depth + _STRIDES[0], np.uint8)))
+    sums = running_sums(full)
+    wide = np.concatenate((packed, np.zeros(2 * depth + 8, U)))
+    _, first, back = np.unique(
+        hashes_at(sums, which, depth), return_index=True, return_inverse=True
+    )
     order = which[first]
-    wide = np.concatenate((packed, np.zeros(depth + 8, U)))
-    rank = np.zeros(len(order), np.int64)  # of each representative, up to the bytes seen
-    open_ = np.arange(len(order))
-    for at in range(0, depth, 8):
-        if not len(open_):
-            break
-        key = wide[order[open_] + at]
-        by = np.lexsort((key, rank[open_]))
-        group, key = rank[open_][by], key[by]
-        new = np.ones(len(by), bool)
-        new[1:] = (group[1:] != group[:-1]) | (key[1:] != key[:-1])
+    rank = np.zeros(len(order), np.int64)
+    tied = np.arange(len(order))  # members of ties, tie by tie
+    number = np.zeros(len(order), np.int64)  # of the tie each is in
+    shared = np.zeros(1, np.int64)  # bytes that a tie is known to share
+    while len(tied):
+        head = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
+        size = np.diff(np.append(head, len(tied)))
+        few = np.flatnonzero(size <= _FEW)
+        if len(few):
+            some = tied[np.repeat(size <= _FEW, size)]
+            least = np.cumsum(size[few]) - size[few]
+            for stride in _STRIDES:
+                ahead = hashes_at(sums, order[some] + np.repeat(shared[few], size[few]), stride)
+                same = np.minimum.reduceat(ahead, least) == np.maximum.reduceat(ahead, least)
+                shared[few] += stride * (same & (shared[few] + stride <= depth))
+        key = wide[order[tied] + np.repeat(shared, size)]
+        by = np.lexsort((key, number))
+        tied, key = tied[by], key[by]  # ties stay in place, so number and size still hold
+        new = np.concatenate(([True], (number[1:] != number[:-1]) | (key[1:] != key[:-1])))
         starts = np.flatnonzero(new)
-        head = np.concatenate(([True], group[1:] != group[:-1]))
-        place = np.arange(len(by)) - np.maximum.accumulate(np.where(head, np.arange(len(by)), 0))
-        rank[open_[by]] = group + place[starts][np.cumsum(new) - 1]
-        size = np.diff(np.append(starts, len(by)))
-        tied = np.repeat(size > 1, size)
-        open_ = open_[by][tied]
-    final = np.argsort(rank, kind="stable")
+        within = starts - np.repeat(head, size)[starts]
+        rank[tied] += np.repeat(within, np.diff(np.append(starts, len(tied))))
+        count = np.diff(np.append(starts, len(tied)))
+        go_on = (count > 1) & (np.repeat(shared, size)[starts] + 8 < depth)
+        shared = np.repeat(shared, size)[starts][go_on] + 8
+        keep = np.repeat(go_on, count)
+        tied, number = tied[keep], np.repeat(starts, count)[keep]
     place = np.empty(len(order), np.int64)
-    place[final] = np.arange(len(order))
+    place[np.argsort(rank, kind="stable")] = np.arange(len(order))
     return which[np.argsort(place[back], kind="stable")]
 
 
@@ -251,8 +305,10 @@ def repeated_starts(
     order = order[fits[order]]
     if not len(order):
         return [np.empty(0, np.int64) for _ in strings]
-    # Common prefixes of neighbours, as far as they matter.
-    pair = np.arange(len(order) - 1)
+    # Common prefixes of neighbours, as far as they matter: told by a hash, then byte by byte.
+    sums = running_sums(np.concatenate((text, np.zeros(length, np.uint8))))
+    prefix = hashes_at(sums, order, length)
+    pair = np.flatnonzero(prefix[:-1] == prefix[1:])
     for at in [*range(0, length - 7, 8), length - 8]:
         pair = pair[packed[order[pair] + at] == packed[order[pair + 1] + at]]
     new = np.ones(len(order), bool)
@@ -322,9 +378,8 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     columns=_CONTEXT.replace(",", " ").split()[::2],
                 )
 
-    return joined.mapInPandas(
-        run, _CONTEXT
-    ).dropDuplicates(["gram", "digest"])
+    found = map_frames(joined, run, _CONTEXT, ids=(), at_once=AT_ONCE)
+    return found.dropDuplicates(["gram", "digest"])
 
 
 def _split(contexts: DataFrame, length: int, gram: int, width: int) -> DataFrame:
@@ -368,6 +423,7 @@ def searched(contexts: DataFrame, length: int, block: int) -> DataFrame:
             for starts, c in zip(found, frame["cut"], strict=True)
         ]
         out = frame[["gram", "digest"]].assign(starts=runs)
+        release_memory()
         return out[np.array([len(r) > 0 for r in runs]) & ~many]
 
     return (
@@ -394,12 +450,23 @@ def _single_starts(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     )
 
 
+def _crowds(contexts: DataFrame) -> DataFrame:
+    """Runs with more than one context, and how many."""
+    crowd = contexts.groupBy("gram").agg(F.count("*").alias("crowd"))
+    return crowd.filter(F.col("crowd") > 1)
+
+
 def repeats(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK
 ) -> DataFrame:
     """``doc_id, text_hash, parts``: the stretches of a text to be removed, not yet merged."""
     rows = stored(anchored(docs, length, gram), "anchors")
-    place = F.struct("doc_id", "text_hash", "at", "before", "after")
+    # Most runs are met once and go no further; the bitmap keeps most of them from the shuffle.
+    runs = rows.groupBy("gram").agg(F.count("*").alias("met")).filter("met > 1").select("gram")
+    runs = stored(runs, "repeated_runs")
+    maybe = rows.filter(maybe_in(runs, "gram", F.col("gram")))
+    rows = stored(maybe.join(runs, "gram", "left_semi"), "repeated_anchors")
+    place = F.struct("doc_id", "text_hash", "at", "before", "after", "left", "right")
     contexts = stored(
         rows.groupBy("gram", "digest")
         .agg(F.count("*").alias("n"), F.min(place).alias("place"))
@@ -408,28 +475,36 @@ def repeats(
     )
     whole = rows.join(contexts.filter(F.col("n") > 1).select("gram", "digest"), ["gram", "digest"])
 
-    crowd = contexts.groupBy("gram").agg(F.count("*").alias("crowd")).filter(F.col("crowd") > 1)
+    # Different contexts of a run, as far as they share more than the run with another one.
     several = stored(
-        contexts.select("gram", "digest", "n", "place.*").join(crowd, "gram"), "several"
-    )
+        contexts.select("gram", "digest", "n", "place.*").join(_crowds(contexts), "gram"), "runs"
+    ).drop("crowd")
+    halves = several.select(
+        "gram", "digest", F.posexplode(F.array("left", "right")).alias("side", "half")
+    ).filter("half <> 0")
+    shared = ["gram", "side", "half"]
+    twice = halves.groupBy(*shared).agg(F.count("*").alias("twice")).filter("twice > 1")
+    sharing = halves.join(twice, shared).select("gram", "digest").distinct()
+    several = several.join(sharing, ["gram", "digest"], "left_semi")
+    several = stored(several.join(_crowds(several), "gram"), "several")
     texts = stored(fetched(docs, several), "context_texts")
-    usual = texts.filter(F.col("crowd") <= block).select(
+    most = CROWD * block // BLOCK  # in one block, not split
+    usual = texts.filter(F.col("crowd") <= most).select(
         "gram", "digest", "n", "owner", "base", F.lit(0).alias("cut"),
         F.xxhash64("gram").alias("key"), "context",
     )
-    crowded = texts.filter(F.col("crowd") > block)
+    crowded = texts.filter(F.col("crowd") > most)
     parts = stored(
         usual.unionByName(_split(crowded, length, gram, RANGE)), "context_parts"
     )
-    too_many = parts.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > block)
+    too_many = parts.groupBy("key").agg(F.count("*").alias("held")).filter(F.col("held") > most)
     found = searched(parts.join(too_many, "key", "left_anti"), length, block)
     dense = parts.join(too_many, "key").select("gram", "digest").distinct()
     found = found.unionByName(
         _single_starts(texts.join(dense, ["gram", "digest"]), length, gram)
     )
     single = (
-        contexts.filter(F.col("n") == 1)
-        .select("gram", "digest", "place.*")
+        several.filter(F.col("n") == 1)
         .join(found, ["gram", "digest"])
         .select("doc_id", "text_hash", (F.col("at") - F.col("before")).alias("base"), F.explode("starts").alias("run"))
     )
@@ -476,14 +551,22 @@ def remove_repeats(
     ``kept`` are the bytes that are left.
     """
     key = keyed(docs)
-    found = repeats(key, length, gram, block).select(
+    found = stored(repeats(key, length, gram, block), "stretches").select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "parts"
     )
-    rows = key.join(
+    # Texts that surely lose nothing need no join.
+    both = F.xxhash64("doc_id", "text_hash")
+    hit = maybe_in(found.select(F.xxhash64("__id", "__hash").alias("key")), "key", both)
+    some = key.filter(hit)
+    rows = some.join(
         found,
-        key["doc_id"].eqNullSafe(F.col("__id")) & (key["text_hash"] == F.col("__hash")),
+        some["doc_id"].eqNullSafe(F.col("__id")) & (some["text_hash"] == F.col("__hash")),
         "left",
     ).select("doc_id", "text", "parts")
+    whole = key.filter(~hit).select(
+        "doc_id", "text", F.lit(None).cast(found.schema["parts"].dataType).alias("parts")
+    )
+    rows = rows.unionByName(whole)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -497,5 +580,8 @@ def remove_repeats(
             yield table
 
     return map_frames(
-        rows, run, "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+        rows,
+        run,
+        "n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string",
+        at_once=AT_ONCE,
     )

@@ -85,7 +85,9 @@ def test_equal_strings_have_an_anchor_in_the_same_place():
     for _ in range(200):
         texts = [bytes(rng.choice(b"abc") for _ in range(rng.randrange(120))) for _ in range(3)]
         offset = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        at, _ = suffixes.anchors(np.frombuffer(b"".join(texts), np.uint8), offset, 20, 6)
+        at, _, first, last = suffixes.anchors(np.frombuffer(b"".join(texts), np.uint8), offset, 20, 6)
+        assert all(f <= a <= b + 14 and b - f < 15 for a, f, b in zip(at, first, last, strict=True))
+        assert sum(last - first + 1) == sum(max(0, len(t) - 19) for t in texts)
         places = {}
         for k, text in enumerate(texts):
             own = [a - offset[k] for a in at if offset[k] <= a < offset[k + 1]]
