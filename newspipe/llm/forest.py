@@ -213,21 +213,21 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             sets = [s.tobytes() for s in shingle_sets(list(frame["text"]))]
             yield frame[["doc_id"]].assign(shingles=sets)
 
-    kind = asked.schema["doc_id"].dataType.simpleString()
-    sets = stored(asked.mapInPandas(to_sets, f"doc_id {kind}, shingles binary"), "shingle_sets")
-
-    def linked(x: pd.Series, y: pd.Series) -> pd.Series:
-        out = []
-        for p, q in zip(x, y, strict=True):
-            p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-            shared = overlap(p, q)
-            out.append(100 * shared >= PERCENT * (len(p) + len(q) - shared) and shared > 0)
-        return pd.Series(out, dtype=bool)
-
-    link = F.pandas_udf(linked, "boolean")("x", "y")
+    sets = stored(map_frames(asked, to_sets, "shingles binary"), "shingle_sets")
+
+    def linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for p, q in zip(frame["x"], frame["y"], strict=True):
+                p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
+                shared = overlap(p, q)
+                out.append(100 * shared >= PERCENT * (len(p) + len(q) - shared) and shared > 0)
+            yield frame[["a", "b"]].assign(linked=out)
+
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").filter(link).select("a", "b")
+    both = pairs.join(left, "a").join(right, "b")
+    return map_frames(both, linked, "linked boolean", ("a", "b")).filter("linked").drop("linked")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ neither be held out nor learned from. Columns other than the four named are not
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .store import utf8
+from .store import release_memory, utf8
 
 UNKNOWN = "und"
 LENGTH = 256
@@ -159,7 +160,7 @@ def windowed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return symbols, owner, held
 
 
-def classify(net: Network, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
+def classify(net: Network, texts: Iterable[bytes]) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
     best, score = [], []
     pending: list[bytes] = []
@@ -251,9 +252,10 @@ def prediction(net: Network | None, text: str = "text") -> Column:
         out = pd.DataFrame({"lang_pred": UNKNOWN, "score": 0.0}, index=texts.index)
         known = texts[[net is not None and has_letter(t) for t in texts]]
         if len(known):
-            best, score = classify(net, [t.encode() for t in known])
+            best, score = classify(net, (t.encode() for t in known))
             out.loc[known.index, "lang_pred"] = best
             out.loc[known.index, "score"] = np.clip(score, 0, 1)
+        release_memory()
         return out
 
     return predict(F.col(text))

@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 
 from . import words
 from .bitmaps import bitmap, contained
-from .store import map_frames, stored
+from .store import map_frames, release_memory, stored
 
 SEED = 3
 LEAST_SEEDS = 4
@@ -188,6 +188,7 @@ def scores(texts: pd.Series, places: pd.Series) -> pd.Series:
                     out[i].append(
                         {"item": n, "score": similarity, "first_word": spot[0], "last_word": spot[1]}
                     )
+    release_memory()
     return pd.Series(out)
 
 
@@ -201,7 +202,8 @@ def _matched(docs: DataFrame, items: DataFrame, how: str) -> DataFrame:
     score = F.pandas_udf(
         scores, "array<struct<item:int,score:double,first_word:int,last_word:int>>"
     )
-    return docs.join(places, same, how).withColumn("__found", score(lowered(), "__places"))
+    text = F.when(F.col("__places").isNotNull(), lowered())  # others need not travel
+    return docs.join(places, same, how).withColumn("__found", score(text, "__places"))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:

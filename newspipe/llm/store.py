@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from ..session import scratch_dir
@@ -86,18 +91,44 @@ def row_keys() -> list[Column]:
     return [F.xxhash64("doc_id", "text").alias("__k1"), F.hash("text", "doc_id").alias("__k2")]
 
 
+def release_memory() -> None:
+    """Hand memory that is free but held by this process back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def map_frames(
     df: DataFrame,
     run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]],
     shape: str,
     ids: tuple[str, ...] = ("doc_id",),
+    at_once: int = 4 << 20,
 ) -> DataFrame:
     """``mapInPandas`` for frames with ids, which come out as they were.
 
     In pandas a null turns whole numbers into floating ones, which cannot tell large ids
     apart; so ids travel as text. ``shape`` lists the other columns, which follow the ids.
+    A worker turns about ``at_once`` bytes into a frame at a time, not all rows of a batch,
+    and hands its memory back when it is done, as it stays for later tasks.
     """
     kinds = {c: df.schema[c].dataType for c in ids}
     texts = df.withColumns({c: F.col(c).cast("string") for c in ids})
-    found = texts.mapInPandas(run, ", ".join([*(f"{c} string" for c in ids), shape]))
+    shape = ", ".join([*(f"{c} string" for c in ids), shape])
+    schema = to_arrow_schema(StructType.fromDDL(shape))
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            step = max(1, batch.num_rows * at_once // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                yield batch.slice(at, step).to_pandas()
+
+    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in run(frames(batches)):
+            yield pa.RecordBatch.from_pandas(frame, schema, preserve_index=False)
+        release_memory()
+
+    found = texts.mapInArrow(sliced, shape)
     return found.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items()})

@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import release_memory
+
 # Common first names by script and gender.
 FIRST_NAMES = {
     "latin f": "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa"
@@ -385,6 +387,7 @@ def replacement(key: str, text: str = "text") -> Column:
             new, log = replaced(secret_key, value)
             kinds = ",".join(sorted({kind for kind, _, _ in log}))
             rows.append((new, len(log), len({(k, e) for k, e, _ in log}), kinds))
+        release_memory()
         return pd.DataFrame(rows, columns=["text", "n_replaced", "n_entities", "kinds"])
 
     return F.pandas_udf(run, "text string, n_replaced long, n_entities long, kinds string")(
