@@ -1,18 +1,20 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Texts are compared as words in lower case without ASCII punctuation. Every run of three
-words of a benchmark item is looked up in all documents, and counted there; the rarer half
-of an item's runs are its seeds. Rare is relative to the item, so that an item copied into
-many documents, or made of common words, keeps its seeds. Where a document has a seed, the
-words around are aligned with the item's words, and the best score against that of the
-item with itself tells how much of it, edited or not, the document holds.
-
-Which runs of a document are looked up at all is told by a bitmap of fixed size; the join
-with the items then is by the runs themselves. The benchmark may thus be of any size.
+Texts are compared as words in lower case without ASCII punctuation. The seeds of a benchmark
+item are its pairs of neighbouring words; a document has one where both words stand in it side
+by side or with one other word between them. Any copy whose alignment reaches the score that
+counts holds at least ``fewest`` of them, however it was edited. So an item's most frequent
+pairs need not be looked up, as long as the rest must still hold some; documents with fewer
+hits among the rest cannot match. In the others the item is aligned wherever as many hits as
+that are close enough, and the best score against that of the item with itself tells how much
+of it, edited or not, the document holds.
+
+Which pairs of a document are looked up at all is told by a bitmap of fixed size; the join
+with the items then is by the pairs themselves. The benchmark may thus be of any size.
 
 Items and documents that are null, empty or wordless match nothing. Items with fewer words
-than a seed are one seed as a whole. Very long texts are read and aligned whole around
-their seeds. Repeated documents are each reported; repeated items count as one if text and
+than a seed are one seed as a whole, and of an item of two words both must be there. Very
+long texts are read and aligned whole around their seeds. Repeated documents are each reported; repeated items count as one if text and
 id agree. Null ids are carried along. Empty tables give an empty result. Columns other than
 ``doc_id`` and ``text``, ``item_id`` and ``text`` are not looked at.
 """
@@ -31,8 +33,7 @@ from . import words
 from .bitmaps import bitmap, contained
 from .store import map_frames, release_memory, stored
 
-SEED = 3
-LEAST_SEEDS = 4
+SEED = 2
 SIMILARITY = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 
@@ -42,8 +43,35 @@ def lowered() -> Column:
     return F.coalesce(F.lower("text").cast("binary"), F.lit(b""))
 
 
+def fewest(n: int) -> int:
+    """Seeds that any alignment of an item of ``n`` words holds if its score counts.
+
+    With ``m`` words matched, a score of ``n`` (half of ``MATCH * n``) leaves room for
+    ``2 m - n`` errors. Of the ``m - 1`` steps between matched words, those that pass over
+    words of the item, ``p`` of them, cost 1 or more, and those that pass over two words or
+    more of the document alone cost 2 or more. The others are seeds: ``(n - 2 - p) / 2`` at
+    least, where ``p`` is up to ``min(n - m, 2 m - n)``, a third of ``n``.
+    """
+    return max(1, -(-(n - 2 - n // 3) // 2))
+
+
+def seed_hashes(item: np.ndarray) -> np.ndarray:
+    """An item's seeds in order. Of three words the outer ones are a seed too, as two matched
+    words are enough there."""
+    if len(item) < SEED:
+        return item
+    first, second = item[:-1], item[1:]
+    if len(item) == 3:
+        first, second = item[[0, 1, 0]], item[[1, 2, 2]]
+    return pair_hashes(first, second)
+
+
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return words.mix(first * words.U(words.BASE) + second)
+
+
 def item_grams(items: DataFrame) -> DataFrame:
-    """``item_id, item_words, gram, at`` for every run of words of every item."""
+    """``item_id, item_words, size, gram, at, fewest`` for every seed of every item."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -55,15 +83,15 @@ def item_grams(items: DataFrame) -> DataFrame:
                     own = hashes[b.first[i] : b.first[i + 1]]
                     if not len(own):
                         continue
-                    n = min(SEED, len(own))
-                    grams, at = words.windows(own, np.zeros(len(own), int), n)
+                    n, least = min(SEED, len(own)), fewest(len(own))
                     whole = own.view(np.int64).tolist()
-                    out += [(item, whole, n, g, a) for g, a in zip(grams.view(np.int64), at, strict=True)]
-            yield pd.DataFrame(out, columns=["item_id", "item_words", "size", "gram", "at"])
+                    grams = seed_hashes(own).view(np.int64)
+                    out += [(item, whole, n, g, a, least) for a, g in enumerate(grams)]
+            yield pd.DataFrame(out, columns=["item_id", "item_words", "size", "gram", "at", "fewest"])
 
     source = items.select("item_id", lowered().alias("text")).distinct()
     return map_frames(
-        source, run, "item_words array<bigint>, size int, gram bigint, at int", ("item_id",)
+        source, run, "item_words array<bigint>, size int, gram bigint, at int, fewest int", ("item_id",)
     )
 
 
@@ -74,7 +102,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
-    """Runs of words of the documents that may be among those in the bitmap."""
+    """Seeds of the documents that may be among those in the bitmap, each once a document."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)  # of fixed size
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,54 +111,80 @@ def occurrences(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFram
                 part = frame[["doc_id", "text_hash"]].iloc[rows]
                 hashes = b.hashes()
                 for size in sizes:
-                    grams, at = words.windows(hashes, b.doc, size)
-                    hit = contained(shared.value, grams)
-                    at, doc = at[hit], b.doc[at[hit]]
-                    yield part.iloc[doc].assign(
-                        at=at - b.first[doc], size=size, gram=grams[hit].view(np.int64)
-                    )
+                    found = []
+                    for apart in range(size - 1, 2 * size - 1):  # 0, or 1 and 2
+                        n = max(0, len(hashes) - apart)
+                        at = np.flatnonzero(b.doc[:n] == b.doc[apart:])
+                        grams = pair_hashes(hashes[at], hashes[at + apart]) if apart else hashes[at]
+                        hit = contained(shared.value, grams)
+                        found.append(pd.DataFrame({"doc": b.doc[at[hit]], "gram": grams[hit].view(np.int64)}))
+                    once = pd.concat(found).drop_duplicates()
+                    yield part.iloc[once["doc"]].assign(size=size, gram=once["gram"].to_numpy())
 
-    return map_frames(docs, run, "text_hash bigint, at int, size int, gram bigint")
+    return map_frames(docs, run, "text_hash bigint, size int, gram bigint")
 
 
 def seeds(grams: DataFrame, found: DataFrame) -> DataFrame:
-    """The rarer half of each item's runs, ``LEAST_SEEDS`` at least, as far as they occur."""
+    """Each item's seeds without the most frequent, and how many of these a copy must hold.
+
+    A copy holds ``fewest`` seeds, so after ``spare`` places are left out it still holds
+    ``fewest - spare``.
+    """
     counts = found.groupBy("size", "gram").agg(F.count("*").alias("n"))
-    rare = Window.partitionBy("item_id", "item_words").orderBy("n", "at")
-    whole = Window.partitionBy("item_id", "item_words")
+    frequent = Window.partitionBy("item").orderBy(F.desc("n"), "at")
+    spare = F.floor((F.col("fewest") - 1) / 2)
     return (
-        grams.join(counts, ["size", "gram"], "left")
-        .withColumn("n", F.coalesce("n", F.lit(0)))
-        .withColumn("place", F.row_number().over(rare))
-        .withColumn("least", F.greatest(F.ceil(F.count("*").over(whole) / 2), F.lit(LEAST_SEEDS)))
-        .filter((F.col("place") <= F.col("least")) & (F.col("n") > 0))
-        .select("item_id", "item_words", "size", "gram", F.col("at").alias("item_at"))
+        grams.join(counts, ["size", "gram"])
+        .withColumn("place", F.row_number().over(frequent))
+        .filter(F.col("place") > spare)
+        .select("item", "size", "gram", F.col("at").alias("item_at"), (F.col("fewest") - spare).alias("need"))
     )
 
 
 def candidates(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, places``: for each document with seeds, the items to align it
-    with, and where."""
-    grams = stored(item_grams(items), "item_grams")
+    """``doc_id, text_hash, places``: for each document with seeds enough, the items to align
+    it with."""
+    grams = stored(item_grams(items).withColumn("item", F.xxhash64("item_id", "item_words")), "item_grams")
     sizes = sorted(r["size"] for r in grams.select("size").distinct().collect())  # 1 to SEED
-    found = stored(occurrences(docs, bitmap(grams, "gram"), sizes), "seed_runs")
-    rare = stored(seeds(grams, found), "seeds")
-    return (
+    narrow = grams.drop("item_id", "item_words")
+    found = stored(occurrences(docs, bitmap(narrow, "gram"), sizes), "seed_runs")
+    rare = stored(seeds(narrow, found), "seeds")
+    enough = (
         found.join(rare, ["size", "gram"])
-        .groupBy("doc_id", "text_hash", "item_id", "item_words")
-        .agg(F.collect_set(F.col("at") - F.col("item_at")).alias("shifts"))
+        .groupBy("doc_id", "text_hash", "item", "need")
+        .agg(F.size(F.collect_set("item_at")).alias("hits"))  # at most an item's words
+        .filter(F.col("hits") >= F.col("need"))
+    )
+    named = grams.filter(F.col("at") == 0).select("item", "item_id", "item_words")
+    return (
+        enough.join(named, "item")
         .groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("item_id", "item_words", "shifts")).alias("places"))
+        .agg(F.collect_list(F.struct("item_id", "item_words")).alias("places"))
     )
 
 
-def stretches(shifts: list[int], item: int, doc: int) -> list[tuple[int, int]]:
-    """Where to align an item of some words, given where it would start: room for edits on
-    both sides, overlapping stretches as one."""
-    room = item // 4 + 8
+def seed_places(own: np.ndarray, pairs: list[np.ndarray], item: np.ndarray) -> np.ndarray:
+    """Where in a document seeds of the item begin, given the hashes of its pairs of words
+    side by side, and of those with a word between them."""
+    sought = seed_hashes(item)
+    if len(item) < SEED:
+        return np.flatnonzero(np.isin(own, sought))
+    return np.unique(np.concatenate([np.flatnonzero(np.isin(p, sought)) for p in pairs]))
+
+
+def stretches(at: np.ndarray, item: int, doc: int) -> list[tuple[int, int]]:
+    """Where to align an item of some words, given where its seeds begin; overlapping
+    stretches as one.
+
+    An alignment that counts matches m words and has up to ``2 m - item`` errors, so that it
+    covers up to ``3 m - item`` words of the document, twice the item at most.
+    """
+    least, span = fewest(item), 2 * item
+    first, last = at[: max(0, len(at) - least + 1)], at[least - 1 :]
+    near = last - first < span
     out: list[tuple[int, int]] = []
-    for shift in sorted(shifts):
-        begin, end = max(0, shift - room), min(doc, shift + item + room)
+    for x, y in zip(first[near].tolist(), last[near].tolist(), strict=True):
+        begin, end = max(0, y - span), min(doc, x + span + 1)
         if out and begin <= out[-1][1]:
             out[-1] = (out[-1][0], max(end, out[-1][1]))
         else:
@@ -168,18 +222,19 @@ def scores(texts: pd.Series, places: pd.Series) -> pd.Series:
     out: list[list[dict]] = [[] for _ in range(len(texts))]
     asked = [i for i, p in enumerate(places) if p is not None and len(p)]
     for rows, b in words.batches([texts.iloc[i] for i in asked], words.PLAIN):
-        hashes = b.hashes().view(np.int64)
+        hashes = b.hashes()
         for k, i in enumerate(asked[rows]):
             own = hashes[b.first[k] : b.first[k + 1]]
+            pairs = [pair_hashes(own[:-apart], own[apart:]) for apart in (1, 2)]
             for n, place in enumerate(places.iloc[i]):
-                item = np.asarray(place["item_words"], np.int64)
-                where = stretches(list(place["shifts"]), len(item), len(own))
+                item = np.asarray(place["item_words"], np.int64).view(np.uint64)
+                where = stretches(seed_places(own, pairs, item), len(item), len(own))
                 # Parts of a kind together; a long one does not widen the others.
                 where.sort(key=lambda w: w[1] - w[0])
                 best, spot = 0, (0, 0)
                 for at in range(0, len(where), 64):
                     some = where[at : at + 64]
-                    score = align(item, [own[x:y] for x, y in some])
+                    score = align(item.view(np.int64), [own[x:y].view(np.int64) for x, y in some])
                     j = int(score.argmax())
                     if score[j] > best:
                         best, spot = int(score[j]), some[j]

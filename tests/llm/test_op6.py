@@ -1,5 +1,6 @@
 """Benchmark items in documents: alignment, planted copies, awkward rows."""
 
+import itertools
 import random
 
 import cases
@@ -116,6 +117,58 @@ def test_an_item_that_is_everywhere_keeps_its_seeds(spark):
     assert leaks.find_leaks(*frames(spark, docs, [(1, item)])).count() == 300
 
 
+def heavily_edited(exact):
+    """Items of many lengths in copies with every 2nd to 5th word changed, by each way of editing."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    items, docs = [], []
+    for i, n in enumerate([3, 4, 5, 7, 9, 13, 20, 27, 40, 53]):
+        item = [word() for _ in range(n)]
+        items.append((i, " ".join(item)))
+        for step in (2, 3, 4, 5):
+            replaced = [word() if k % step == step - 1 else w for k, w in enumerate(item)]
+            spread = [x for k, w in enumerate(item) for x in ([w, word()] if k % step == step - 1 else [w])]
+            without = [w for k, w in enumerate(item) if k % step != step - 1]
+            for body in (replaced, spread, without, [x for w in item for x in (w, word())]):
+                around = [word() for _ in range(30)]
+                docs.append((len(docs), " ".join(around[:11] + body + around[11:])))
+        docs += [(len(docs) + k, f"{word()} {items[-1][1]} {word()}") for k in range(exact)]
+    return docs, items
+
+
+@pytest.mark.parametrize("exact", [0, 1, 5])
+def test_heavily_edited_copies(spark, exact):
+    docs, items = heavily_edited(exact)
+    found = {(r.doc_id, r.item_id) for r in leaks.find_leaks(*frames(spark, docs, items)).collect()}
+    want = brute(docs, items)
+    assert found == want and len(want) > 60
+
+
+def test_similarity_is_that_of_the_best_alignment(spark):
+    docs, items = heavily_edited(1)
+    texts, sought = dict(docs), dict(items)
+    for r in leaks.find_leaks(*frames(spark, docs, items)).collect():
+        item = plain(sought[r.item_id])
+        best = smith_waterman(item, plain(texts[r.doc_id]))
+        assert r.similarity == round(best / (leaks.MATCH * len(item)), 6)
+
+
+def test_fewest_seeds_of_all_small_alignments():
+    """Every document of few words against every item of few, all counted."""
+    for n in range(3, 7):
+        item = list(range(n))
+        for size in range(1, 8):
+            for doc in itertools.product(range(-1, n), repeat=size) if n < 5 or size < 6 else ():
+                if smith_waterman(item, doc) >= n:
+                    pairs = {*zip(item, item[1:], strict=False), *([(0, 2)] if n == 3 else [])}
+                    at = [j for j in range(size) if {(doc[j], x) for x in doc[j + 1 : j + 3]} & pairs]
+                    assert len(at) >= leaks.fewest(n)
+
+
+def test_too_few_seeds_give_no_stretch():
+    assert leaks.stretches(np.arange(5), 40, 100) == []
+
+
 def test_bitmap(spark):
     values = np.arange(0, 300_000, 7)
     bits = bitmap(spark.range(0, 300_000, 7), "id")
