@@ -10,6 +10,10 @@ by many, the nodes are compared with their neighbours and with the heads of thei
 nodes that share most labels with others over all trees.
 
 Candidates are confirmed on full shingle sets, then linked nodes are joined to components.
+Neighbours and heads join most of a crowd at little cost, but not all. Where a crowded run
+still holds several components, its nodes are dealt into blocks of bounded size, and any two
+blocks meet in a task of their own: all pairs from different components are compared there,
+and those links are kept that join what was not joined yet.
 
 Null, empty and wordless texts have no shingles, are linked with nothing and are kept, as
 component of their own. With fewer than five words the whole sequence is the one shingle.
@@ -42,6 +46,8 @@ LEAST_PREFIX = 2
 RUN = 16  # as many nodes are compared with each other
 BESIDE = 3  # in larger runs, each with as many neighbours
 CHUNK = 4096
+BLOCK = 512  # nodes of a crowded run that meet those of another block, ...
+BLOCK_SHINGLES = 1 << 20  # ... fewer if they are long
 # Pairs whose signatures agree in a smaller share are not compared in full. At the least
 # similarity that counts, this is more than six standard deviations off.
 SCREEN = 0.62
@@ -198,9 +204,8 @@ def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(close).select("a", "b").distinct()
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs that are links, told from the full shingle sets."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "asked")
+def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, shingles``: the shingle sets, as bytes, of the documents asked for."""
     key = F.xxhash64("doc_id")
     asked = (
         docs.select("doc_id", utf8("text").alias("text"))
@@ -213,7 +218,13 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             sets = [s.tobytes() for s in shingle_sets(list(frame["text"]))]
             yield frame[["doc_id"]].assign(shingles=sets)
 
-    sets = stored(map_frames(asked, to_sets, "shingles binary"), "shingle_sets")
+    return stored(map_frames(asked, to_sets, "shingles binary"), "shingle_sets")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs that are links, told from the full shingle sets."""
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "asked")
+    sets = sets_of(docs, ids)
 
     def linked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -230,6 +241,107 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return map_frames(both, linked, "linked boolean", ("a", "b")).filter("linked").drop("linked")
 
 
+def block_links(
+    left: pd.DataFrame, right: pd.DataFrame | None, tree: int
+) -> list[tuple[int, int]]:
+    """Rows of a left and a right block (the left one again if None) whose links join what the
+    roots tell apart. Pairs that already share the least prefix in an earlier tree are left
+    to that one."""
+    both = left if right is None else pd.concat([left, right])
+    sign = np.frombuffer(b"".join(both["signature"]), np.uint16).reshape(len(both), TREES, DEPTH)
+    sets = [np.frombuffer(x, np.uint64) for x in both["shingles"]]
+    size = both["n_shingles"].to_numpy()
+    # Nodes of a root share a number, which changes as roots are joined.
+    group = np.unique(both["root"].to_numpy(), return_inverse=True)[1]
+    flat, least = sign.reshape(len(both), -1), sign[:, :tree, :LEAST_PREFIX]
+    out = []
+    for x in range(len(left)):
+        begin = x + 1 if right is None else len(left)
+        fits = (group[begin:] != group[x]) & (
+            100 * np.minimum(size[begin:], size[x]) >= PERCENT * np.maximum(size[begin:], size[x])
+        )
+        ys = np.flatnonzero(fits) + begin
+        ys = ys[(flat[ys] == flat[x]).mean(axis=1) >= SCREEN]
+        ys = ys[~(least[ys] == least[x]).all(axis=2).any(axis=1)]
+        for y in ys:
+            if group[x] == group[y]:
+                continue
+            shared = overlap(sets[x], sets[y])
+            if 100 * shared >= PERCENT * (size[x] + size[y] - shared) and shared > 0:
+                out.append((x, int(y)))
+                group[group == group[y]] = group[x]
+    return out
+
+
+def crowd_links(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """Links ``a, b`` between components that crowded runs hold; None without such runs."""
+    trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+    prefix = F.substring("signature", F.col("tree") * DEPTH * 2 + 1, F.lit(LEAST_PREFIX * 2))
+    places = (
+        nodes.join(roots, "node", "left")
+        .select("node", "n_shingles", F.coalesce("root", "node").alias("root"), "signature", trees.alias("tree"))
+        .select("node", "n_shingles", "root", "tree", F.xxhash64("tree", prefix).alias("place"))
+    )
+    open_runs = stored(
+        places.groupBy("place")
+        .agg(F.count("*").alias("crowd"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter((F.col("crowd") > RUN) & (F.col("low") != F.col("high")))
+        .select("place"),
+        "open_runs",
+    )
+    if open_runs.isEmpty():
+        return None
+    # Nodes of like size together, and as many in a block as their sizes allow.
+    bits = F.floor(F.log2("n_shingles")).cast("int")
+    members = places.join(open_runs, "place").withColumn("bits", bits)
+    order = stored(ranked(members, "place", "bits", "n_shingles", "node", name="crowds"), "members")
+    begin = order.groupBy("place", "bits").agg(F.min("rank").alias("begin"))
+    room = F.greatest(F.lit(RUN), F.least(F.lit(BLOCK), F.expr(f"{BLOCK_SHINGLES} div shiftleft(1L, bits)")))
+    order = order.join(begin, ["place", "bits"]).withColumn(
+        "block", F.struct("bits", F.floor((F.col("rank") - F.col("begin")) / room).alias("number"))
+    )
+    blocks = stored(
+        order.groupBy("place", "tree", "block").agg(
+            F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"),
+            F.min("root").alias("low"), F.max("root").alias("high"),
+        ),
+        "blocks",
+    )
+    other = blocks.select("place", *(F.col(c).alias(f"{c}2") for c in ("block", "small", "low", "high")))
+    meets = (
+        blocks.join(other, "place")
+        .filter((F.col("block") <= F.col("block2")) & (100 * F.col("large") >= PERCENT * F.col("small2")))
+        .filter((F.least("low", "low2") != F.greatest("high", "high2")))
+        .withColumn("meet", F.xxhash64("place", "block", "block2"))
+    )
+    sides = stored(
+        meets.select("place", "block", "block2", "tree", "meet")
+        .withColumn("alone", F.col("block") == F.col("block2"))
+        .select("place", "tree", "meet", "alone", F.posexplode(F.array("block", "block2")).alias("side", "block"))
+        .filter(~F.col("alone") | (F.col("side") == 0)),
+        "meets",
+    )
+    asked = stored(order.select(F.col("node").alias("doc_id")).distinct(), "asked")
+    sets = sets_of(docs, asked).dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "node")
+    rows = (
+        order.select("place", "block", "node", "n_shingles", "root")
+        .join(sides, ["place", "block"])
+        .join(nodes.select("node", "signature"), "node")
+        .join(sets, "node")
+        .select("meet", "tree", "side", "node", "n_shingles", "root", "signature", "shingles")
+    )
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
+        node = np.concatenate([left["node"].to_numpy(), right["node"].to_numpy()])
+        pairs = block_links(left, right if len(right) else None, int(frame["tree"].iloc[0]))
+        pairs = np.array(pairs, np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]})
+
+    kind = nodes.schema["node"].dataType.simpleString()
+    return stored(rows.groupBy("meet").applyInPandas(compare, f"a {kind}, b {kind}"), "crowd_links")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` and the row keys of every document."""
     sketches = stored(sketched(docs), "sketches")
@@ -245,7 +357,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nodes = stored(nodes, "nodes")
     pairs = stored(screened(candidates(nodes), nodes), "candidates")
     links = stored(confirmed(docs, pairs), "links")
-    roots = components(links)
+    roots = stored(components(links), "roots")
+    more = crowd_links(docs, nodes, roots)
+    if more is not None:
+        roots = components(links.unionByName(more))
     named = nodes.join(roots, "node", "left").select(
         "digest", F.coalesce("root", "node").alias("component_id")
     )

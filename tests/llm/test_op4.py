@@ -3,6 +3,7 @@
 import random
 
 import cases
+import numpy as np
 import pytest
 
 from newspipe.llm import forest
@@ -92,6 +93,45 @@ def test_groups_of_edited_copies(spark):
     check(spark, rows)
 
 
+def crowd(seed, n, words, edits):
+    """Copies of one text that is not among them, each with its own edits."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    origin = [word() for _ in range(words)]
+    texts = []
+    for _ in range(n):
+        copy = list(origin)
+        for at in rng.sample(range(words), edits):
+            copy[at] = word()
+        texts.append(" ".join(copy))
+    return list(enumerate(texts))
+
+
+def components_of_crowd(rows, percent):
+    """The smallest id each row is linked with, from the overlaps of all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    column = {x: k for k, x in enumerate(set().union(*sets))}
+    inside = np.zeros((len(rows), len(column)), np.float32)
+    for i, s in enumerate(sets):
+        inside[i, [column[x] for x in s]] = 1
+    shared, size = inside @ inside.T, inside.sum(axis=1)
+    linked = 100 * shared >= percent * (size[:, None] + size - shared)
+    root = np.arange(len(rows))
+    while True:
+        least = np.where(linked, root, len(rows)).min(axis=1)
+        if (least == root).all():
+            return root.tolist()
+        root = least
+
+
+def test_crowds_without_their_origin(spark):
+    """Copies with just links enough to hang together, in more than a block."""
+    rows = crowd(3, 1200, 400, 5)
+    want = components_of_crowd(rows, 85)
+    got = forest.near_duplicates(cases.documents(spark, rows))
+    assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(want))
+
+
 def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     rows = [tuple(r) for r in docs]
