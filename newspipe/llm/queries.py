@@ -8,11 +8,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import forest, language, leaks, licences, packing, page_diff, quality, slots, suffixes, surrogates
+from . import (
+    forest,
+    language,
+    leaks,
+    licences,
+    packing,
+    page_diff,
+    phrases,
+    quality,
+    slots,
+    suffixes,
+    surrogates,
+    transducer,
+    turns,
+)
 from .store import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 # Stands for a secret that a real run gets from its own store.
 SURROGATE_KEY = "a key for the test tables"
 REGISTRY: dict[str, Query] = {}
@@ -97,3 +112,21 @@ def op9_keyed_surrogates(spark, sf_dir):
 def op10_byte_network(spark, sf_dir):
     """Language of every document."""
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_multikey_phrases(spark, sf_dir):
+    """Each language's best collocations."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_auction_repair(spark, sf_dir):
+    """Damaged conversations, their faults and cheapest repair."""
+    return turns.repaired(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_bounded_lookahead(spark, sf_dir):
+    """Tokens of every document, and what they decode to, as digests."""
+    return transducer.round_trip(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
