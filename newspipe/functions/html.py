@@ -5,9 +5,8 @@ batch and streaming frames alike. Repeated groups in the patterns are possessive
 Java runs those in a loop, so a page with thousands of tags cannot overflow the
 stack or backtrack exponentially.
 
-Approximations, against a real browser: CSS is not applied (hidden elements and
-text-transform are ignored), and optional closing tags are only inferred where
-noted below.
+Approximations, against a real browser: of CSS only what a tag itself says about display
+and visibility is applied, and optional closing tags are only inferred where noted below.
 """
 
 from __future__ import annotations
@@ -21,10 +20,12 @@ from pyspark.sql import functions as F
 from .plan import folded, let
 
 # While a text is cut up, a tag that matters is written as OPEN + name + CLOSE, and
-# NEXT parts one piece from another. Pages are cleared of these characters first.
+# NEXT parts one piece from another. HIDDEN stands before a tag that shows nothing. Pages are
+# cleared of these characters first.
 OPEN = "\u0001"
 CLOSE = "\u0002"
 NEXT = "\u0003"
+HIDDEN = "\u0004"
 
 # Elements that HTML renders on lines of their own, and elements
 # that never have content.
@@ -61,6 +62,9 @@ _UNSEEN = (
 )
 _TAG = rf"(?i)<(?:(p|br|/?(?:p|{'|'.join(BLOCK_TAGS)})){STOP}|/?[a-z]|[!?]){REST}>"
 _EDGE = f"{OPEN}[^{CLOSE}]*{CLOSE}"
+# Hidden tags still end paragraphs, and paragraphs without text count; only breaks do not.
+_HIDDEN_BREAK = rf"(?i){HIDDEN}<br{STOP}{REST}>"
+_HIDDEN_EDGE = f"{HIDDEN}{_EDGE}"
 
 
 def _without(text: Column, *literals: str, put: str = "") -> Column:
@@ -82,11 +86,122 @@ def _rarely(text: Column, *literals: str, put: str) -> Column:
 
 def visible(html: Column) -> Column:
     """The page without comments, scripts and styles (and without our own marks)."""
-    marked = html.contains(OPEN) | html.contains(CLOSE) | html.contains(NEXT)
-    clean = F.when(marked, _without(html, OPEN, CLOSE, NEXT)).otherwise(html)
+    marked = html.rlike(f"[{OPEN}{CLOSE}{NEXT}{HIDDEN}]")
+    clean = F.when(marked, _without(html, OPEN, CLOSE, NEXT, HIDDEN)).otherwise(html)
     return F.regexp_replace(clean, _UNSEEN, "")
 
 
+# --- hidden elements --------------------------------------------------------
+
+# Elements that the next one of their name closes.
+CLOSED_BY_SIBLING = ("p", "li", "dt", "dd", "tr", "td", "th", "option")
+_HIDES = r"(?i)<[a-z][^<>]*(?:\shidden|display\s*:|visibility\s*:)"
+_MARKUP = rf"(?is)</?[a-z]{REST}>|<[!?/][^>]*>|<|[^<]+"
+# In a path of open elements, what one says about itself: not rendered, invisible, visible.
+_GONE, _UNSEEABLE, _SEEABLE = "!", "~", "+"
+
+
+def cut_path(path: Column, element: Column) -> Column:
+    """A path of open elements up to the last opening of this one; unchanged if it is not open."""
+    after = F.call_function("substring_index", path, element, F.lit(-1))
+    size = F.length(path) - F.length(after) - F.length(element)
+    return F.when(F.contains(path, element), F.left(path, size)).otherwise(path)
+
+
+def _declared(style: Column, name: str, values: str) -> Column:
+    """What a style attribute says about a property last, important ones before others."""
+    one = rf"(?is)^(?:.*;)?\s*{name}\s*:\s*({values})\s*"
+    urgent = F.regexp_extract(style, one + r"!\s*important\s*(?:;.*)?$", 1)
+    return F.lower(F.when(urgent != "", urgent).otherwise(F.regexp_extract(style, one + r"(?:;.*)?$", 1)))
+
+
+def _flags(tag: Column) -> Column:
+    """What an open tag says about showing itself; an own display overrides ``hidden``."""
+
+    def told(style: Column) -> Column:
+        display = _declared(style, "display", r"[a-z-]+(?:\s+[a-z-]+)*")
+        visibility = _declared(style, "visibility", "visible|hidden|collapse")
+        gone = (display == "none") | ((display == "") & written_attribute(tag, "hidden").isNotNull())
+        return F.concat(
+            F.when(gone, _GONE).otherwise(""),
+            F.when(visibility == "", "").when(visibility == "visible", _SEEABLE).otherwise(_UNSEEABLE),
+        )
+
+    # Few tags say anything, and looking is cheaper than reading attributes.
+    return F.when(tag.rlike(_HIDES), let(F.coalesce(written_attribute(tag, "style"), F.lit("")), told)).otherwise("")
+
+
+def shown(page: Column) -> Column:
+    """The page with no text in hidden elements, their tags marked as hidden.
+
+    Walks the tags once, keeping the path of open elements as text such as ``<div><p>!``. An
+    element that is not rendered shows neither text nor breaks; an invisible one keeps its
+    breaks, and descendants may be visible again. Tags stay, as an element that is looked
+    up may be hidden; its text is empty then. Pages without any such mark are not walked.
+    """
+    void = F.array(*map(F.lit, VOID_TAGS))
+    siblings = F.array(*map(F.lit, CLOSED_BY_SIBLING))
+    blocks = F.array(*map(F.lit, BLOCK_TAGS))
+
+    def hides(path: Column) -> Column:
+        return path.contains(_GONE)
+
+    def invisible(path: Column) -> Column:
+        last = F.regexp_extract(path, rf"([{_UNSEEABLE}{_SEEABLE}])[^{_UNSEEABLE}{_SEEABLE}]*$", 1)
+        return hides(path) | (last == _UNSEEABLE)
+
+    def marked(token: Column, hidden: Column) -> Column:
+        return F.when(hidden, F.concat(F.lit(HIDDEN), token)).otherwise(token)
+
+    def closing(path: Column, name: Column, token: Column) -> Column:
+        element = F.concat(F.lit("<"), name, F.lit(">"))
+
+        def closed(rest: Column) -> Column:
+            # The tag is hidden if the element it closes was.
+            gone = F.substring(path, F.length(rest) + 1, F.lit(_MAX))
+            own = F.regexp_extract(gone, rf"^<[^>]*>{_GONE}", 0) != ""
+            hidden = F.when(rest == path, hides(path)).otherwise(hides(rest) | own)
+            return F.struct(rest.alias("path"), marked(token, hidden).alias("put"))
+
+        return let(cut_path(path, element), closed)
+
+    def opening(path: Column, name: Column, token: Column) -> Column:
+        element = F.concat(F.lit("<"), name, F.lit(">"))
+        last = F.regexp_extract(path, rf"<([^<>]*)>[{_GONE}{_UNSEEABLE}{_SEEABLE}]*$", 1)
+        before = (
+            F.when(((last == name) & F.array_contains(siblings, name)) | (name == "a"), cut_path(path, element))
+            .when((name == "p") | F.array_contains(blocks, name), cut_path(path, F.lit("<p>")))
+            .otherwise(path)
+        )
+
+        def opened(rest: Column) -> Column:
+            def told(own: Column) -> Column:
+                hidden = hides(rest) | own.contains(_GONE)
+                inner = F.when(F.array_contains(void, name), rest).otherwise(F.concat(rest, element, own))
+                return F.struct(inner.alias("path"), marked(token, hidden).alias("put"))
+
+            return let(_flags(token), told)
+
+        return let(before, opened)
+
+    def step(path: Column, token: Column) -> tuple[Column, Column]:
+        name = F.lower(F.regexp_extract(token, r"^</?([a-zA-Z][^\s/>]*)", 1))
+
+        def by_kind(n: Column) -> Column:
+            return (
+                F.when(n == "", F.struct(path.alias("path"), F.when(~invisible(path), token).alias("put")))
+                .when(token.startswith("</"), closing(path, n, token))
+                .otherwise(opening(path, n, token))
+            )
+
+        now = let(name, by_kind)
+        return now["path"], now["put"]
+
+    tokens = F.regexp_extract_all(page, F.lit(_MARKUP), F.lit(0))
+    walked = F.array_join(folded(tokens, F.lit(""), step), "")
+    return F.when(page.rlike(_HIDES), walked).otherwise(page)
+
+
 # --- entities ---------------------------------------------------------------
 
 # Frequent references come first, as the lookup goes through them in order.
@@ -184,6 +299,10 @@ def _marked(html: Column) -> Column:
     Tags are rewritten in one pass over the whole piece.
     """
     flat = _rarely(_without(html, "\n", put=" "), "\t", "\r", "\f", put=" ")
+    flat = let(
+        flat,
+        lambda t: F.when(t.contains(HIDDEN), F.regexp_replace(t, _HIDDEN_BREAK, "")).otherwise(t),
+    )
     flat = _without(F.regexp_replace(flat, _TAG, f"{OPEN}$1{CLOSE}"), OPEN + CLOSE)
     breaks = [f"{OPEN}{name}{CLOSE}" for name in ("br", "BR", "Br", "bR")]
     # White space that was written as a reference collapses like any other.
@@ -209,7 +328,13 @@ def _trimmed(text: Column) -> Column:
 
 def lines_of(marked: Column) -> Column:
     """A marked text with each block on a line of its own."""
-    lines = F.regexp_replace(marked, f" ?(\n?) ?(?:{_EDGE} ?)+", f"$1{CLOSE}")
+    lines = let(
+        marked,
+        lambda t: F.when(
+            t.contains(HIDDEN), _without(F.regexp_replace(t, _HIDDEN_EDGE, ""), HIDDEN)
+        ).otherwise(t),
+    )
+    lines = F.regexp_replace(lines, f" ?(\n?) ?(?:{_EDGE} ?)+", f"$1{CLOSE}")
     return _trimmed(_without(_without(lines, "\n" + CLOSE, put="\n"), CLOSE, put="\n"))
 
 
@@ -234,17 +359,18 @@ def paragraphs_of(marked: Column) -> Column:
         after = F.when(part.contains(CLOSE), after).otherwise("")
         return F.when(i == 0, strays(part)).otherwise(F.concat(text, strays(after)))
 
-    return F.flatten(F.transform(F.split(marked, f"{OPEN}[pP]{CLOSE}"), piece))
+    clean = _rarely(marked, HIDDEN, put="")
+    return F.flatten(F.transform(F.split(clean, f"{OPEN}[pP]{CLOSE}"), piece))
 
 
 def element_text(html: Column) -> Column:
     """The text of an element's inner HTML: breaks and blocks become lines."""
-    return lines_of(_marked(html))
+    return lines_of(_marked(shown(html)))
 
 
 def paragraphs(html: Column) -> Column:
     """Texts of all ``p`` elements of a piece of HTML."""
-    return paragraphs_of(_marked(html))
+    return paragraphs_of(_marked(shown(html)))
 
 
 # --- attributes and elements ------------------------------------------------
@@ -252,13 +378,21 @@ def paragraphs(html: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of an open tag; null if the tag does not have it."""
+    return let(
+        written_attribute(tag, name),
+        lambda v: F.when(v.isNotNull(), decode_entities(v, in_attribute=True)),
+    )
+
+
+def written_attribute(tag: Column, name: str) -> Column:
+    """The same as it is written, with references as they are."""
     name = re.escape(name)
     front = (
         rf"(?is)^<[a-z][^\s/>]*+(?:[\s/]++(?!{name}[\s=/>]){_ATTR})*+[\s/]++{name}"
         r"""(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*))|(?=[\s/>]))"""
     )
     value = F.regexp_replace(tag, front + r".*\z", "$1$2$3")
-    return F.when(tag.rlike(front), decode_entities(value, in_attribute=True))
+    return F.when(tag.rlike(front), value)
 
 
 def tag_pattern(name: str) -> str:

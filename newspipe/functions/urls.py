@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import html as H
 from .plan import let
 
 _ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+)"
@@ -32,7 +33,7 @@ def _without_dots(path: Column) -> Column:
 def resolve_href(href: Column, page_url: Column) -> Column:
     """Absolute form of ``href`` as a browser on ``page_url`` would report it.
 
-    ``<base href>`` is not taken into account.
+    For a page that sets a base, ``page_url`` is that base, see ``base_url``.
     """
     origin = F.regexp_extract(page_url, _ORIGIN, 1)
     scheme = F.regexp_extract(page_url, r"^([a-zA-Z][a-zA-Z0-9+.-]*):", 1)
@@ -56,7 +57,24 @@ def resolve_href(href: Column, page_url: Column) -> Column:
         lambda h: F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
         .when(h.startswith("/"), rooted(h))
+        .when(h == "", F.concat(origin, path, query))
         .when(h.startswith("?"), F.concat(origin, path, h))
         .when(h.startswith("#"), F.concat(origin, path, query, h))
         .otherwise(rooted(F.concat(directory, h))),
     )
+
+
+def base_url(page: Column, page_url: Column) -> Column:
+    """What relative links of a page refer to: its first ``<base href>``, or its own address.
+
+    The base may itself be relative to the page's address. Bases without ``href`` are passed
+    over, and so is one that holds data or script, as nothing can be relative to it.
+    """
+    tags = F.regexp_extract_all(page, F.lit(H.tag_pattern("base")), F.lit(0))
+    hrefs = F.filter(F.transform(tags, lambda t: H.attribute(t, "href")), lambda h: h.isNotNull())
+
+    def usable(href: Column) -> Column:
+        return F.when(href.isNotNull() & ~href.rlike(r"(?i)^\s*(?:data|javascript):"), resolve_href(href, page_url))
+
+    found = let(F.try_element_at(hrefs, F.lit(1)), usable)
+    return F.coalesce(F.when(page.rlike(rf"(?i)<base{H.STOP}"), found), page_url)

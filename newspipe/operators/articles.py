@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import html as H
-from ..functions.plan import computed_once
+from ..functions.plan import computed_once, let
 from ..profiles import LENIENT, STRICT, LenientProfile, StrictProfile
 
 
 def visible_pages(pages: DataFrame) -> DataFrame:
     """``url, page``: what the rules look at."""
-    return computed_once(pages, F.col("url"), H.visible(F.col("html")).alias("page"))
+    page = let(H.visible(F.col("html")), H.shown)
+    return computed_once(pages, F.col("url"), page.alias("page"))
 
 
 def _mentions(pages: DataFrame, *tags: str) -> DataFrame:
@@ -137,3 +138,36 @@ def extract_rejects(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFr
     )
     found = computed_once(visible_pages(pages), F.col("url"), reason.alias("reason"))
     return found.filter("reason is not null")
+
+
+def judge_strict(pages: DataFrame, profile: StrictProfile = STRICT) -> DataFrame:
+    """Every page once: the columns of ``extract_strict``, or the ``reason`` it is left out.
+
+    What ``extract_strict`` and ``extract_rejects`` give together, from one extraction.
+    """
+    page = F.col("page")
+    read = computed_once(
+        visible_pages(pages),
+        F.col("url"),
+        (page.isNotNull() & _has(profile.headline_tag)).alias("has_headline"),
+        H.first_tag(page, H.tag_pattern(profile.time_tag)).alias("time"),
+        H.marked_texts(_headline_html(profile.headline_tag), _wrapper(profile)).alias("texts"),
+    )
+    full = computed_once(
+        read,
+        *[F.col(c) for c in ("url", "has_headline", "time", "texts")],
+        _joined(F.col("texts")[1], profile),
+    )
+    reason = (
+        F.when(~F.coalesce("has_headline", F.lit(False)), "no_h1")
+        .when(F.col("time") == "", "no_time")
+        .when(F.col("article_content") == "", "no_content")
+    )
+    fields = {
+        "headline": H.lines_of(F.col("texts")[0]),
+        "date_published": H.attribute(F.col("time"), profile.time_attribute),
+        "article_content": F.col("article_content"),
+    }
+    judged = full.withColumn("reason", reason)
+    kept = F.col("reason").isNull()
+    return judged.select("url", *[F.when(kept, c).alias(n) for n, c in fields.items()], "reason")

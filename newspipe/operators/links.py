@@ -10,22 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.plan import folded, let
-from ..functions.urls import resolve_href
+from ..functions.urls import base_url, resolve_href
 from ..profiles import ChildChain, ClassTokens
 
-# Elements that the next one of their name closes. Block elements
-# also close a paragraph that is still open.
-_CLOSED_BY_SIBLING = ("<p>", "<li>", "<dt>", "<dd>", "<tr>", "<td>", "<th>", "<option>")
+# Block elements also close a paragraph that is still open.
+_CLOSED_BY_SIBLING = tuple(f"<{tag}>" for tag in H.CLOSED_BY_SIBLING)
 _CLOSING_P = tuple(f"<{tag}>" for tag in H.BLOCK_TAGS)
 
 
-def _cut(path: Column, element: Column) -> Column:
-    """The path up to the last opening of the element, unchanged if it is not open."""
-    after = F.call_function("substring_index", path, element, F.lit(-1))
-    size = F.length(path) - F.length(after) - F.length(element)
-    return F.when(F.contains(path, element), F.left(path, size)).otherwise(path)
-
-
 def _chain_tags(page: Column, names: tuple[str, ...]) -> Column:
     """Open tags at the end of a chain of direct children, in page order.
 
@@ -52,7 +44,7 @@ def _chain_tags(page: Column, names: tuple[str, ...]) -> Column:
         name = F.lower(F.regexp_extract(token, r"^</?([^\s/>]+)", 1))
 
         def advance(element: Column) -> Column:
-            closed = _cut(path, element)
+            closed = H.cut_path(path, element)
             before = F.when(token.startswith("</"), closed).otherwise(opened(path, element, closed))
             return let(
                 before,
@@ -107,20 +99,25 @@ def count_links(rule: ChildChain | ClassTokens) -> Column:
     return F.when(_likely(rule), found).otherwise(0)
 
 
-def extract_links(pages: DataFrame, rule: ChildChain | ClassTokens) -> DataFrame:
+def extract_links(
+    pages: DataFrame, rule: ChildChain | ClassTokens, base: str | None = None
+) -> DataFrame:
     """One row ``(…, pos, href)`` per link; all columns of ``pages`` but ``html`` stay.
 
     Links without or with an empty ``href`` are left out, duplicates are kept, and
-    ``pos`` counts the links of a page from 0 in page order.
+    ``pos`` counts the links of a page from 0 in page order. ``base`` names a further
+    column for the address that the page's links are relative to.
     """
     kept = [c for c in pages.columns if c != "html"]
+    page = F.col("page")
+    bases = [base_url(page, F.col("url")).alias(base)] if base else []
     return (
         pages.filter(_likely(rule))
         .select(*kept, H.visible(F.col("html")).alias("page"))
-        .select(*kept, F.posexplode(_hrefs(F.col("page"), rule)).alias("pos", "href"))
+        .select(*kept, *bases, F.posexplode(_hrefs(page, rule)).alias("pos", "href"))
     )
 
 
-def resolve_links(links: DataFrame) -> DataFrame:
-    """The same links with ``href`` made absolute against ``url``."""
-    return links.withColumn("href", resolve_href(F.col("href"), F.col("url")))
+def resolve_links(links: DataFrame, base: str = "url") -> DataFrame:
+    """The same links with ``href`` made absolute against the address in ``base``."""
+    return links.withColumn("href", resolve_href(F.col("href"), F.col(base)))

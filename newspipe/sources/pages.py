@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.charsets import page_text
 from ..schemas import PAGE
 
 
@@ -13,6 +14,14 @@ def scan_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAGE).parquet(path)
 
 
+def decoded_pages(
+    pages: DataFrame, content: str = "content", charset: str | None = None
+) -> DataFrame:
+    """Pages stored as bytes, with their text as ``html`` in place of the bytes."""
+    kept = [c for c in pages.columns if c not in (content, "html")]
+    return pages.select(*kept, page_text(F.col(content), charset).alias("html"))
+
+
 def add_section_urls(bases: DataFrame, base_url: str, pages: Column | int = 2) -> DataFrame:
     """One row ``(…, page, section_url)`` per section page of each base address.
 

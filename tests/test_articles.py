@@ -315,3 +315,55 @@ def test_time_grows_with_the_page(spark):
     article = "<article><p>x</p></article>"
     seconds(article * 100)
     assert seconds(article * 16_000) < 8
+
+
+def test_hidden_elements(spark):
+    """Hidden text is not read, hidden elements still count, and breaks in them do not."""
+    bodies = {
+        "verdict": "<p hidden>secret</p><p style='display:none'>none</p><p>shown</p>",
+        "around": "<div hidden><p>a</p><div>b</div></div><p>c<span hidden>x<br>y</span>d</p>",
+        "invisible": "<div style='visibility:hidden'><p>a<br><b style='visibility:visible'>B</b>c</p></div>",
+        "own display": "<p hidden style='display:block'>a</p><p style='display:none; display:block'>b</p>"
+        "<p style='display:none !important; display:block'>c</p>",
+        "ends": "<div><span hidden>x</div><p>y</p><p hidden>z<div>w</div><p>v</p>",
+        "words": "<p class=hidden title='display:none'>hidden words, display: none</p>",
+        "list": "<ul><li hidden><p>a</p><li><p>b</p></ul>",
+    }
+    wrapped = {k: f"<h1>t</h1><time>x</time><article class=entry-content>{b}</article>" for k, b in bodies.items()}
+    wrapped["headline"] = "<h1>a<i hidden>b</i><div hidden>c</div>d<p style=display:none>e</p>f</h1><article><p>x</p></article>"
+    wrapped["author"] = "<h1>t</h1><b class=author hidden>By Desk</b><article><p>x</p></article>"
+    got = {r.url: r for r in extract_lenient(pages(spark, wrapped)).collect()}
+    assert {k: got[k].article_content for k in bodies} == {
+        "verdict": "shown", "around": "cd", "invisible": "B", "own display": "a\nb", "ends": "y\nv",
+        "words": "hidden words, display: none", "list": "b",
+    }
+    assert got["headline"].headline == "adf" and got["author"].author == ""
+    strict = by_url(extract_strict(pages(spark, wrapped)), "article_content")
+    assert strict["verdict"] == "  shown" and strict["around"] == " cd"
+
+
+def test_hidden_elements_take_time_in_proportion(spark):
+    def seconds(n):
+        body = "<div hidden><p>a<b>b</b></p></div><p>c</p>" * n
+        df = pages(spark, {"x": f"<h1>t</h1><article>{body}</article>"})
+        start = time.perf_counter()
+        row = extract_lenient(df).first()
+        assert row.article_content == "\n".join("c" * n)
+        return time.perf_counter() - start
+
+    seconds(10)
+    assert seconds(4000) < 8 * max(seconds(1000), 0.5)
+
+
+def test_judged_pages_are_articles_and_rejects(spark, sf_dir):
+    from newspipe.operators.articles import judge_strict
+    from newspipe.plans import views
+
+    site = views.site_pages(spark, sf_dir)
+    judged = judge_strict(site).collect()
+    fields = ["url", "headline", "date_published", "article_content"]
+    kept = sorted((tuple(r[f] for f in fields) for r in judged if r.reason is None), key=repr)
+    assert kept == sorted(map(tuple, extract_strict(site).collect()), key=repr)
+    left = sorted((r.url, r.reason) for r in judged if r.reason)
+    assert left == sorted(map(tuple, extract_rejects(site).collect()))
+    assert len(judged) == site.count()

@@ -7,21 +7,27 @@ from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
 
 from newspipe import CHILD_CHAIN, extract_lenient, extract_links, extract_strict
-from newspipe.functions.html import BLOCK_TAGS, VOID_TAGS
+from newspipe.functions.html import BLOCK_TAGS, CLOSED_BY_SIBLING, VOID_TAGS
 
 TOKENS = [
     "<p>", "<p class='a>b'>", "</p>", "<P>", "</P>", "<b>", "</b>", "<br>", "<BR/>", "<div>", "</div>",
     "<ul><li>", "</li></ul>", "<h2>", "</h2>", "<!-- <p>x</p> -->", "<script>'<p>'</script>",
-    "a", "b c", "d", " ", "  ", "\n", "\t", "&amp;", "&amp;lt;", "&nbsp;", "&#8217;", "&#x41;", "&copy", "&", "é",
+    "<p hidden>", "<div hidden>", "<span style='display:none'>", "<span>", "</span>", "<I STYLE='Visibility: hidden'>",
+    "<i style=\"visibility:visible\">", "</i>", "<p hidden style='display:block'>", "<ul style='display: none'><li>",
+    "<b class=hidden style=color:red>", "<br hidden>", "a", "b c", "d", " ", "  ", "\n", "\t", "&amp;", "&amp;lt;", "&nbsp;", "&#8217;", "&#x41;", "&copy", "&", "é",
 ]
 
 
 class Paragraphs(HTMLParser):
-    """Texts of paragraphs, opened and closed one event after the other."""
+    """Texts of paragraphs, opened and closed one event after the other.
+
+    ``stack`` holds open elements, each with whether it and all around it is rendered, and
+    whether it is visible.
+    """
 
     def __init__(self, html):
         super().__init__(convert_charrefs=True)
-        self.done, self.open, self.hidden = [], None, False
+        self.done, self.open, self.script, self.stack = [], None, False, []
         self.feed(html)
         self.close()
         self.end()
@@ -33,24 +39,45 @@ class Paragraphs(HTMLParser):
             self.done.append(text.replace(" ", " "))
             self.open = None
 
+    def pop(self, tag):
+        if tag in [name for name, *_ in self.stack]:
+            while self.stack.pop()[0] != tag:
+                pass
+
+    def state(self):
+        return self.stack[-1][1:] if self.stack else (True, True)
+
     def handle_starttag(self, tag, attrs):
-        self.hidden = tag == "script"
+        self.script = tag == "script"
         if tag == "p" or tag in BLOCK_TAGS:
             self.end()
+            if self.stack and self.stack[-1][0] == tag and tag in CLOSED_BY_SIBLING:
+                self.pop(tag)
+            else:
+                self.pop("p")
         if tag == "p":
             self.open = []
-        if tag == "br" and self.open is not None:
+        rendered, visible = self.state()
+        attrs = dict(attrs)
+        said = dict(re.findall(r"([a-z]+)\s*:\s*([a-z]+)", (attrs.get("style") or "").lower()))
+        if said.get("display") == "none" or ("display" not in said and "hidden" in attrs):
+            rendered = False
+        visible = {"hidden": False, "visible": True}.get(said.get("visibility"), visible)
+        if tag not in VOID_TAGS and tag != "script":
+            self.stack.append((tag, rendered, visible))
+        if tag == "br" and self.open is not None and rendered:
             self.open.append("\0")
 
     def handle_endtag(self, tag):
-        self.hidden = False
+        self.script = False
         if tag == "p" and self.open is None:
             self.done.append("")
         elif tag == "p" or tag in BLOCK_TAGS:
             self.end()
+        self.pop(tag)
 
     def handle_data(self, data):
-        if self.open is not None and not self.hidden:
+        if self.open is not None and not self.script and all(self.state()):
             self.open.append(data)
 
 

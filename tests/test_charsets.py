@@ -1,0 +1,74 @@
+"""Pages stored as bytes."""
+
+from newspipe import extract_strict
+from newspipe.functions.charsets import _CODEC, declared_charset, page_text
+from newspipe.sources.pages import decoded_pages
+
+BODY = "<h1>Über ñandú</h1><time datetime='d'>x</time><div class='entry-content'><p>Größe “ça” – €</p></div>"
+LATIN = BODY.replace("“ça” – €", "ça")
+
+
+def page(label, body):
+    return f"<html><head><meta charset='{label}'></head><body>{body}</body></html>"
+
+
+def texts(spark, rows, **settings):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, content binary").coalesce(1)
+    got = df.select("i", page_text(F.col("content"), **settings).alias("t")).orderBy("i").collect()
+    return [r.t for r in got]
+
+
+def test_the_same_articles_from_every_character_set(spark):
+    stored = [
+        page("utf-8", LATIN).encode(),
+        b"\xef\xbb\xbf" + page("latin1", LATIN).encode(),
+        page("ISO-8859-1", LATIN).encode("latin-1"),
+        page("windows-1252", LATIN).encode("cp1252"),
+        b"\xff\xfe" + page("utf-8", LATIN).encode("utf-16-le"),
+        b"\xfe\xff" + page("utf-8", LATIN).encode("utf-16-be"),
+        LATIN.encode("cp1252"),
+        LATIN.encode(),
+        page("utf-16", LATIN).encode(),
+        page("no-such-set", LATIN).encode("cp1252"),
+        f'<META content="text/html; charset=iso-8859-15" http-equiv=Content-Type>{LATIN}'.encode("iso8859-15"),
+    ]
+    df = spark.createDataFrame([(str(i), c) for i, c in enumerate(stored)], "url string, content binary")
+    got = extract_strict(decoded_pages(df.coalesce(1))).collect()
+    assert len(got) == len(stored)
+    assert {(r.headline, r.date_published, r.article_content) for r in got} == {("Über ñandú", "d", "Größe ça")}
+
+
+def test_signs_of_windows_1252(spark):
+    assert texts(spark, [page("latin1", BODY).encode("cp1252")]) == [page("latin1", BODY)]
+
+
+def test_single_byte_sets(spark):
+    high = {codec: "".join(bytes([b]).decode(codec, "ignore") for b in range(160, 256)) for codec in _CODEC.values()}
+    pages = [page(label, high[codec]) for label, codec in sorted(_CODEC.items())]
+    assert texts(spark, [p.encode(_CODEC[label]) for p, label in zip(pages, sorted(_CODEC), strict=True)]) == pages
+
+
+def test_what_is_malformed_is_shown(spark):
+    rows = [
+        None, b"", b"\xef\xbb\xbf", b"\xff\xfe", b"\xef\xbb\xbfa\xffb",
+        b"\xff\xfe" + "a🙂b".encode("utf-16-le") + b"\x3d\xd8" + b"c\x00" + b"\x00\xdcd\x00" + b"e",
+        b"\xfe\xff" + b"\xd8\x3d", "ok ü".encode(),
+    ]
+    assert texts(spark, rows) == [None, "", "", "", "a�b", "a🙂b�c�d", "�", "ok ü"]
+
+
+def test_what_the_server_said_comes_first(spark):
+    data = page("utf-8", "ж").encode("cp1251")
+    assert texts(spark, [data], charset="Windows-1251") == [page("utf-8", "ж")]
+    assert texts(spark, [b"\xef\xbb\xbf\xd0\xb6"], charset="windows-1251") == ["ж"]
+
+
+def test_the_first_label_counts(spark):
+    from pyspark.sql import functions as F
+
+    html = b"<meta name=x content='charset'><meta charset=koi8-r><meta charset=utf-8>"
+    late = b" " * 2000 + b"<meta charset=koi8-r>"
+    df = spark.createDataFrame([(html,), (late,)], "content binary").coalesce(1)
+    assert [r[0] for r in df.select(declared_charset(F.col("content"))).collect()] == ["koi8-r", ""]

@@ -122,3 +122,31 @@ def test_a_page_with_many_links(spark):
     start = time.perf_counter()
     assert extract_links(df, CHILD_CHAIN).count() == 16_000
     assert time.perf_counter() - start < 20
+
+
+def test_document_base(spark):
+    """What a page's links refer to, against the standard library's joining of addresses."""
+    url = "https://www.example.org/news/2024/list.html?page=2#top"
+    bases = {
+        "none": ("", url),
+        "absolute": ("<base href='https://cdn.example/b/'>", "https://cdn.example/b/"),
+        "relative": ("<BASE HREF=../img/x>", urljoin(url, "../img/x")),
+        "root": ('<base target=_top><base href="/one/"><base href="/two/">', urljoin(url, "/one/")),
+        "blanks": ("<base href='  //other.example/q?r#s '>", "https://other.example/q?r#s"),
+        "hidden": ("<!-- <base href='/no/'> --><script>'<base href=/no/>'</script><base href='/yes/'>", urljoin(url, "/yes/")),
+        "data": ("<base href='data:text/plain,x'>", url),
+        "empty": ("<base href=''>", url),
+        "reference": ("<base href='/a&amp;b/'>", urljoin(url, "/a&b/")),
+        "named alike": ("<basefont href='/no/'>", url),
+    }
+    links = ["z.html", "/z", "?z", "../z", "//h.example/z", "https://h.example/z", "./"]
+    anchors = "".join(f"<section><article><a href='{x}'>x</a></article></section>" for x in links)
+    rows = [(i, url, f"<head>{tag}</head>{anchors}") for i, (tag, _) in enumerate(bases.values())]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = {}
+    for row in flows.collect_links(pages).orderBy("page_id", "pos").collect():
+        got.setdefault(row.page_id, []).append(row.href)
+    for i, (name, (_, base)) in enumerate(bases.items()):
+        assert got[i] == [urljoin(base, x) for x in links], name
+    plain = extract_links(pages, CHILD_CHAIN)
+    assert plain.columns == ["page_id", "url", "pos", "href"]
