@@ -16,12 +16,13 @@ from pyspark.sql.types import (
 
 from ..functions.plan import computed_once, let
 from ..functions.values import join_list, spaced_json
+from .ordered import first_rows
 
 # What the batch fetch and the publisher ask for by default.
 BATCH_QUERY = {"country": "us", "category": "crime", "language": "en"}
 PUBLISH_QUERY = {"category": "crime", "language": "en"}
 
-# Closes the brackets around a message.
+# Names the one field of the object that ends the brackets around a message.
 _END = "end of message"
 
 
@@ -64,16 +65,19 @@ def project_news(items: DataFrame) -> DataFrame:
 def limit_messages(
     df: DataFrame, max_messages: int | None = None, order: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The first messages in ``order``; ``None`` and 0 mean all of them."""
+    """The first messages in ``order``; ``None`` and 0 mean all of them.
+
+    However many they are, see ``first_rows``. Without an order any of them.
+    """
     if max_messages is not None and max_messages < 0:
         raise ValueError("max_messages must not be negative")
     if not max_messages:
         return df
-    return (df.orderBy(*order) if order else df).limit(max_messages)
+    return first_rows(df, max_messages, order) if order else df.limit(max_messages)
 
 
-def to_wire(df: DataFrame, ascii_only: bool = False) -> DataFrame:
-    """``value`` = each row as a UTF-8 JSON object, null fields included.
+def wire_value(*columns: Column | str, ascii_only: bool = False) -> Column:
+    """The columns as a UTF-8 JSON object, null fields included.
 
     ``ascii_only`` escapes all other characters, as some producers do; consumers read
     both forms alike.
@@ -82,25 +86,37 @@ def to_wire(df: DataFrame, ascii_only: bool = False) -> DataFrame:
         "ignoreNullFields": "false",
         "writeNonAsciiCharacterAsCodePoint": str(ascii_only).lower(),
     }
-    return df.select(F.encode(F.to_json(F.struct("*"), options), "UTF-8").alias("value"))
+    return F.encode(F.to_json(F.struct(*columns), options), "UTF-8")
+
+
+def to_wire(df: DataFrame, ascii_only: bool = False) -> DataFrame:
+    """``value`` = each row as a UTF-8 JSON object, see ``wire_value``."""
+    return df.select(wire_value("*", ascii_only=ascii_only).alias("value"))
 
 
 def _parsed(wire: DataFrame, schema: StructType) -> DataFrame:
     """``value`` and ``record``: the fields as text, null where the message is no object.
 
-    Set between brackets with an element of our own after it, a message that is exactly
-    one JSON value is the first of two; trailing text breaks that or adds to it.
+    Set between brackets with an object of our own after it, a message that is exactly one
+    JSON object is the first of two; trailing text breaks that or adds to it. So one parse
+    tells that and gives the fields.
     """
     text = F.col("value").cast("string")
     strict = {"allowSingleQuotes": "false"}
-    alone = F.from_json(F.concat(F.lit("["), text, F.lit(f',"{_END}"]')), "array<string>", strict)
-    is_object = (
-        text.rlike(r"^\s*\{")
-        & F.call_function("is_valid_utf8", text)
-        & let(alone, lambda parts: (F.size(parts) == 2) & (F.try_element_at(parts, F.lit(2)) == _END))
+
+    def fields(kind: DataType, *more: str) -> StructType:
+        return StructType([StructField(name, kind) for name in (*schema.names, *more)])
+
+    bracketed = F.from_json(
+        F.concat(F.lit("["), text, F.lit(f',{{"{_END}":""}}]')),
+        ArrayType(fields(StringType(), _END)),
+        strict,
     )
-    def fields(kind: DataType) -> StructType:
-        return StructType([StructField(name, kind) for name in schema.names])
+
+    def alone(parts: Column) -> Column:
+        ended = F.try_element_at(parts, F.lit(2))[_END].isNotNull()
+        only = (F.size(parts) == 2) & ended
+        return F.when(only, with_kinds(F.try_element_at(parts, F.lit(1))))
 
     def with_kinds(record: Column) -> Column:
         # Only a text that looks like a list or an object may be one; then its kind tells.
@@ -111,8 +127,10 @@ def _parsed(wire: DataFrame, schema: StructType) -> DataFrame:
             record.alias("text"), F.when(nested if texts else F.lit(False), kinds).alias("kind")
         )
 
-    record = let(F.from_json(text, fields(StringType()), strict), with_kinds)
-    return computed_once(wire, F.col("value"), F.when(is_object, record).alias("record"))
+    readable = text.rlike(r"^\s*\{") & F.call_function("is_valid_utf8", text)
+    return computed_once(
+        wire, F.col("value"), F.when(readable, let(bracketed, alone)).alias("record")
+    )
 
 
 def _field(field: StructField) -> Column:
@@ -155,3 +173,13 @@ def from_wire(wire: DataFrame, schema: StructType) -> DataFrame:
 def wire_rejects(wire: DataFrame, schema: StructType) -> DataFrame:
     """``value`` of the messages that ``from_wire`` leaves out."""
     return _parsed(wire, schema).filter(~_readable()).select("value")
+
+
+def judged_wire(wire: DataFrame, schema: StructType, tag: str = "readable") -> DataFrame:
+    """Every message once: whether it is a record, its fields, and its ``value`` if it is none.
+
+    One parse for both outcomes, for sinks that keep records and rejects side by side.
+    """
+    parsed = _parsed(wire, schema)
+    rejected = F.when(~_readable(), F.col("value")).alias("value")
+    return parsed.select(_readable().alias(tag), *[_field(f) for f in schema.fields], rejected)

@@ -1,8 +1,9 @@
 """CSV files.
 
-Written as plain UTF-8 with newline row ends: Spark offers no byte-order mark, and a
-two-character row end would rewrite newlines inside values. Null and empty text are
-both written as nothing and read back as null.
+Written as UTF-8 with newline row ends: a two-character row end would rewrite newlines
+inside values. A byte-order mark is optional; as every file begins with the header, it is
+written as the first character of the first name there. Null and empty text are both
+written as nothing and read back as null.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 from ..operators.analyze import key_list
 from ..operators.normalize import flatten, flatten_raw
 from ..schemas import text_fields
+from ..session import scratch_dir
 
 WRITE_OPTIONS = {
     "header": "true",
@@ -30,10 +32,19 @@ BATCH_RECORDS = 100
 READ_OPTIONS = {"header": "true", "escape": '"', "multiLine": "true"}
 
 
-def csv_rows(df: DataFrame, columns: list[str] | None = None, rename: dict | None = None) -> DataFrame:
+BYTE_ORDER_MARK = "\ufeff"
+
+
+def csv_rows(
+    df: DataFrame,
+    columns: list[str] | None = None,
+    rename: dict | None = None,
+    byte_order_mark: bool = False,
+) -> DataFrame:
     """The rows as they go into a file: chosen columns, lists and objects as text.
 
-    Booleans are spelled ``True`` and ``False``.
+    Booleans are spelled ``True`` and ``False``. The byte-order mark is part of the first
+    column's name, so that every file starts with it.
     """
 
     def cell(field: StructField) -> Column:
@@ -43,19 +54,23 @@ def csv_rows(df: DataFrame, columns: list[str] | None = None, rename: dict | Non
         return column.alias((rename or {}).get(field.name, field.name))
 
     flat = flatten(df.select(*[f"`{c}`" for c in columns]) if columns else df)
-    return flat.select(*[cell(f) for f in flat.schema.fields])
+    rows = flat.select(*[cell(f) for f in flat.schema.fields])
+    if byte_order_mark:
+        rows = rows.withColumnRenamed(rows.columns[0], BYTE_ORDER_MARK + rows.columns[0])
+    return rows
 
 
-def _write_options(rows: DataFrame) -> dict[str, str]:
+def write_options(rows: DataFrame) -> dict[str, str]:
     """A line with nothing on it is no row, so a lone column has its blanks quoted."""
     quoted = {"emptyValue": '""', "nullValue": '""'} if len(rows.columns) == 1 else {}
     return WRITE_OPTIONS | quoted
 
 
-def _bytes(rows: DataFrame) -> int:
-    """Size of the rows as text, without quotes."""
+def _records_for(rows: DataFrame, max_bytes: int) -> int:
+    """How many rows of average size, as text without quotes, make a file of that size."""
     cells = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 1 for c in rows.columns]
-    return rows.agg(F.sum(reduce(Column.__add__, cells))).first()[0] or 0
+    size = rows.agg(F.avg(reduce(Column.__add__, cells))).first()[0] or 1
+    return max(1, int(max_bytes / size))
 
 
 def write_csv(
@@ -66,20 +81,22 @@ def write_csv(
     rename: dict | None = None,
     max_records_per_file: int | None = None,
     max_bytes_per_file: int | None = None,
+    byte_order_mark: bool = False,
 ) -> None:
     """Write one file per task, or more if ``max_records_per_file`` is given.
 
-    With ``max_bytes_per_file`` the rows are first measured, in a pass of their own, and
-    dealt out evenly to as many files as that takes; a file may exceed it by the size of a
-    few rows. Without a path nothing is written. ``mode="append"`` adds files.
+    With ``max_bytes_per_file`` the rows are first measured, in a pass of their own that gives
+    their average size, and a task starts another file after as many rows as that allows.
+    No row moves for it. Without a path nothing is written. ``mode="append"`` adds files.
     """
     if not path:
         print("No path given, nothing written.")
         return
-    rows = csv_rows(df, columns, rename)
+    rows = csv_rows(df, columns, rename, byte_order_mark)
     if max_bytes_per_file:
-        rows = rows.repartition(max(1, -(-_bytes(rows) // max_bytes_per_file)))
-    writer = rows.write.mode(mode).options(**_write_options(rows))
+        fitting = _records_for(rows, max_bytes_per_file)
+        max_records_per_file = min(fitting, max_records_per_file or fitting)
+    writer = rows.write.mode(mode).options(**write_options(rows))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.csv(path)
@@ -93,21 +110,26 @@ def write_raw_csv(
     max_records_per_file: int | None = None,
     max_bytes_per_file: int | None = None,
     max_keys: int | None = None,
+    byte_order_mark: bool = False,
 ) -> list[str]:
     """Raw JSON items under the union of their keys in ascending order.
 
-    The header has to be known first, so the input is read once for the keys and once for
-    the rows; store what is costly to work out before. More than ``max_keys`` keys are an
-    error.
+    The header has to be known before the first row, so the items are first kept as a table
+    in the shared folder, from which the keys, the size and the rows are read. The input
+    itself is worked out once. More than ``max_keys`` keys are an error.
     """
-    keys = key_list(df, raw, at_most=max_keys)
-    rows = flatten_raw(df, raw, text_fields(*keys), titled_booleans=True)
+    spark, kept = df.sparkSession, scratch_dir(df.sparkSession, "items")
+    df.select(F.col(raw).alias("raw")).write.parquet(kept)
+    items = spark.read.schema("raw string").parquet(kept)
+    keys = key_list(items, "raw", at_most=max_keys)
+    rows = flatten_raw(items, "raw", text_fields(*keys), titled_booleans=True)
     write_csv(
         rows,
         path,
         mode=mode,
         max_records_per_file=max_records_per_file,
         max_bytes_per_file=max_bytes_per_file,
+        byte_order_mark=byte_order_mark,
     )
     return keys
 
@@ -128,10 +150,11 @@ def stream_csv(
     columns: list[str] | None = None,
     trigger: dict | None = None,
     max_records_per_file: int | None = None,
+    byte_order_mark: bool = False,
 ) -> StreamingQuery:
     """Append every micro-batch as CSV files, exactly once per checkpoint."""
-    rows = csv_rows(df, columns)
-    writer = rows.writeStream.format("csv").options(**_write_options(rows))
+    rows = csv_rows(df, columns, byte_order_mark=byte_order_mark)
+    writer = rows.writeStream.format("csv").options(**write_options(rows))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     return (

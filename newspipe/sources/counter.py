@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def counter_value(number: Column) -> Column:
+    """The UTF-8 bytes of ``"{n} cats"``."""
+    return F.encode(F.concat(number.cast("string"), F.lit(" cats")), "UTF-8")
+
+
 def counter_messages(numbers: DataFrame, column: str) -> DataFrame:
-    """``value`` = the UTF-8 bytes of ``"{n} cats"``; works on batch and stream."""
-    text = F.concat(F.col(column).cast("string"), F.lit(" cats"))
-    return numbers.select(F.encode(text, "UTF-8").alias("value"))
+    """``value`` = the message of each number; works on batch and stream."""
+    return numbers.select(counter_value(F.col(column)).alias("value"))
 
 
 def counter_source(spark: SparkSession, count: int = 20) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -77,6 +78,23 @@ class RowsRead:
         return sum(self.by_batch.values())
 
 
+def stream_judged(
+    df: DataFrame, tag: str, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append every micro-batch to a table in parts by ``tag``, such as records and rejects.
+
+    Both come out of one pass over the step, and are there together or not at all.
+    """
+    writer = df.writeStream.format("parquet").partitionBy(tag).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or ONCE)).start(path)
+
+
+def read_judged(spark: SparkSession, path: str, tag: str, judged: bool | None = None) -> DataFrame:
+    """What ``stream_judged`` has written, all of it or the rows that were judged so."""
+    rows = spark.read.parquet(path).withColumn(tag, F.col(tag).cast("boolean"))
+    return rows if judged is None else rows.filter(F.col(tag) == judged)
+
+
 def finish(query: StreamingQuery) -> int:
     """Wait for a bounded run; the query is stopped in any case. Gives the rows read."""
     rows = RowsRead(query)

@@ -55,6 +55,23 @@ def test_other_readers_agree(spark):
     assert tuple(back) == ('a\n"b"', None, None, " x ")
 
 
+def test_files_may_start_with_a_byte_order_mark(spark):
+    """Every file of batches and streams does; values with line breaks survive."""
+    path = scratch_dir(spark, "marked.csv")
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(AWKWARD)], "id string, v string").repartition(3)
+    write_csv(df, path, byte_order_mark=True, max_records_per_file=2)
+    assert len(files(path)) >= 6
+    assert all(f.read_bytes().startswith("\ufeffid,v\n".encode()) for f in files(path))
+    assert {r.id: r.v for r in read_csv(spark, path, df.schema).collect()} == {str(i): v for i, v in enumerate(AWKWARD)}
+    rows = [row for f in files(path) for row in csv.DictReader(f.open(newline="", encoding="utf-8-sig"))]
+    assert {r["id"] for r in rows} == {str(i) for i in range(len(AWKWARD))}
+    df.write.parquet(f"{path}.in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{path}.in")
+    finish(stream_csv(stream, f"{path}.out", f"{path}.steps", byte_order_mark=True))
+    assert all(f.read_bytes().startswith("\ufeffid,v\n".encode()) for f in files(f"{path}.out"))
+    assert read_csv(spark, f"{path}.out", df.schema).count() == len(AWKWARD)
+
+
 def test_byte_order_mark_is_skipped_on_read(spark, tmp_path):
     (tmp_path / "x.csv").write_bytes("﻿url,headline\nu,é\n".encode())
     row = read_csv(spark, str(tmp_path), text_fields("url", "headline")).first()

@@ -1,0 +1,66 @@
+"""Responses in the order in which a fetch loop meets them."""
+
+import random
+
+import pytest
+
+from newspipe import read_api_pages
+from newspipe.sources.cursors import cursor_order, ordered_by_cursor
+
+PAGE = "cursor string, error boolean, results array<string>, nextPage string"
+
+
+def chain(n, back=None):
+    names = ["", *(f"c{i * 7919 % 100_003}" for i in range(1, n))]
+    nexts = [*names[1:], "" if back is None else names[back]]
+    return list(zip(names, nexts, strict=True))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 65, 300])
+def test_lists_of_any_length(spark, n):
+    links = chain(n) + [("stray", "c1"), ("lost", "nowhere")]
+    random.Random(n).shuffle(links)
+    got = cursor_order(spark.createDataFrame(links, "cursor string, next string"))
+    assert {r.cursor: r.place for r in got.collect()} == {c: i for i, (c, _) in enumerate(chain(n))}
+
+
+@pytest.mark.parametrize("back", [1, 5, 39])
+def test_circles_are_followed_once(spark, back):
+    got = cursor_order(spark.createDataFrame(chain(40, back), "cursor string, next string"))
+    assert {r.cursor: r.place for r in got.collect()} == {c: i for i, (c, _) in enumerate(chain(40))}
+
+
+def test_rounds_follow_the_logarithm(spark, monkeypatch):
+    from newspipe.sources import cursors
+
+    kept = []
+    original = cursors._kept
+    monkeypatch.setattr(cursors, "_kept", lambda s, r, name: kept.append(name) or original(s, r, name))
+    cursor_order(spark.createDataFrame(chain(200), "cursor string, next string")).count()
+    assert kept.count("places") <= 1 + 9
+
+
+def test_the_first_response_is_needed(spark):
+    df = spark.createDataFrame([("a", "b"), ("b", "a")], "cursor string, next string")
+    assert cursor_order(df).count() == 0
+    assert cursor_order(df.limit(0)).count() == 0
+
+
+def test_items_are_those_of_numbered_responses(spark):
+    links = chain(30)
+    rows = [(c or None, i == 25, [f'{{"n": {i}}}', "{}"] if i % 4 else None, n or None) for i, (c, n) in enumerate(links)]
+    rows += [rows[3], rows[3], (rows[5][0], False, ["later copy"], rows[5][3])]  # landed several times
+    random.Random(1).shuffle(rows)
+    pages = spark.createDataFrame(rows, PAGE).repartition(4)
+    ordered = ordered_by_cursor(pages)
+    assert ordered.columns == ["fetch_seq", "cursor", "error", "results", "nextPage"]
+    assert [r.fetch_seq for r in ordered.orderBy("fetch_seq").collect()] == list(range(30))
+    got = {r.fetch_seq for r in read_api_pages(ordered).collect()}
+    assert got == {i for i in range(25) if i % 4}
+
+
+def test_clashing_names(spark):
+    rows = [(None, False, ["a"], "x", 9), ("x", False, ["b"], None, 9)]
+    pages = spark.createDataFrame(rows, PAGE + ", fetch_seq long")
+    got = ordered_by_cursor(pages).orderBy("fetch_seq").collect()
+    assert [(r.fetch_seq, r.results) for r in got] == [(0, ["a"]), (1, ["b"])]
