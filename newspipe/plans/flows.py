@@ -34,8 +34,9 @@ T = TypeVar("T")
 
 
 def collect_links(listings: DataFrame, strict: bool = False) -> DataFrame:
-    """Absolute article addresses found on listing pages."""
-    return resolve_links(extract_links(listings, CLASS_TOKENS if strict else CHILD_CHAIN))
+    """Absolute article addresses found on listing pages, which may set a base."""
+    rule, base = CLASS_TOKENS if strict else CHILD_CHAIN, "__base"
+    return resolve_links(extract_links(listings, rule, base), base).drop(base)
 
 
 def articles_to_csv(

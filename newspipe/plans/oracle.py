@@ -6,14 +6,15 @@ operators where it can: it cuts pages with plain patterns and builds JSON by han
 
 from __future__ import annotations
 
-from .views import HREF_FORMS, LISTING_HTML, SITE_HTML
+from .views import HIDDEN_HTML, HREF_FORMS, LISTING_HTML, SHOWN_HTML, SITE_HTML
 
 # --- inputs -----------------------------------------------------------------
 
 _UNSEEN = r"(?s)<script>.*?</script>|<style>.*?</style>|<title>.*?</title>|<!--.*?-->"
 
 _SITE = f"""site as (
- select url, coalesce(regexp_replace({SITE_HTML}, '{_UNSEEN}', '', 'g'), '') as page from pages)"""
+ select url, coalesce(replace(regexp_replace({SITE_HTML}, '{_UNSEEN}', '', 'g'),
+  '{HIDDEN_HTML}', '{SHOWN_HTML}'), '') as page from pages)"""
 _LISTING = f"""listing as (
  select page_id, url, regexp_replace({LISTING_HTML}, '{_UNSEEN}', '', 'g') as page from pages)"""
 
@@ -117,13 +118,22 @@ def _links(pattern: str) -> str:
 _CHAIN = _links(r'<section>\s*<article>\s*<a href="([^"]+)"')
 _TOKENS = _links('penci-link-post penci-image-holder penci-disable-lazy" href="([^"]+)"')
 
-_ORIGIN = "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)"
+def _origin(url: str) -> str:
+    return f"regexp_extract({url}, '^([a-z]+://[^/?#]+)', 1)"
+
+
+def _folder(url: str) -> str:
+    path = f"regexp_extract({url}, '^[a-z]+://[^/?#]+([^?#]*)', 1)"
+    return f"{_origin(url)} || regexp_extract({path}, '^(.*/)', 1)"
+
+
+_BASE = f"""case page_id % 4 when 1 then 'https://cdn.example.org/b/c'
+  when 2 then {_folder('url')} || 'sub/x?y' when 3 then {_origin('url')} || '/one/' else url end"""
 _RESOLVED = f"""case when spelled like 'https://%' then spelled
-  when spelled like '//%' then split_part(url, ':', 1) || ':' || spelled
-  when spelled like '/%' then {_ORIGIN} || spelled
-  when spelled like '?%' then regexp_extract(url, '^[^?#]*') || spelled
-  else {_ORIGIN} || regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '^(.*/)', 1)
-   || spelled end"""
+  when spelled like '//%' then split_part(base, ':', 1) || ':' || spelled
+  when spelled like '/%' then {_origin('base')} || spelled
+  when spelled like '?%' then regexp_extract(base, '^[^?#]*') || spelled
+  else {_folder('base')} || spelled end"""
 
 # --- queries ----------------------------------------------------------------
 
@@ -156,7 +166,7 @@ from bases""",
     "links_child_chain": f"with {_LISTING} {_CHAIN}",
     "links_class_tokens": f"with {_LISTING} {_TOKENS}",
     "links_resolved": f"""with {_LISTING}, found as ({_TOKENS}),
-forms as (select page_id, url, pos, {HREF_FORMS} as spelled from found)
+forms as (select page_id, url, pos, {HREF_FORMS} as spelled, {_BASE} as base from found)
 select page_id, url, pos, {_RESOLVED} as href from forms""",
     "extract_lenient": f"with {_SITE}, {_LENIENT} select * from lenient",
     "extract_strict": f"with {_SITE}, {_STRICT} select * from strict",
@@ -164,16 +174,30 @@ select page_id, url, pos, {_RESOLVED} as href from forms""",
 select url, case when not has_headline then 'no_h1' when not has_time then 'no_time'
  else 'no_content' end as reason
 from fields where not (has_headline and has_time and article_content <> '')""",
+    "extract_judged": f"""with {_SITE}, {_STRICT}, reasons as (
+ select *, case when not has_headline then 'no_h1' when not has_time then 'no_time'
+  when article_content = '' then 'no_content' end as reason from fields)
+select url, reason, case when reason is null then headline end as headline,
+ case when reason is null then date_published end as date_published,
+ case when reason is null then article_content end as article_content from reasons""",
+    "extract_from_bytes": f"with {_SITE}, {_LENIENT} select * from lenient",
     "count_scrape": f"""with {_SITE}, {_LISTING}, {_LENIENT}, {_STRICT}
 select 'lenient articles' as what, count(*) as n from lenient
 union all select 'lenient links', count(*) from ({_CHAIN})
 union all select 'strict articles', count(*) from strict
 union all select 'strict links', count(*) from ({_TOKENS})""",
     "api_fetch_all": f"with {_API} select * from api where fetch_seq < {_FAILED}",
+    "api_fetch_by_cursor": f"""with {_API}, gap as (
+ select min(d.doc_id) as last from documents d left join documents e on e.doc_id = d.doc_id + 1
+ where d.doc_id >= 0 and e.doc_id is null)
+select * from api where fetch_seq < {_FAILED} and fetch_seq <= (select last from gap)""",
     "api_filter": f"""with {_NEWS} select article_id, title, link, language from news
 where list_contains(category, 'crime') and list_contains(country, 'us') and language = 'en'""",
     "api_project": f"with {_NEWS} select {_PROJECTED} from news",
     "publish_limited": f"""with {_NEWS}, first as (select * from news order by fetch_seq, pos limit 12)
+select {_PROJECTED} from first""",
+    "publish_prefix": f"""with {_NEWS}, first as (select * from news order by fetch_seq, pos
+ limit (select count(*) // 3 from documents))
 select {_PROJECTED} from first""",
     "sample_news": f"""with {_NEWS} select fetch_seq, pos, article_id, title, link from news
 order by fetch_seq, pos limit 5""",
@@ -197,7 +221,7 @@ from documents""",
  || coalesce(to_json("pubDate"), 'null') || ',"link":' || coalesce(to_json(link), 'null')
  || ',"category":' || category_json || '}}' as value from messages""",
     "wire_decode": f"""with {_MESSAGES} select title, content, "pubDate", link,
- case coalesce(event_id % 3, 0) when 0 then category when 1 then title
+ case coalesce((event_id % 3 + 3) % 3, 0) when 0 then category when 1 then title
   else '{{"type":' || coalesce(to_json(title), 'null') || '}}' end as category
 from messages""",
     "wire_decode_rejects": "select event_id || ' cats' as value from events where event_id % 3 = 0",
@@ -210,7 +234,16 @@ from messages""",
  {_LISTS}, sentiment_stats,
  case when duplicate then 'True' when not duplicate then 'False' end as duplicate,
  cast(fetch_seq as varchar) as fetch_seq, cast(pos as varchar) as pos from news""",
+    "csv_marked": _DECODED,
     "append_csv": _DECODED,
+    "stream_append_csv": _DECODED,
+    "stream_judged": f"""with {_MESSAGES}, told as (
+ select *, coalesce((event_id % 3 + 3) % 3 = 0, false) as plain from messages)
+select not plain as readable, case when not plain then title end as title,
+ case when not plain then content end as content,
+ case when not plain then "pubDate" end as "pubDate", case when not plain then link end as link,
+ case when not plain then category end as category,
+ case when plain then event_id || ' cats' end as value from told""",
     "stream_consume": _DECODED,
     "stream_consume_csv": _DECODED,
     "stream_extract_strict": f"with {_SITE}, {_STRICT} select * from strict",

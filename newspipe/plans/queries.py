@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import label
-from ..operators import analyze, articles, links, messages, normalize
+from ..operators import analyze, articles, links, messages, normalize, ordered
 from ..profiles import CHILD_CHAIN, CLASS_TOKENS
 from ..schemas import NEWS_MESSAGE, STRICT_ARTICLE, STRICT_CSV_NAMES, text_fields
 from ..session import scratch_dir
 from ..sinks import csv
-from ..sources import counter, pages, responses
-from ..streaming import runs
+from ..sources import counter, cursors, pages, responses
+from ..streaming import appends, runs
 from . import flows, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,9 +71,11 @@ def links_class_tokens(spark, sf_dir):
 
 @query
 def links_resolved(spark, sf_dir):
-    """Links in five spellings, made absolute."""
-    found = links.extract_links(views.listing_pages(spark, sf_dir), CLASS_TOKENS)
-    return links.resolve_links(found.withColumn("href", F.expr(views.HREF_FORMS)))
+    """Links in five spellings, made absolute on pages with and without a base."""
+    pages = views.listing_pages(spark, sf_dir).withColumn("html", F.expr(views.BASE_HTML))
+    found = links.extract_links(pages, CLASS_TOKENS, base="base")
+    spelled = found.withColumn("href", F.expr(views.HREF_FORMS))
+    return links.resolve_links(spelled, base="base").drop("base")
 
 
 @query
@@ -91,6 +93,18 @@ def extract_rejects(spark, sf_dir):
     return articles.extract_rejects(views.site_pages(spark, sf_dir))
 
 
+@query
+def extract_judged(spark, sf_dir):
+    """Strict articles and the reasons of rejected pages, from one extraction."""
+    return articles.judge_strict(views.site_pages(spark, sf_dir))
+
+
+@query
+def extract_from_bytes(spark, sf_dir):
+    """Lenient articles of pages stored as bytes in four character sets."""
+    return articles.extract_lenient(pages.decoded_pages(views.byte_pages(spark, sf_dir)))
+
+
 @query
 def count_scrape(spark, sf_dir):
     """How many links and articles each kind of site gives, in one pass for each view."""
@@ -120,6 +134,13 @@ def api_fetch_all(spark, sf_dir):
     return normalize.flatten(items)
 
 
+@query
+def api_fetch_by_cursor(spark, sf_dir):
+    """The same from responses that only name the next one."""
+    landed = cursors.ordered_by_cursor(views.cursor_pages(spark, sf_dir))
+    return normalize.flatten(responses.read_api_pages(landed))
+
+
 @query
 def api_filter(spark, sf_dir):
     found = messages.filter_news(views.news_items(spark, sf_dir), **messages.BATCH_QUERY)
@@ -139,6 +160,14 @@ def publish_limited(spark, sf_dir):
     return normalize.flatten(messages.project_news(first))
 
 
+@query
+def publish_prefix(spark, sf_dir):
+    """The first third of all messages in arrival order, too many for one task."""
+    items = views.news_items(spark, sf_dir)
+    first = ordered.first_rows(items, items.count() // 3, ("fetch_seq", "pos"), in_one_task=0)
+    return normalize.flatten(messages.project_news(first))
+
+
 @query
 def sample_news(spark, sf_dir):
     first = analyze.sample(views.news_items(spark, sf_dir), 5)
@@ -213,19 +242,19 @@ def wire_encode(spark, sf_dir):
 def wire_decode(spark, sf_dir):
     """Messages whose category is a list, a plain text or an object."""
     events = views.table(spark, sf_dir, "events")
-    form = F.coalesce(F.col("event_id") % 3, F.lit(0))
+    form = F.coalesce(F.pmod("event_id", F.lit(3)), F.lit(0))
     spelled = {
         0: F.col("category"),
         1: F.col("title"),
         2: F.struct(F.col("title").alias("type")),
     }
-    wires = [
-        messages.to_wire(
-            views.event_messages(events.filter(form == k)).withColumn("category", category)
-        )
+    sent = views.event_messages(events, form.alias("form"))
+    texts = NEWS_MESSAGE.names[:-1]
+    values = [
+        F.when(F.col("form") == k, messages.wire_value(*texts, category.alias("category")))
         for k, category in spelled.items()
     ]
-    wire = reduce(DataFrame.unionByName, wires)
+    wire = sent.select(F.coalesce(*values).alias("value"))
     return normalize.flatten(messages.from_wire(wire, NEWS_MESSAGE))
 
 
@@ -233,7 +262,7 @@ def wire_decode(spark, sf_dir):
 def wire_decode_rejects(spark, sf_dir):
     """Every third event arrives as a plain counter message."""
     events = views.table(spark, sf_dir, "events")
-    plain = F.coalesce(F.col("event_id") % 3 == 0, F.lit(False))
+    plain = F.coalesce(F.pmod("event_id", F.lit(3)) == 0, F.lit(False))
     wire = messages.to_wire(views.event_messages(events.filter(~plain))).unionByName(
         counter.counter_messages(events.filter(plain), "event_id")
     )
@@ -273,6 +302,14 @@ def csv_roundtrip_news(spark, sf_dir):
     return csv.read_csv(spark, path, text_fields(*keys))
 
 
+@query
+def csv_marked(spark, sf_dir):
+    """Event messages in CSV files that start with a byte-order mark."""
+    path = scratch_dir(spark, "marked.csv")
+    csv.write_csv(_event_messages(spark, sf_dir), path, byte_order_mark=True)
+    return csv.read_csv(spark, path, text_fields(*NEWS_MESSAGE.names))
+
+
 @query
 def append_csv(spark, sf_dir):
     """Two appends to one folder, no matter which comes first."""
@@ -316,6 +353,37 @@ def stream_consume_csv(spark, sf_dir):
     return csv.read_csv(spark, f"{base}/csv", text_fields(*NEWS_MESSAGE.names))
 
 
+@query
+def stream_append_csv(spark, sf_dir):
+    """A stream and a batch that append to one folder, as files that any reader finds."""
+    base = scratch_dir(spark, "append")
+    path = f"{base}/csv"
+    items = views.event_messages(_stream(spark, sf_dir, "events"))
+    runs.finish(
+        appends.append_csv_stream(
+            items.filter("title <=> 'click'"), path, f"{base}/steps", max_records_per_file=None
+        )
+    )
+    flows.append_news(_event_messages(spark, sf_dir).filter("not title <=> 'click'"), path)
+    return csv.read_csv(spark, path, text_fields(*NEWS_MESSAGE.names))
+
+
+@query
+def stream_judged(spark, sf_dir):
+    """Records and rejects of one topic side by side; every third message is plain text."""
+    base = scratch_dir(spark, "judged")
+    events = _stream(spark, sf_dir, "events")
+    plain = F.coalesce(F.pmod("event_id", F.lit(3)) == 0, F.lit(False))
+    sent = views.event_messages(events, plain.alias("plain"), F.col("event_id"))
+    value = F.when(F.col("plain"), counter.counter_value(F.col("event_id"))).otherwise(
+        messages.wire_value(*NEWS_MESSAGE.names)
+    )
+    judged = messages.judged_wire(sent.select(value.alias("value")), NEWS_MESSAGE)
+    runs.finish(runs.stream_judged(judged, "readable", f"{base}/judged", f"{base}/steps"))
+    both = runs.read_judged(spark, f"{base}/judged", "readable")
+    return normalize.flatten(both.withColumn("value", F.decode("value", "UTF-8")))
+
+
 @query
 def stream_extract_strict(spark, sf_dir):
     """Pages to messages in one query, messages to records in a second one."""

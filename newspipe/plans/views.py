@@ -7,12 +7,19 @@ tell apart into them, row by row and over the whole table, without a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SITE_HTML = """case page_id % 6
- when 0 then replace(html, '<article>', '<article><meta property="article:published_time" content="2025-04-09T08:00:00Z"><span class="post-author">By Desk</span>')
- when 1 then replace(replace(html, '<article>', '<time datetime="2025-04-10">x</time><div class="entry-content">'), '</article>', '</div>')
+# Paragraphs that a browser does not show, or shows in part, and what is left of them.
+HIDDEN_HTML = (
+    '<p hidden>secret</p><p style="color:red; display:none">none <b>deep</b></p>'
+    '<p>a<span style="visibility:hidden">un<i style="visibility:visible">seen</i></span></p>'
+)
+SHOWN_HTML = "<p></p><p></p><p>aseen</p>"
+
+SITE_HTML = f"""case page_id % 6
+ when 0 then replace(html, '<article>', '<article><meta property="article:published_time" content="2025-04-09T08:00:00Z"><span class="post-author">By Desk</span>{HIDDEN_HTML}')
+ when 1 then replace(replace(html, '<article>', '<time datetime="2025-04-10">x</time><div class="entry-content">{HIDDEN_HTML}'), '</article>', '</div>')
  when 2 then replace(replace(html, '<article>', '<time datetime="2025-04-11">x</time><div class="dable-content-wrapper"></div><div class="entry-content">'), '</article>', '</div>')
  when 3 then replace(replace(html, '<article>', '<time>x</time><div class="article-content wide">'), '</article>', '</div>')
  when 4 then replace(replace(html, '<h1>', '<h2>'), '</h1>', '</h2>')
@@ -23,6 +30,13 @@ LISTING_HTML = """case page_id % 3
  when 1 then replace(html, '<li><a href=', '<li><a class="x penci-link-post penci-image-holder penci-disable-lazy" href=')
  else replace(html, '<a href="/the,"', '<a') end"""
 
+# Listings that set the address their links are relative to, and those that do not.
+BASE_HTML = """case page_id % 4
+ when 1 then replace(html, '<head>', '<head><base href="https://cdn.example.org/b/c">')
+ when 2 then replace(html, '<head>', '<head><base href="sub/x?y">')
+ when 3 then replace(html, '<head>', '<head><base target="_top"><base href="/one/"><base href="/two/">')
+ else html end"""
+
 HREF_FORMS = """case pos % 5
  when 0 then href
  when 1 then substring(href, 2)
@@ -41,6 +55,25 @@ def site_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", "url", F.expr(SITE_HTML).alias("html"))
 
 
+def byte_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article pages as bytes: UTF-8 and UTF-16 with byte-order mark, Latin-1 as far as a
+    page can be written in it, and plain UTF-8."""
+    html, form = F.col("html"), F.pmod("page_id", F.lit(5))
+    mark = F.unhex(F.lit("EFBBBF"))
+    latin = F.replace(html, F.lit("charset=\"utf-8\""), F.lit("charset=\"ISO-8859-1\""))
+    content = (
+        F.when(form == 0, F.concat(mark, F.encode(html, "UTF-8")))
+        .when(
+            (form == 1) & html.rlike(r"\A[\x00-\x7F\xA0-\xFF]*\z"),
+            F.encode(F.regexp_replace(latin, r"[^\x00-\xFF]", "?"), "ISO-8859-1"),
+        )
+        .when(form == 2, F.concat(F.unhex(F.lit("FFFE")), F.encode(html, "UTF-16LE")))
+        .when(form == 3, F.concat(F.unhex(F.lit("FEFF")), F.encode(html, "UTF-16BE")))
+        .otherwise(F.encode(html, "UTF-8"))
+    )
+    return site_pages(spark, sf_dir).select("page_id", "url", content.alias("content"))
+
+
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing pages: nested links, links marked by classes, links without target."""
     pages = table(spark, sf_dir, "pages")
@@ -120,7 +153,14 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_messages(events: DataFrame) -> DataFrame:
+def cursor_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed responses without a number: each has the cursor it was fetched with."""
+    landed = api_pages(spark, sf_dir)
+    cursor = F.when(F.col("fetch_seq") != 0, F.col("fetch_seq").cast("string"))
+    return landed.withColumn("cursor", cursor).drop("fetch_seq")
+
+
+def event_messages(events: DataFrame, *more: Column) -> DataFrame:
     """Events as news messages, the record that travels on the wire."""
     return events.select(
         F.col("event_type").alias("title"),
@@ -128,4 +168,5 @@ def event_messages(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("pubDate"),
         F.concat(F.lit("https://news.example.org/"), "event_id").alias("link"),
         F.array("event_type", F.concat(F.lit("user "), "user_id")).alias("category"),
+        *more,
     )

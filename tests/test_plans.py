@@ -42,8 +42,35 @@ def test_text_is_extracted_once_per_page(spark, sf_dir):
 
 def test_messages_are_parsed_once(spark, sf_dir):
     text = plan(contract.queries()["wire_decode"](spark, sf_dir))
-    whole = re.findall(r"from_json\(StructField\(title,StringType", text)
+    whole = re.findall(r"from_json\(ArrayType\(StructType\(StructField\(title,StringType", text)
     assert len(whole) == 1
+    assert text.count("FileScan") == 1
+
+
+def test_a_csv_file_moves_no_row(spark, sf_dir, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    plans = []
+    original = DataFrameWriter.csv
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda w, p, *a, **k: (plans.append(plan(w._df)), original(w, p, *a, **k)))
+    contract.queries()["csv_roundtrip_article"](spark, sf_dir)
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+
+
+def test_raw_items_are_worked_out_once(spark, tmp_path):
+    """Keys, sizes and rows come from one reading of the input."""
+    from newspipe import write_raw_csv
+
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(50).selectExpr("concat('{\"k', id % 5, '\": 1}') as raw").mapInArrow(seen, "raw string")
+    keys = write_raw_csv(df, "raw", f"{tmp_path}/out", max_bytes_per_file=100)
+    assert keys == [f"k{i}" for i in range(5)] and read.value == 50
 
 
 def test_fetch_reads_keys_before_texts(spark, sf_dir):

@@ -1,7 +1,8 @@
 """The same comparison on tables with hot values and gaps.
 
 A third of the pages share one address, a third of the documents one source, language
-and text, a third of the events one user; some texts, sources, types and ids are missing.
+and text, a third of the events one user; some texts, sources, types and ids are missing, and
+some ids are negative.
 """
 
 import compare
@@ -25,7 +26,7 @@ TABLES = {
         n_chars
         from documents where doc_id < 400""",
     "labels": "select * from labels",
-    "events": """select case when event_id % 25 = 11 then null else event_id end as event_id, ts,
+    "events": """select case when event_id % 25 = 11 then null else event_id - 400 end as event_id, ts,
         case when event_id % 3 = 0 then 1 else user_id end as user_id,
         case when event_id % 10 = 4 then null else event_type end as event_type, value, case when event_id % 10 = 7 then null else props end as props
         from events where event_id < 900""",
