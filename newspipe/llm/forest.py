@@ -11,9 +11,11 @@ nodes that share most labels with others over all trees.
 
 Candidates are confirmed on full shingle sets, then linked nodes are joined to components.
 Neighbours and heads join most of a crowd at little cost, but not all. Where a crowded run
-still holds several components, its nodes are dealt into blocks of bounded size, and any two
-blocks meet in a task of their own: all pairs from different components are compared there,
-and those links are kept that join what was not joined yet.
+still holds several components, what is outside its largest one is compared with all of the
+run: nodes are dealt into blocks of bounded size, a block of outsiders meets every block of
+the run in a task of its own, and those links are kept that join what was not joined yet.
+Blocks of the largest component never meet each other, so rows grow with the run times the
+blocks of its outsiders.
 
 Null, empty and wordless texts have no shingles, are linked with nothing and are kept, as
 component of their own. With fewer than five words the whole sequence is the one shingle.
@@ -46,17 +48,23 @@ LEAST_PREFIX = 2
 RUN = 16  # as many nodes are compared with each other
 BESIDE = 3  # in larger runs, each with as many neighbours
 CHUNK = 4096
-BLOCK = 512  # nodes of a crowded run that meet those of another block, ...
+BLOCK = 2048  # nodes of a crowded run that meet those of another block, ...
 BLOCK_SHINGLES = 1 << 20  # ... fewer if they are long
-# Pairs whose signatures agree in a smaller share are not compared in full. At the least
-# similarity that counts, this is more than six standard deviations off.
-SCREEN = 0.62
 
 _rng = np.random.default_rng(20240229)
 _FACTOR = _rng.integers(1, 2**63, TREES * DEPTH, np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _rng.integers(0, 2**63, TREES * DEPTH, np.uint64)
 
 
+def screen(percent: int) -> float:
+    """Pairs whose signatures agree in a smaller share are not compared in full.
+
+    At the least similarity that counts, this is more than six standard deviations off.
+    """
+    least = percent / 100
+    return least - 6.3 * (least * (1 - least) / (TREES * DEPTH)) ** 0.5
+
+
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     for _, b in words.batches(texts):
@@ -124,7 +132,7 @@ def chunk_candidates(label: np.ndarray, least: int = LEAST_PREFIX) -> list[tuple
     return out
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
+def candidates(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Distinct pairs ``a, b`` of nodes that some tree shows close to each other."""
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     rows = nodes.select("node", "n_shingles", "signature", trees.alias("tree")).select(
@@ -149,7 +157,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
         node, size = frame["node"].to_numpy(), frame["n_shingles"].to_numpy()
         a, b = node[pairs[:, 0]], node[pairs[:, 1]]
         x, y = size[pairs[:, 0]], size[pairs[:, 1]]
-        fits = (a != b) & (100 * np.minimum(x, y) >= PERCENT * np.maximum(x, y))
+        fits = (a != b) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
         both = pd.DataFrame({"a": np.minimum(a, b)[fits], "b": np.maximum(a, b)[fits]})
         return both.drop_duplicates()
 
@@ -190,13 +198,14 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[at] == a).sum()) if len(b) else 0
 
 
-def screened(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def screened(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs whose signatures agree enough."""
+    least = screen(percent)
 
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
         left = np.frombuffer(b"".join(x), np.uint16).reshape(len(x), -1)
         right = np.frombuffer(b"".join(y), np.uint16).reshape(len(y), -1)
-        return pd.Series((left == right).mean(axis=1) >= SCREEN)
+        return pd.Series((left == right).mean(axis=1) >= least)
 
     left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("x"))
     right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("y"))
@@ -221,7 +230,7 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return stored(map_frames(asked, to_sets, "shingles binary"), "shingle_sets")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs that are links, told from the full shingle sets."""
     ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "asked")
     sets = sets_of(docs, ids)
@@ -232,7 +241,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             for p, q in zip(frame["x"], frame["y"], strict=True):
                 p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
                 shared = overlap(p, q)
-                out.append(100 * shared >= PERCENT * (len(p) + len(q) - shared) and shared > 0)
+                out.append(100 * shared >= percent * (len(p) + len(q) - shared) and shared > 0)
             yield frame[["a", "b"]].assign(linked=out)
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
@@ -242,7 +251,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def block_links(
-    left: pd.DataFrame, right: pd.DataFrame | None, tree: int
+    left: pd.DataFrame, right: pd.DataFrame | None, tree: int, percent: int = PERCENT
 ) -> list[tuple[int, int]]:
     """Rows of a left and a right block (the left one again if None) whose links join what the
     roots tell apart. Pairs that already share the least prefix in an earlier tree are left
@@ -253,27 +262,29 @@ def block_links(
     size = both["n_shingles"].to_numpy()
     # Nodes of a root share a number, which changes as roots are joined.
     group = np.unique(both["root"].to_numpy(), return_inverse=True)[1]
-    flat, least = sign.reshape(len(both), -1), sign[:, :tree, :LEAST_PREFIX]
-    out = []
+    flat, prefix = sign.reshape(len(both), -1), sign[:, :tree, :LEAST_PREFIX]
+    least, out = screen(percent), []
     for x in range(len(left)):
         begin = x + 1 if right is None else len(left)
         fits = (group[begin:] != group[x]) & (
-            100 * np.minimum(size[begin:], size[x]) >= PERCENT * np.maximum(size[begin:], size[x])
+            100 * np.minimum(size[begin:], size[x]) >= percent * np.maximum(size[begin:], size[x])
         )
         ys = np.flatnonzero(fits) + begin
-        ys = ys[(flat[ys] == flat[x]).mean(axis=1) >= SCREEN]
-        ys = ys[~(least[ys] == least[x]).all(axis=2).any(axis=1)]
+        ys = ys[(flat[ys] == flat[x]).mean(axis=1) >= least]
+        ys = ys[~(prefix[ys] == prefix[x]).all(axis=2).any(axis=1)]
         for y in ys:
             if group[x] == group[y]:
                 continue
             shared = overlap(sets[x], sets[y])
-            if 100 * shared >= PERCENT * (size[x] + size[y] - shared) and shared > 0:
+            if 100 * shared >= percent * (size[x] + size[y] - shared) and shared > 0:
                 out.append((x, int(y)))
                 group[group == group[y]] = group[x]
     return out
 
 
-def crowd_links(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame | None:
+def crowd_links(
+    docs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int = PERCENT
+) -> DataFrame | None:
     """Links ``a, b`` between components that crowded runs hold; None without such runs."""
     trees = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
     prefix = F.substring("signature", F.col("tree") * DEPTH * 2 + 1, F.lit(LEAST_PREFIX * 2))
@@ -283,23 +294,32 @@ def crowd_links(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFram
         .select("node", "n_shingles", "root", "tree", F.xxhash64("tree", prefix).alias("place"))
     )
     open_runs = stored(
-        places.groupBy("place")
-        .agg(F.count("*").alias("crowd"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter((F.col("crowd") > RUN) & (F.col("low") != F.col("high")))
-        .select("place"),
+        places.groupBy("place", "root")
+        .agg(F.count("*").alias("n"))
+        .groupBy("place")
+        .agg(F.sum("n").alias("crowd"), F.count("*").alias("held"), F.max(F.struct("n", "root")).alias("most"))
+        .filter((F.col("crowd") > RUN) & (F.col("held") > 1))
+        .select("place", F.col("most.root").alias("largest")),
         "open_runs",
     )
     if open_runs.isEmpty():
         return None
     # Nodes of like size together, and as many in a block as their sizes allow.
     bits = F.floor(F.log2("n_shingles")).cast("int")
-    members = places.join(open_runs, "place").withColumn("bits", bits)
-    order = stored(ranked(members, "place", "bits", "n_shingles", "node", name="crowds"), "members")
-    begin = order.groupBy("place", "bits").agg(F.min("rank").alias("begin"))
-    room = F.greatest(F.lit(RUN), F.least(F.lit(BLOCK), F.expr(f"{BLOCK_SHINGLES} div shiftleft(1L, bits)")))
-    order = order.join(begin, ["place", "bits"]).withColumn(
-        "block", F.struct("bits", F.floor((F.col("rank") - F.col("begin")) / room).alias("number"))
+    members = (
+        places.join(open_runs, "place")
+        .withColumn("outside", F.col("root") != F.col("largest"))
+        .withColumn("bits", bits)
+        .drop("largest")
     )
+    order = stored(
+        ranked(members, "place", "outside", "bits", "n_shingles", "node", name="crowds"), "members"
+    )
+    alike = ["place", "outside", "bits"]
+    begin = order.groupBy(*alike).agg(F.min("rank").alias("begin"))
+    room = F.greatest(F.lit(RUN), F.least(F.lit(BLOCK), F.expr(f"{BLOCK_SHINGLES} div shiftleft(1L, bits)")))
+    number = F.floor((F.col("rank") - F.col("begin")) / room).alias("number")
+    order = order.join(begin, alike).withColumn("block", F.struct("outside", "bits", number))
     blocks = stored(
         order.groupBy("place", "tree", "block").agg(
             F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"),
@@ -307,34 +327,35 @@ def crowd_links(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFram
         ),
         "blocks",
     )
-    other = blocks.select("place", *(F.col(c).alias(f"{c}2") for c in ("block", "small", "low", "high")))
+    # Every block of outsiders meets all others once; outsiders come last in the order.
+    other = blocks.filter("block.outside").select(
+        "place", *(F.col(c).alias(f"{c}2") for c in ("block", "small", "large", "low", "high"))
+    )
     meets = (
         blocks.join(other, "place")
-        .filter((F.col("block") <= F.col("block2")) & (100 * F.col("large") >= PERCENT * F.col("small2")))
-        .filter((F.least("low", "low2") != F.greatest("high", "high2")))
+        .filter(F.col("block") <= F.col("block2"))
+        .filter(100 * F.col("large") >= percent * F.col("small2"))
+        .filter(100 * F.col("large2") >= percent * F.col("small"))
+        .filter(F.least("low", "low2") != F.greatest("high", "high2"))
         .withColumn("meet", F.xxhash64("place", "block", "block2"))
     )
     sides = stored(
         meets.select("place", "block", "block2", "tree", "meet")
         .withColumn("alone", F.col("block") == F.col("block2"))
-        .select("place", "tree", "meet", "alone", F.posexplode(F.array("block", "block2")).alias("side", "block"))
+        .select("place", "tree", "meet", "alone", F.posexplode(F.array("block2", "block")).alias("side", "block"))
         .filter(~F.col("alone") | (F.col("side") == 0)),
         "meets",
     )
-    asked = stored(order.select(F.col("node").alias("doc_id")).distinct(), "asked")
+    going = order.select("place", "block", "node", "n_shingles", "root").join(sides, ["place", "block"])
+    going = stored(going.select("meet", "tree", "side", "node", "n_shingles", "root"), "going")
+    asked = stored(going.select(F.col("node").alias("doc_id")).distinct(), "asked")
     sets = sets_of(docs, asked).dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "node")
-    rows = (
-        order.select("place", "block", "node", "n_shingles", "root")
-        .join(sides, ["place", "block"])
-        .join(nodes.select("node", "signature"), "node")
-        .join(sets, "node")
-        .select("meet", "tree", "side", "node", "n_shingles", "root", "signature", "shingles")
-    )
+    rows = going.join(sets.join(nodes.select("node", "signature"), "node"), "node")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
         left, right = frame[frame["side"] == 0], frame[frame["side"] == 1]
         node = np.concatenate([left["node"].to_numpy(), right["node"].to_numpy()])
-        pairs = block_links(left, right if len(right) else None, int(frame["tree"].iloc[0]))
+        pairs = block_links(left, right if len(right) else None, int(frame["tree"].iloc[0]), percent)
         pairs = np.array(pairs, np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": node[pairs[:, 0]], "b": node[pairs[:, 1]]})
 
@@ -342,8 +363,12 @@ def crowd_links(docs: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFram
     return stored(rows.groupBy("meet").applyInPandas(compare, f"a {kind}, b {kind}"), "crowd_links")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` and the row keys of every document."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` and the row keys of every document.
+
+    ``percent`` is the least similarity that links. At 80 a lone pair is missed with a
+    probability below 1e-7, at 85 below 1e-8; the trees are not made for much less.
+    """
     sketches = stored(sketched(docs), "sketches")
     nodes = (
         sketches.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
@@ -355,10 +380,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         )
     )
     nodes = stored(nodes, "nodes")
-    pairs = stored(screened(candidates(nodes), nodes), "candidates")
-    links = stored(confirmed(docs, pairs), "links")
+    pairs = stored(screened(candidates(nodes, percent), nodes, percent), "candidates")
+    links = stored(confirmed(docs, pairs, percent), "links")
     roots = stored(components(links), "roots")
-    more = crowd_links(docs, nodes, roots)
+    more = crowd_links(docs, nodes, roots, percent)
     if more is not None:
         roots = components(links.unionByName(more))
     named = nodes.join(roots, "node", "left").select(
@@ -379,13 +404,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One document of each component, all columns as they are.
 
     A document without id stays if its component has no name, and of rows that are equal in
     id and text one stays.
     """
-    found = near_duplicates(docs)
+    found = near_duplicates(docs, percent)
     unnamed = F.col("doc_id").isNull() & F.col("component_id").isNull()
     staying = found.filter(F.col("kept") | unnamed).select("__k1", "__k2").distinct()
     return (

@@ -18,7 +18,7 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4))
 
 
-def brute(rows):
+def brute(rows, percent=85):
     """``(n_shingles, component)`` of every row, by its place."""
     sets = [shingles(t) for _, t in rows]
     root = list(range(len(rows)))
@@ -39,7 +39,7 @@ def brute(rows):
                 if i < j and (i, j) not in seen:
                     seen.add((i, j))
                     shared = len(sets[i] & sets[j])
-                    if 100 * shared >= 85 * (len(sets[i]) + len(sets[j]) - shared):
+                    if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
                         root[find(j)] = find(i)
     for i, (doc, _) in enumerate(rows):  # rows of one id are one document
         for j in range(i):
@@ -52,10 +52,10 @@ def brute(rows):
     return [(len(s), least[find(i)]) for i, s in enumerate(sets)]
 
 
-def check(spark, rows):
-    got = forest.near_duplicates(cases.documents(spark, rows))
+def check(spark, rows, percent=85):
+    got = forest.near_duplicates(cases.documents(spark, rows), percent)
     found = cases.plain_rows(got, "doc_id", "n_shingles", "component_id", "kept")
-    want = [(d, n, c, d is not None and d == c) for (d, _), (n, c) in zip(rows, brute(rows), strict=True)]
+    want = [(d, n, c, d is not None and d == c) for (d, _), (n, c) in zip(rows, brute(rows, percent), strict=True)]
     assert found == sorted(want, key=repr)
 
 
@@ -67,7 +67,8 @@ def test_no_rows(spark):
     assert forest.near_duplicates(cases.documents(spark, [])).count() == 0
 
 
-def test_groups_of_edited_copies(spark):
+@pytest.mark.parametrize("percent", [85, 80])
+def test_groups_of_edited_copies(spark, percent):
     """A chain of edits, a crowd around a common origin, and strangers."""
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
@@ -90,7 +91,7 @@ def test_groups_of_edited_copies(spark):
     texts += [f"{common} {' '.join(word() for _ in range(40))}" for _ in range(40)]
     rows = list(enumerate(texts))
     rng.shuffle(rows)
-    check(spark, rows)
+    check(spark, rows, percent)
 
 
 def crowd(seed, n, words, edits):
@@ -124,9 +125,18 @@ def components_of_crowd(rows, percent):
         root = least
 
 
-def test_crowds_without_their_origin(spark):
+@pytest.mark.parametrize("edits, percent", [(5, 85), (6, 85), (8, 80)])
+def test_crowds_without_their_origin(spark, monkeypatch, edits, percent):
     """Copies with just links enough to hang together, in more than a block."""
-    rows = crowd(3, 1200, 400, 5)
+    monkeypatch.setattr(forest, "BLOCK", 300)
+    rows = crowd(3, 1200, 400, edits)
+    want = components_of_crowd(rows, percent)
+    got = forest.near_duplicates(cases.documents(spark, rows), percent)
+    assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(want))
+
+
+def test_a_large_crowd(spark):
+    rows = crowd(5, 5000, 120, 1)
     want = components_of_crowd(rows, 85)
     got = forest.near_duplicates(cases.documents(spark, rows))
     assert {r.doc_id: r.component_id for r in got.collect()} == dict(enumerate(want))
