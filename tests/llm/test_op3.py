@@ -36,6 +36,29 @@ MIT = (
         ("All rights reserved.", "all-rights", "", "all-rights"),
         ("you may not use this file except in compliance with the License", "apache2-may-not-use", "", "apache2-may-not-use"),
         ("A license to write: nothing known here.", "", "", ""),
+        ("This program is free software.", "free-software", "", "free-software"),
+        ("// SPDX-License-Identifier: MIT\nint x;", "spdx-MIT", "MIT", ""),
+        ("# SPDX-License-Identifier: LGPL-2.1-or-later", "spdx-LGPL-2.1-or-later", "LGPL-2.1-or-later", ""),
+        (
+            "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+            "cc-by-sa", "CC-BY-SA-4.0", "",
+        ),
+        (
+            "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser"
+            " General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or"
+            " (at your option) any later version.\n\nThis library is distributed in the hope that it will be useful,\nbut"
+            " WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR"
+            " PURPOSE.  See the GNU\nLesser General Public License for more details.\n\nYou should have received a copy of"
+            " the GNU Lesser General Public\nLicense along with this library.",
+            "free-software,lgpl-terms,either-21-or-later,gpl-no-warranty,gnu-implied,lgpl-see,lgpl-received",
+            "LGPL-2.1-or-later", "",
+        ),
+        (
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+            " General Public License as published by the Free Software Foundation, either version 3 of the License, or"
+            " (at your option) any later version.",
+            "free-software,agpl3-or-later", "AGPL-3.0-or-later", "",
+        ),
     ],
 )
 def test_texts(spark, text, ids, found, left):
@@ -44,6 +67,46 @@ def test_texts(spark, text, ids, found, left):
     assert row.n_known == len([i for i in ids.split(",") if i])
 
 
+BSD = [
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the"
+    " following conditions are met:\n",
+    "1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the"
+    " following disclaimer.\n",
+    "2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the"
+    " following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n",
+    "3. Neither the name of the University nor the names of its\n   contributors may be used to endorse or promote"
+    " products derived from\n   this software without specific prior written permission.\n",
+    "3. All advertising materials mentioning features or use of this software\n   must display the following"
+    " acknowledgement:\n   This product includes software developed by the organization.\n",
+]
+
+
+@pytest.mark.parametrize(
+    "parts, found",
+    [([0, 1, 2], "BSD-2-Clause"), ([0, 1, 2, 3], "BSD-3-Clause"), ([0, 1, 2, 4, 3], "BSD-4-Clause"), ([0, 1], "BSD-1-Clause")],
+)
+def test_clauses_tell_licences_apart(spark, parts, found):
+    text = "Copyright (c) 2020 Someone\n\n" + "".join(BSD[i] for i in parts)
+    row = licences.scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.licences, row.unmatched.replace("?", "").strip(",")) == (found, "")
+
+
+def test_unknown_sentences_stop_a_rule(spark):
+    """A clause that nobody knows makes it another licence."""
+    text = BSD[0] + "0. You may not endorse anything on Mondays.\n" + BSD[1]
+    row = licences.scan_licences(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert (row.licences, row.unmatched, row.n_known) == ("", "bsd-permitted,?,bsd-source", 2)
+
+
+def test_no_known_sentence_is_passed_over():
+    import re
+
+    for texts in licences.SENTENCES.values():
+        for text in texts:
+            for spelled in (text, text.upper().replace(" ", "-\n")):
+                assert re.search(licences.HINT, spelled), text
+
+
 def test_order_matters(spark):
     """Sentences of a rule that stand apart do not make its licence."""
     text = "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\nAll rights reserved.\nRedistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
