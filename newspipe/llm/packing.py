@@ -14,8 +14,11 @@ Tokens are those of the public tokenizer on the whole text. Splitting a text int
 tokenizer's pieces is done in numpy, after the tokenizer's own pattern, for all texts of a
 batch at once, so that the tokenizer sees every different piece only once for a worker.
 
+Of plain documents all tokens but a piece's first bear loss, so that with equal limits the
+one on loss tokens never acts by itself; it is for rows that bring a ``loss`` of their own.
+
 Null and empty texts are the end id alone. Very long texts make many full sequences.
-Repeated rows are packed each. Null ids are carried along. An empty table gives an empty
+Repeated rows are packed each, equal ones in different groups. Null ids are carried along. An empty table gives an empty
 result. Columns other than ``doc_id`` and ``text`` are not looked at.
 """
 
@@ -38,6 +41,7 @@ SEGMENTS = 64
 LOSS_TOKENS = 2048
 END = 1
 GROUP = 4096
+STORED_AT = "__number"  # of a piece where it is stored
 CACHED = 600_000  # pieces that a worker remembers
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
@@ -236,7 +240,9 @@ def pack(
     """``sequence_id`` and ``offset`` for pieces with ``length`` and ``loss`` (tokens that bear
     loss). Full pieces are sequences by themselves, all others are packed by groups."""
     kind = rows.schema["doc_id"].dataType
-    rows = rows.withColumn("__key", F.xxhash64("doc_id", "start", "ids_crc32"))
+    # Pieces that are equal in all else are told apart by where they are stored.
+    told = [c for c in ("doc_id", "start", "ids_crc32", STORED_AT) if c in rows.columns]
+    rows = rows.withColumn("__key", F.xxhash64(*told))
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))  # as in map_frames
     n = rows.filter(F.col("length") < capacity).count()
     n_groups = max(1, -(-n // group))
@@ -279,5 +285,6 @@ def pack_documents(docs: DataFrame, vocabulary: str, **limits: int) -> DataFrame
     All tokens of a piece but its first bear loss, as nothing stands before that one.
     """
     capacity = limits.get("capacity", CAPACITY)
-    rows = stored(pieces(docs, vocabulary, capacity), "pieces")
-    return pack(rows.withColumn("loss", F.col("length") - 1), **limits).drop("loss")
+    numbered = pieces(docs, vocabulary, capacity).withColumn(STORED_AT, F.monotonically_increasing_id())
+    rows = stored(numbered, "pieces")
+    return pack(rows.withColumn("loss", F.col("length") - 1), **limits).drop("loss", STORED_AT)

@@ -9,7 +9,8 @@ or the largest record.
 
 Nulls: a null text has no bytes and checksum 0, a null id hashes like any other value.
 Empty and very long texts count with their size. Repeated rows are all placed, each on a
-place of its own. An empty table gives an empty result and an unedited map. Columns other
+place of its own; where so many rows are equal that they would fill a good part of a slot,
+they are spread over all slots, as which of them is where makes no difference. An empty table gives an empty result and an unedited map. Columns other
 than ``doc_id`` and ``text`` are not looked at.
 """
 
@@ -39,6 +40,22 @@ def slotted(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """The same with crowds of equal rows spread over all slots."""
+    own = ["doc_id", "text_crc32"]
+    numbered = stored(rows.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    least = max(2, numbered.count() // (4 * slots))
+    crowds = numbered.groupBy(*own).agg(F.count("*").alias("n")).filter(F.col("n") > least)
+    crowds = stored(crowds.select(F.col("doc_id").alias("__id"), F.col("text_crc32").alias("__crc"), "n"), "crowds")
+    same = numbered["doc_id"].eqNullSafe(F.col("__id")) & (numbered["text_crc32"] == F.col("__crc"))
+    elsewhere = F.pmod(F.xxhash64(*own, "number"), F.lit(slots)).cast("int")
+    return (
+        numbered.join(F.broadcast(crowds), same, "left")  # 4 * slots rows at most
+        .withColumn("vslot", F.when(F.col("n").isNull(), F.col("vslot")).otherwise(elsewhere))
+        .select(*rows.columns)
+    )
+
+
 def slot_loads(rows: DataFrame) -> DataFrame:
     """Bytes and records of the slots in use."""
     return rows.groupBy("vslot").agg(F.sum("size").alias("bytes"), F.count("*").alias("n_rows"))
@@ -134,7 +151,7 @@ def placed(rows: DataFrame, held: DataFrame, loads: DataFrame) -> DataFrame:
 def shard_documents(docs: DataFrame, shards: int = 40, slots: int = SLOTS) -> DataFrame:
     """Versions 1 and 2 of the map for these records, and each record's place in version 2."""
     spark = docs.sparkSession
-    rows = stored(slotted(docs, slots), "slotted")
+    rows = stored(spread(slotted(docs, slots), slots), "slotted")
     loads = stored(slot_loads(rows), "slot_loads")
     folder = scratch_dir(spark, "shard_map")
     store_map(first_map(spark, shards, slots), folder, 1)

@@ -36,6 +36,20 @@ def test_awkward_rows(spark):
     check(rows, cases.ROWS, 3)
 
 
+def test_many_equal_rows_are_spread(spark):
+    """A third of all rows without id and text; shards stay equal in bytes, slots gapless."""
+    rows = [(None, None)] * 3000 + [(7, "same text")] * 1500 + [(i, "w" * (i % 50)) for i in range(-2000, 2500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = slots.shard_documents(df, 5).collect()
+    load, places = [0] * 5, {}
+    for r in got:
+        load[r.shard] += r.size
+        places.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == len(rows) and max(load) - min(load) < 0.02 * sum(load)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert max(sum(1 for r in got if r.vslot == v) for v in {r.vslot for r in got}) < 100
+
+
 def test_no_rows(spark):
     assert slots.shard_documents(cases.documents(spark, []), 3).count() == 0
 

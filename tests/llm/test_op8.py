@@ -55,6 +55,17 @@ def test_awkward_rows(spark, tokenizer, group):
     check(rows, cases.ROWS, tokenizer, 64, 3)
 
 
+def test_equal_rows_do_not_meet_in_one_group(spark, tokenizer):
+    rows = [(None, None)] * 500 + [(-3, "the same words here")] * 500
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = packing.pack_documents(df, VOCABULARY, capacity=64, group=50).collect()
+    check(got, rows, tokenizer, 64)
+    groups = {}
+    for r in got:
+        groups[r.sequence_id >> 32] = groups.get(r.sequence_id >> 32, 0) + 1
+    assert max(groups.values()) < 150
+
+
 def test_no_rows(spark):
     assert packing.pack_documents(cases.documents(spark, []), VOCABULARY).count() == 0
 
