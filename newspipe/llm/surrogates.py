@@ -1,8 +1,9 @@
 """Replacing personal data by keyed surrogates of the same type and form.
 
-Found are e-mail addresses, phone numbers, network addresses, card, account and social
-security numbers, values of passwords and keys, long hexadecimal strings, and names of
-persons after a title or with a known first name.
+Found are e-mail addresses, phone numbers, network addresses of both kinds, card, account and
+social security numbers, values of passwords and keys, keys of well-known services, long
+hexadecimal strings, and names of persons after a title or with a known first name. Other
+names are not seen: there are lists of the most common ones only, and no model.
 
 A surrogate depends on the key and the entity only, so that the same entity gets the same
 one in every text of every run. For each type and form the surrogates are a permutation of
@@ -31,10 +32,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import release_memory
+from .store import release_memory, ship_package
 
 # Common first names by script and gender.
 FIRST_NAMES = {
+    "transcribed arabic f": "Fatima Aisha Maryam Zainab Khadija Layla Noura Salma",
+    "transcribed arabic m": "Mohammed Ahmed Ali Hassan Hussein Omar Ibrahim Khalid Yusuf Mustafa",
+    "transcribed indic f": "Priya Anjali Neha Pooja Sunita Kavita Lakshmi Divya Shreya Meera",
+    "transcribed indic m": "Rahul Amit Raj Arjun Vikram Sanjay Anil Suresh Ravi Deepak",
+    "arabic f": "فاطمة عائشة مريم زينب خديجة ليلى",
+    "arabic m": "محمد أحمد علي حسن حسين عمر إبراهيم خالد يوسف",
     "latin f": "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Nancy Lisa"
     " Margaret Sandra Ashley Emily Donna Michelle Laura Julia Sophie Claire Camille Petra Ursula"
     " Sabine Carmen Lucia Pilar Isabel",
@@ -46,6 +53,11 @@ FIRST_NAMES = {
     "greek f": "Μαρία Ελένη Αικατερίνη Βασιλική Σοφία Γεωργία",
     "greek m": "Γεώργιος Ιωάννης Κωνσταντίνος Δημήτριος Νικόλαος Παναγιώτης",
 }
+# Common full names in Chinese characters, which no blank parts.
+HAN_NAMES = {
+    "han f": "王芳 李娜 张敏 王秀英 李秀英 王静 李静 张丽 王丽 刘洋",
+    "han m": "王伟 李伟 张伟 刘伟 王强 李强 张强 王磊 李军 张勇",
+}
 # Titles before names, by the gender they tell.
 TITLES = {
     "f": "Mrs Ms Miss Frau Mme Mlle Madame Mademoiselle Señora Señorita Sra Srta Госпожа Κυρία",
@@ -63,6 +75,7 @@ ALPHABETS = [
     "АЕЁИОУЫЭЮЯ", "БВГДЖЗЙКЛМНПРСТФХЦЧШЩ",
     "αεηιουω", "βγδζθκλμνξπρστφχψ",
     "ΑΕΗΙΟΥΩ", "ΒΓΔΖΘΚΛΜΝΞΠΡΣΤΦΧΨ",
+    "بتثجحخدذرزسشصضطظعغفقكلمنه", "اوي",
 ]
 _LATIN = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", *ALPHABETS[5:]]
 _HEX = ["0123456789abcdef", "ABCDEF"]
@@ -201,6 +214,28 @@ def network(key: bytes, text: str) -> str:
             return new
 
 
+def network6(key: bytes, text: str) -> str:
+    """A public address anywhere among public ones; of others the first half stays."""
+
+    def kind(value: int) -> tuple:
+        ip = ipaddress.IPv6Address(value)
+        return ip.is_private, ip.is_multicast, ip.is_reserved, ip.is_link_local, ip.is_global
+
+    value = int(ipaddress.IPv6Address(text))
+    own = kind(value)
+    free = 128 - 16 if ipaddress.IPv6Address(value).is_global else 64
+    head, rest = value >> free, value & ((1 << free) - 1)
+    circle = Circle(key, f"network6 {own} {head}", 1 << free)
+    while True:
+        rest = circle.following(rest)
+        new = head << free | rest
+        if new == value or kind(new) == own:
+            break
+    ip = ipaddress.IPv6Address(new)
+    spelled = ip.exploded if text.lower() == ipaddress.IPv6Address(text).exploded else ip.compressed
+    return spelled.upper() if text == text.upper() else spelled
+
+
 def card(key: bytes, text: str) -> str:
     """Issuer digit and check digit stay right; wrong check digits stay wrong."""
     right = _luhn(_digits(text))
@@ -225,13 +260,23 @@ def _iban_check(country: str, rest: str) -> str:
 
 
 def account(key: bytes, text: str) -> str:
-    country, rest = text[:2], text[4:]
+    """The same whether it is written in groups or not; blanks stay where they are."""
+    plain = text.replace(" ", "")
+    country, rest = plain[:2], plain[4:]
     new = reshaped(key, f"account {country}", rest, ["0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"])
-    return country + _iban_check(country, new) + new
+    signs = iter(country + _iban_check(country, new) + new)
+    return "".join(c if c == " " else next(signs) for c in text)
+
+
+# How keys of well-known services begin.
+_KEY_HEAD = re.compile(r"AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-")
 
 
 def secret(key: bytes, text: str) -> str:
-    return reshaped(key, "secret", text, _hex(text) or _LATIN)
+    """What tells whose key it is stays."""
+    found = _KEY_HEAD.match(text)
+    head, rest = (found[0], text[found.end() :]) if found else ("", text)
+    return head + reshaped(key, f"secret {head}".strip(), rest, _hex(rest) or _LATIN)
 
 
 def _hex(text: str) -> list[str] | None:
@@ -240,6 +285,14 @@ def _hex(text: str) -> list[str] | None:
     return _HEX_UPPER if text == text.upper() else _HEX
 
 
+def full_name(key: bytes, text: str) -> str:
+    for group, names in HAN_NAMES.items():
+        listed = names.split()
+        if text in listed:
+            return listed[Circle(key, f"full {group}", len(listed)).following(listed.index(text))]
+    return text
+
+
 _LISTED = {n.casefold() for names in FIRST_NAMES.values() for n in names.split()}
 
 
@@ -277,8 +330,9 @@ def person(key: bytes, text: str) -> str:
 
 
 REPLACE: dict[str, Callable[[bytes, str], str]] = {
-    "email": email, "phone": phone, "network": network, "card": card, "social": social,
-    "account": account, "secret": secret, "hex": secret, "person": person,
+    "email": email, "phone": phone, "network": network, "network6": network6, "card": card,
+    "social": social, "account": account, "secret": secret, "key": secret, "hex": secret,
+    "person": person, "full name": full_name,
 }
 
 
@@ -295,7 +349,14 @@ _CUE = re.compile(rf"(?<!\w)(?:{_TITLE}|{_LISTED_NAME})(?!\w)")
 PATTERNS: list[tuple[str, re.Pattern]] = [
     ("email", re.compile(r"(?<![\w.%+-])[\w.%+-]++@(?:[\w-]++\.)+[^\W\d_]{2,}")),
     ("network", re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\w]|\.\d)")),
-    ("account", re.compile(r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)")),
+    (
+        "network6",
+        re.compile(
+            r"(?<![\w:.])(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}"
+            r"|(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,5})?::(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,5})?)(?![\w:]|\.\d)"
+        ),
+    ),
+    ("account", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)")),
     ("card", re.compile(r"(?<![\w.-])[2-6]\d{3}([ -]?)(?:\d{4}\1){2}\d{1,4}(?!\w|[.-]\d)")),
     ("social", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
     (
@@ -303,9 +364,12 @@ PATTERNS: list[tuple[str, re.Pattern]] = [
         re.compile(
             r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-])"
             r"|(?<![\w.+-])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])"
+            r"|(?<![\w.+-])0[1-9](?:([ .-])\d{2})(?:\1\d{2}){3}(?![\w-]|[ .-]\d)"
         ),
     ),
     ("hex", re.compile(r"(?<!\w)(?=[a-fA-F]*\d)(?=\d*[a-fA-F])[0-9a-fA-F]{32,}(?!\w)")),
+    ("key", re.compile(r"(?<!\w)(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_\w{36}|sk-[\w-]{20,}|xox[abprs]-[\w-]{10,})(?!\w)")),
+    ("full name", re.compile(rf"(?<!\w)(?:{'|'.join(n for ns in HAN_NAMES.values() for n in ns.split())})(?!\w)")),
     (
         "secret",
         re.compile(
@@ -323,6 +387,14 @@ PATTERNS: list[tuple[str, re.Pattern]] = [
 ]
 
 
+def _is_address(text: str) -> bool:
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return True
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """Entities as stretches of the text with their types; none overlap."""
     found = []
@@ -333,6 +405,8 @@ def find(text: str) -> list[tuple[int, int, str]]:
             continue
         if kind in ("network", "account", "card", "social", "phone", "hex") and not digits:
             continue
+        if kind == "network6" and "::" not in text and text.count(":") < 7:
+            continue
         if kind == "secret" and "=" not in text and ":" not in text:
             continue
         if kind == "person" and not cue:
@@ -341,11 +415,16 @@ def find(text: str) -> list[tuple[int, int, str]]:
             if kind == "secret":
                 found.append((*m.span(1), kind))
             elif kind == "account":
-                if m[0][2:4] == _iban_check(m[0][:2], m[0][4:]):
+                plain = m[0].replace(" ", "")
+                if plain[2:4] == _iban_check(plain[:2], plain[4:]):
+                    found.append((*m.span(), kind))
+            elif kind == "network6":
+                # Shorter ones, or without a digit, are more likely names in a program.
+                if len(m[0]) > 5 and _DIGIT.search(m[0]) and _is_address(m[0]):
                     found.append((*m.span(), kind))
             elif kind == "person":
                 words = m[0].split()
-                if all(w[0].isupper() for w in words):
+                if all(not w[0].islower() for w in words):
                     found.append((*m.span(), kind))
             else:
                 found.append((*m.span(), kind))
@@ -376,6 +455,7 @@ def replaced(key: bytes, text: str) -> tuple[str, list[tuple[str, str, str]]]:
 
 def replacement(key: str, text: str = "text") -> Column:
     """``struct<text, n_replaced, n_entities, kinds>`` of a text column."""
+    ship_package()
     secret_key = key.encode()
 
     def run(texts: pd.Series) -> pd.DataFrame:
