@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import (
     forest,
@@ -78,7 +79,10 @@ def op4_lsh_forest(spark, sf_dir):
 @query
 def op5_two_stage_suffixes(spark, sf_dir):
     """What is left of every document without strings of 400 bytes that repeat."""
-    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    # A cut may part a character; its bytes show as replacement characters.
+    text = F.call_function("make_valid_utf8", F.col("kept").cast("string"))
+    return found.withColumn("text", text).drop("kept")
 
 
 @query

@@ -426,8 +426,10 @@ def searched(contexts: DataFrame, length: int, block: int) -> DataFrame:
         release_memory()
         return out[np.array([len(r) > 0 for r in runs]) & ~many]
 
+    # As many tasks as blocks: small in bytes, they are heavy in work.
     return (
         contexts.withColumn("block", F.pmod("key", F.lit(blocks)))
+        .repartition(blocks, "block")
         .groupBy("block")
         .applyInPandas(run, "gram bigint, digest binary, starts array<struct<first:bigint,last:bigint>>")
     )
@@ -437,15 +439,15 @@ def _single_starts(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     """The same by counting whole strings, for what no block can hold together."""
     place = F.struct("owner", (F.col("base") + F.col("cut")).alias("at"))
     strings = _split(contexts, length, gram, 1).select(
-        "gram", "digest", "n", "cut", "key", place.alias("place")
+        "gram", "digest", "n", "cut", F.md5("context").alias("string"), place.alias("place")
     )
     twice = (
-        strings.groupBy("key")
+        strings.groupBy("string")
         .agg(F.min("place").alias("one"), F.max("place").alias("other"), F.max("n").alias("most"))
         .filter((F.col("one") != F.col("other")) | (F.col("most") > 1))
     )
     at = F.col("cut").cast("bigint")
-    return strings.filter(F.col("n") == 1).join(twice, "key").select(
+    return strings.filter(F.col("n") == 1).join(twice, "string").select(
         "gram", "digest", F.array(F.struct(at.alias("first"), at.alias("last"))).alias("starts")
     )
 
