@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .store import release_memory, utf8
+from .store import release_memory, ship_package, utf8
 
 UNKNOWN = "und"
 LENGTH = 256
@@ -246,6 +246,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Network | None:
 
 def prediction(net: Network | None, text: str = "text") -> Column:
     """``struct<lang_pred, score>`` of a text column."""
+    ship_package()
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
@@ -269,13 +270,11 @@ def identify(docs: DataFrame, net: Network | None = None) -> DataFrame:
     ).select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
-def drop_unidentified(docs: DataFrame, least_score: float = 0.5) -> DataFrame:
-    """The documents whose language is found with some certainty, all columns as they are."""
+def drop_unidentified(docs: DataFrame) -> DataFrame:
+    """The documents in some language, however mixed, all columns as they are."""
     found = "__language_found"
     return (
         docs.withColumn(found, prediction(fit(docs)))
-        .filter(
-            (F.col(f"{found}.lang_pred") != UNKNOWN) & (F.col(f"{found}.score") >= least_score)
-        )
+        .filter(F.col(f"{found}.lang_pred") != UNKNOWN)
         .drop(found)
     )

@@ -23,13 +23,13 @@ from ..session import scratch_dir
 _shipped: dict[str, str] = {}
 
 
-def ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession | None = None) -> None:
     """Send this package to the Python workers, once for each Spark application.
 
     Functions that run there import it, and no worker need have it on its path. Spark
     itself hands the archive out from the driver.
     """
-    context = spark.sparkContext
+    context = (spark or SparkSession.getActiveSession()).sparkContext
     if _shipped.get("to") == context.applicationId:
         return
     package = Path(__file__).resolve().parent.parent
@@ -114,6 +114,7 @@ def map_frames(
     A worker turns about ``at_once`` bytes into a frame at a time, not all rows of a batch,
     and hands its memory back when it is done, as it stays for later tasks.
     """
+    ship_package(df.sparkSession)
     kinds = {c: df.schema[c].dataType for c in ids}
     texts = df.withColumns({c: F.col(c).cast("string") for c in ids})
     shape = ", ".join([*(f"{c} string" for c in ids), shape])

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .bitmaps import maybe_in
-from .store import ranked, release_memory, stored
+from .store import ranked, release_memory, ship_package, stored
 
 SEGMENT = 4096  # rows
 KEEP, REROLE, DELETE, INSERT, CUT = 0, 3, 4, 3, 3
@@ -312,6 +312,7 @@ class Conversation:
 
 def repaired(conversations: DataFrame) -> DataFrame:
     """Faults, cheapest edits and the digest of the repaired turns of every conversation."""
+    ship_package(conversations.sparkSession)
     kind = conversations.schema["conv_id"].dataType.simpleString()
     arrow = to_arrow_type(conversations.schema["conv_id"].dataType)
     order = ranked(damaged(conversations), "conv_id", "turn", "role", "text", "copy", name="turns")
