@@ -1,7 +1,7 @@
 """Documents made into training sequences: five stages, each over all that the last one kept.
 
-Language identification drops documents without a language, near-duplicates are reduced to
-one of each group, documents that hold benchmark items go, personal data is replaced, and
+Language identification drops documents without a language, near-duplicates (four fifths of
+the shingles shared) are reduced to one of each group, documents that hold benchmark items go, personal data is replaced, and
 what is left is packed into sequences. Between the stages stands a Parquet table in the
 shared folder, so that a lost executor costs no more than a part of one stage.
 """
@@ -16,11 +16,13 @@ from newspipe.llm import forest, language, leaks, packing, surrogates
 from newspipe.llm.queries import SURROGATE_KEY, VOCABULARY, table
 from newspipe.llm.store import ship_package, stored
 
+SIMILARITY = 80  # percent of the shingles, at least
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without documents that have no letter or no clear language."""
+    """Without documents that have no letter."""
     ship_package(spark)
     return language.drop_unidentified(docs)
 
@@ -28,7 +30,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     ship_package(spark)
-    return forest.drop_near_duplicates(docs)
+    return forest.drop_near_duplicates(docs, SIMILARITY)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
