@@ -15,8 +15,9 @@ words, and if that is heavy too by all four, and the counts of shorter beginning
 then spread over tasks, are added up. Equal suffixes of a batch travel as one with their
 number. So neither a common word nor a common phrase makes a task large.
 
-Words are told apart by 64-bit hashes in tasks. The word count compares a second, independent
-one, and if two words of a language share a hash, all is done again with other hashes.
+Words are told apart by 64-bit hashes in tasks. The word count goes by their texts too (by a
+second hash within a batch), and if two words of a language share a hash, all is done again
+with other hashes.
 
 Null and empty texts have no words. A null language counts as ``und``. Very long texts are cut
 whole. Repeated rows count each. Ties in score go by count and then by the phrase's UTF-8
@@ -37,16 +38,16 @@ from pyspark.sql.window import Window
 
 from . import words
 from .bitmaps import bitmap, contained
-from .store import release_memory, stored, utf8
+from .store import release_memory, ship_package, stored, utf8
 
 LONGEST = 4
 LEAST = 30
 BEST = 2000
 COVERED = 80  # percent of a phrase's count that a longer one has to reach
 SCALE = 2_000_000
-TASK_SUFFIXES = 1 << 20  # routed to a task, on average
+TASK_SUFFIXES = 1 << 18  # routed to a task, on average
 CELLS = 1 << 16
-AT_ONCE = 4 << 20  # bytes of text cut at a time
+AT_ONCE = 2 << 20  # bytes of text cut at a time
 SMALL = 512  # suffixes sorted directly
 
 U = np.uint64
@@ -191,39 +192,31 @@ def word_counts(docs: DataFrame, seed: int) -> DataFrame:
                 cell = cells(rows[has], lang[doc[has]], n) % U(CELLS)
                 sketch[n - 2] += np.bincount(cell.astype(np.int64), minlength=CELLS)
             spoken, second = lang[doc], hashed(data, begin, end, ~seed & 0xFFFF)
-            order = np.lexsort((hashes, spoken))
+            order = np.lexsort((second, hashes, spoken))
             new = np.ones(len(order), bool)
-            new[1:] = np.diff(hashes[order]).astype(bool) | np.diff(spoken[order]).astype(bool)
+            new[1:] = False
+            for key in (spoken, hashes, second):
+                new[1:] |= np.diff(key[order]).astype(bool)
             at = np.flatnonzero(new)
-            low, high = (f.reduceat(second[order], at) for f in (np.minimum, np.maximum))
             first = order[at]
             yield _record(
-                np.ones(len(at), np.int32), spoken[first], hashes[first], np.diff([*at, len(order)]),
-                [data[begin[i] : end[i]].tobytes() for i in first], low, high,
+                np.ones(len(at), np.int64), spoken[first], hashes[first], np.diff([*at, len(order)]),
+                [data[begin[i] : end[i]].tobytes() for i in first],
             )
         for n in (2, 3):
             some = np.flatnonzero(sketch[n - 2])
             zero = np.zeros(len(some), np.int64)
-            yield _record(zero + n, zero, some, sketch[n - 2][some], [b""] * len(some), zero, zero)
+            yield _record(zero + n, zero, some, sketch[n - 2][some], [b""] * len(some))
         release_memory()
 
-    return (
-        docs.mapInArrow(run, "kind long, lang long, hash long, n long, word binary, low long, high long")
-        .groupBy("kind", "lang", "hash")
-        .agg(
-            F.sum("n").alias("n"),
-            F.min("word").alias("word"),
-            ((F.min("low") != F.max("low")) | (F.min("high") != F.max("high")) | (F.min("low") != F.min("high"))).alias("clash"),
-        )
-    )
+    found = docs.mapInArrow(run, "kind long, lang long, hash long, n long, word binary")
+    return found.groupBy("kind", "lang", "hash", "word").agg(F.sum("n").alias("n"))
 
 
-def _record(kind, lang, key, n, word, low, high) -> pa.RecordBatch:
-    numbers = [np.asarray(c).astype(U).view(np.int64) for c in (kind, lang, key, n, low, high)]
-    kind, lang, key, n, low, high = (pa.array(c) for c in numbers)
+def _record(kind, lang, key, n, word) -> pa.RecordBatch:
+    numbers = [pa.array(np.asarray(c).astype(U).view(np.int64)) for c in (kind, lang, key, n)]
     return pa.RecordBatch.from_arrays(
-        [kind, lang, key, n, pa.array(word, pa.binary()), low, high],
-        names=["kind", "lang", "hash", "n", "word", "low", "high"],
+        [*numbers, pa.array(word, pa.binary())], names=["kind", "lang", "hash", "n", "word"]
     )
 
 
@@ -312,12 +305,14 @@ def collocations(
     docs: DataFrame, least: int = LEAST, best: int = BEST, covered: int = COVERED, task: int = TASK_SUFFIXES
 ) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score`` of each language's best phrases."""
+    ship_package(docs.sparkSession)
     named = F.coalesce("lang", F.lit("und"))
     source = docs.select(F.xxhash64(named).alias("lang"), utf8("text").alias("text"))
     names = stored(docs.select(F.xxhash64(named).alias("lang"), named.alias("name")).distinct(), "languages")
     for seed in range(8):
         counts = stored(word_counts(source, seed), "word_counts")
-        if counts.filter((F.col("kind") == 1) & F.col("clash")).isEmpty():
+        spelled = counts.filter(F.col("kind") == 1).groupBy("lang", "hash").agg(F.count("*").alias("n"))
+        if spelled.filter(F.col("n") > 1).isEmpty():
             break
     else:
         raise ValueError("words share their hashes whatever the seed")
