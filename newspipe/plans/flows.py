@@ -17,6 +17,7 @@ from ..operators.messages import (
     PUBLISH_QUERY,
     filter_news,
     from_wire,
+    judged_wire,
     limit_messages,
     project_news,
     to_wire,
@@ -28,7 +29,8 @@ from ..sinks.csv import stream_csv, write_csv, write_raw_csv
 from ..sinks.kafka import stream_kafka
 from ..sources.kafka import read_kafka
 from ..sources.responses import explode_results, landed_pages, read_api_pages
-from ..streaming.runs import stream_parquet, stream_table
+from ..streaming.appends import Appender, Budget, budgeted_stream
+from ..streaming.runs import stream_judged, stream_parquet, stream_table
 
 T = TypeVar("T")
 
@@ -157,6 +159,38 @@ def publish_news(
     return send(news_messages(items, max_messages))
 
 
+def publish_budgeted(
+    items: DataFrame,
+    topic: str,
+    ledger: str,
+    max_messages: int,
+    checkpoint: str,
+    trigger: dict | None = None,
+    run: str = "run",
+) -> StreamingQuery:
+    """A stream of API items to a topic kept as a table, exactly ``max_messages`` in all.
+
+    The budget holds over all steps, restarts and later runs that share the ledger; 0 is no
+    bound. Wait for it with ``finish_budget``.
+    """
+
+    def send(rows: DataFrame, path: str) -> None:
+        to_wire(project_news(rows)).write.mode("overwrite").parquet(path)
+
+    budget = Budget(ledger, max_messages, Appender(topic, send, run), ("fetch_seq", "pos"), run)
+    return budgeted_stream(items, budget, checkpoint, trigger)
+
+
+def consume_judged(
+    wire: DataFrame, schema: StructType, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """A stream of messages to a table that holds records and rejects apart, from one parse.
+
+    ``read_judged(spark, path, "readable", True)`` gives the records.
+    """
+    return stream_judged(judged_wire(wire, schema), "readable", path, checkpoint, trigger)
+
+
 def append_news(
     messages: DataFrame,
     path: str | None,

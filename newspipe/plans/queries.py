@@ -14,7 +14,7 @@ from ..profiles import CHILD_CHAIN, CLASS_TOKENS
 from ..schemas import NEWS_MESSAGE, STRICT_ARTICLE, STRICT_CSV_NAMES, text_fields
 from ..session import scratch_dir
 from ..sinks import csv
-from ..sources import counter, cursors, pages, responses
+from ..sources import counter, pages, responses
 from ..streaming import appends, runs
 from . import flows, views
 
@@ -137,8 +137,7 @@ def api_fetch_all(spark, sf_dir):
 @query
 def api_fetch_by_cursor(spark, sf_dir):
     """The same from responses that only name the next one."""
-    landed = cursors.ordered_by_cursor(views.cursor_pages(spark, sf_dir))
-    return normalize.flatten(responses.read_api_pages(landed))
+    return normalize.flatten(responses.read_api_pages(views.cursor_pages(spark, sf_dir)))
 
 
 @query

@@ -13,6 +13,7 @@ from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 from ..functions.plan import computed_once
 from ..operators.messages import filter_news
 from ..schemas import api_page
+from .cursors import ordered_by_cursor
 
 
 def landed_pages(
@@ -48,8 +49,11 @@ def collected_pages(pages: DataFrame) -> DataFrame:
     A failed page ends the loop too; what came before it is kept. A page without error
     flag has not failed. The end is found by a one-row aggregate over the narrow columns
     and enters the filter as a scalar subquery, so there is no join. A landed line that is
-    no JSON has no place in the order; it neither ends the loop nor gives items.
+    no JSON has no place in the order; it neither ends the loop nor gives items. Responses
+    without ``fetch_seq`` are put in the order of their cursors first.
     """
+    if "fetch_seq" not in pages.columns:
+        pages = ordered_by_cursor(pages)
     failed = F.coalesce(F.col("error"), F.lit(False))
     last = failed | (F.coalesce(F.col("nextPage"), F.lit("")) == "")
     ends = pages.filter(last).agg(F.min("fetch_seq"))

@@ -220,3 +220,36 @@ def test_progress_tells_of_errors(spark, tmp_path):
         assert "broken" in progress.queries[str(query.id)].error
     finally:
         progress.close()
+
+
+def test_publishing_within_a_budget(spark, tmp_path):
+    """The first items in arrival order, as messages, over two files of a stream."""
+    from newspipe.plans import flows
+
+    items = "fetch_seq long, pos int, title string, description string"
+    for seq in (0, 1):
+        rows = [(seq, i, f"t{seq}{i}", "d") for i in range(5)]
+        spark.createDataFrame(rows, items).coalesce(1).write.mode("append").parquet(f"{tmp_path}/items")
+    found = spark.readStream.schema(items).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/items")
+    finish(flows.publish_budgeted(found, f"{tmp_path}/topic", f"{tmp_path}/budget", 7, f"{tmp_path}/steps"))
+    sent = spark.read.parquet(f"{tmp_path}/topic").selectExpr("get_json_object(cast(value as string), '$.title') as t")
+    got = {r.t for r in sent.collect()}
+    # Whichever file comes first is whole, and of the other one the first two items go.
+    assert got in ({f"t0{i}" for i in range(5)} | {"t10", "t11"}, {f"t1{i}" for i in range(5)} | {"t00", "t01"})
+    assert sent.count() == 7
+
+
+def test_records_and_rejects_from_one_parse(spark, tmp_path):
+    from newspipe.plans import flows
+    from newspipe.schemas import NEWS_MESSAGE
+    from newspipe.streaming.runs import read_judged
+
+    values = [b'{"title": "a", "category": ["x"]}', b"0 cats", b'{"title": "b"}', b"{", None]
+    spark.createDataFrame([(v,) for v in values], "value binary").write.parquet(f"{tmp_path}/topic")
+    wire = flows.read_topic(spark, f"{tmp_path}/topic")
+    query = flows.consume_judged(wire, NEWS_MESSAGE, f"{tmp_path}/out", f"{tmp_path}/steps")
+    finish(query)
+    good = read_judged(spark, f"{tmp_path}/out", "readable", True).collect()
+    bad = read_judged(spark, f"{tmp_path}/out", "readable", False).collect()
+    assert sorted((r.title, r.category, r.value) for r in good) == [("a", ["x"], None), ("b", None, None)]
+    assert sorted((bytes(r.value) if r.value else b"") for r in bad) == [b"", b"0 cats", b"{"]
