@@ -48,7 +48,7 @@ SCALE = 2_000_000
 TASK_SUFFIXES = 1 << 18  # routed to a task, on average
 CELLS = 1 << 16
 AT_ONCE = 2 << 20  # bytes of text cut at a time
-SMALL = 512  # suffixes sorted directly
+SMALL = 4096  # suffixes sorted directly
 
 U = np.uint64
 # Where pieces end, and white space within them.
