@@ -1,20 +1,24 @@
-"""Main text of web pages: element rules, and differences to the page with the nearest URL.
+"""Main text of web pages: differences to the pages with the nearest URLs, checked by element rules.
 
 A page is read into lines, one per block element. Lines in menus, side bars, notices,
-adverts, forms, comments and the like are dropped. Lines in an element that says it is the
-article are kept. What is in neither is open: pages of a host are put in the order of
-their paths, each is paired with the nearest ones before and after it, two pages' lines are
-aligned by a longest common subsequence, and an open line that at least half of the pages
-beside it share is deleted as template. A page that shares nearly all prose lines is a copy
-of the article, such as its print version, and has no say in that.
+adverts, forms, comments and the like are dropped. Each of the others is in an element that
+says it is the article, in one that says it is the main part, or in neither.
 
-Lines of a marked article are not deleted by differences, since copies and common passages
-would vanish from it, and on a page with a marked article open lines are not part of it
-(but for a title standing before an article that has none).
+All pages of a host are put in the order of their paths, each is paired with the nearest
+ones before and after it, two pages' lines are aligned by a longest common subsequence, and
+a line that at least half of the pages beside it share is template. A page that shares
+nearly all prose lines is a copy of the article, such as its print version, and has no say
+in that. What is not template is the page's own.
+
+Template is deleted. On a page that marks its article, marks check what is left: the article
+is the marked elements with lines of their own, and in these, passages that the page has in
+common with others are put back. Marked elements that are template throughout, such as a
+teaser on every page, go. Around the article only own lines stay, those in the main part and those
+from a title on that stands before an article without one.
 
 Null, empty and textless pages give an empty text. A page without host or with a null URL
 has no neighbour, and pages alike line by line count as one; without a neighbour that differs
-all open lines stay. Very long pages are read whole.
+no line is template. Very long pages are read whole.
 Equal URLs are ordered by page id, repeated rows are extracted each. An empty table gives
 an empty result. Columns other than ``page_id``, ``url`` and ``html`` are not looked at.
 """
@@ -23,12 +27,14 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .bitmaps import maybe_in
 from .store import map_frames, ranked, stored
@@ -72,8 +78,9 @@ CLUTTER = set(
 )
 NOT_CLUTTER = set("no has with without main article content body".split())
 ARTICLE = re.compile(
-    r"(?:^|\s)(?:(?:article|entry|post|story)[-_]?(?:body|content|text)|articlebody|main)(?:\s|$)"
+    r"(?:^|\s)(?:(?:article|entry|post|story)[-_]?(?:body|content|text)|articlebody)(?:\s|$)"
 )
+MAIN = re.compile(r"(?:^|\s)main(?:\s|$)")
 
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -88,29 +95,36 @@ NAMES = re.compile(
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
-def _purpose(name: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is clutter, and whether it says that it is the article."""
-    marked = name in ("article", "main")
+def _purpose(name: str, attributes: str) -> tuple[bool, str]:
+    """Whether an element is clutter, and whether it says that it is the article or the main part."""
+    mark = name if name in ("article", "main") else ""
     if name in ("html", "body") or not attributes:
-        return False, marked
+        return False, mark
     values = [a or b or c for a, b, c in NAMES.findall(attributes)]
     for value in values:
-        if not marked and ARTICLE.search(value.lower()):
-            marked = True
+        if mark != "article" and ARTICLE.search(value.lower()):
+            mark = "article"
+        elif not mark and MAIN.search(value.lower()):
+            mark = "main"
     for value in values:
         spaced = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value)
         for token in spaced.lower().split():
             parts = set(re.split(r"[-_:]+", token))
             if parts & CLUTTER and not parts & NOT_CLUTTER:
-                return True, marked
-    return False, marked
+                return True, mark
+    return False, mark
+
 
+def lines(page: str) -> list[tuple[str, int, bool]]:
+    """Text, marked element, and whether a title, of every line but clutter.
 
-def lines(page: str) -> list[tuple[str, bool, bool]]:
-    """Text, whether in the article, and whether a title, of every line but clutter."""
-    out: list[tuple[str, bool, bool]] = []
+    Marked elements are numbered: articles from 1 upwards, whatever is marked within them,
+    main parts from -1 downwards, 0 is for lines that are in neither.
+    """
+    out: list[tuple[str, int, bool]] = []
     # name, hidden, marked, title; what holds for an element holds for all it contains
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]
+    marks = 0
     count: dict[str, int] = {}
     text: list[str] = []
 
@@ -180,7 +194,7 @@ def lines(page: str) -> list[tuple[str, bool, bool]]:
             continue
         if attributes.endswith("/") and name in ("svg", "path"):
             continue
-        clutter, marks = _purpose(name, attributes)
+        clutter, mark = _purpose(name, attributes)
         _, hidden, marked, _ = stack[-1]
         if name == "article" and marked and any(s[0] == "article" for s in stack):
             clutter = True  # an article within an article is a comment on it
@@ -189,7 +203,10 @@ def lines(page: str) -> list[tuple[str, bool, bool]]:
         ):
             hidden = False  # forms around whole pages
         hidden = hidden or clutter or name in HIDDEN or (name == "header" and not marked)
-        stack.append((name, hidden, marked or (marks and not hidden), name == "h1"))
+        if mark and not hidden and (not marked or (marked < 0 and mark == "article")):
+            marks += 1
+            marked = marks if mark == "article" else -marks
+        stack.append((name, hidden, marked, name == "h1"))
         count[name] = count.get(name, 0) + 1
     flush()
     return out
@@ -249,98 +266,146 @@ def _hashes(texts: list[str]) -> list[int]:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Every page with the text of its marked article, or else its open lines.
+    """Every page with all its lines but clutter: ``lines`` with the ``marked`` element each is in,
+    whether ``titles``, their ``sizes`` and ``hashes``.
 
-    ``hashes`` stands for all lines that are not clutter, in either case.
+    ``stay`` has the lines that stay if none is template, null for all of them.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts, opened, hashes = [], [], []
+            out = []
             for page in frame["html"]:
                 found = lines(page) if page else []
-                article = [line for line, marked, _ in found if marked]
-                titled = any(title for _, marked, title in found if marked)
-                if article and not titled:
-                    before = next(i for i, x in enumerate(found) if x[1])
-                    article = [x[0] for x in found[:before] if x[2]][-1:] + article
-                texts.append("\n".join(article) if article or not found else None)
-                opened.append(None if article else [line for line, _, _ in found])
-                hashes.append(_hashes([line for line, _, _ in found]))
-            yield frame.drop(columns="html").assign(text=texts, open=opened, hashes=hashes)
+                texts, marked, titles = ([x[k] for x in found] for k in range(3))
+                sizes = [len(line) for line in texts]
+                stay = article(marked, titles, sizes, np.zeros(len(texts), bool))
+                all_stay = stay == list(range(len(texts)))
+                out.append((texts, marked, titles, sizes, _hashes(texts), None if all_stay else stay))
+            names = ["lines", "marked", "titles", "sizes", "hashes", "stay"]
+            table = pd.DataFrame(out, columns=names, index=frame.index)
+            yield frame.drop(columns="html").join(table)
 
     # What comes before the path: scheme and host, without the port.
+    host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1))
     source = pages.select(
         "page_id",
         "url",
-        F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1)).alias("host"),
+        F.coalesce(host, F.lit("")).alias("host"),
         F.regexp_extract("url", r"^[^:/?#]+://[^/?#]*([^?#]*)", 1).alias("path"),
         "html",
     )
     return map_frames(
         source,
         run,
-        "url string, host string, path string, text string, open array<string>,"
-        " hashes array<bigint>",
+        "url string, host string, path string, lines array<string>, marked array<int>,"
+        " titles array<boolean>, sizes array<int>, hashes array<bigint>, stay array<int>",
         ("page_id",),
     )
 
 
 BESIDE = 2  # pages before and after that a page is compared with
+PIECE = 1024  # pages of the order that a window looks at
 COPY = 0.8  # of the lines of the shorter page
 PROSE = 25  # characters of a line, on average; menus have shorter ones
 
 
-def without_shared(open_lines: list[str], own: list[int], others: list[list[int]]) -> list[str]:
-    """The open lines that the pages beside this one do not share."""
+def template(sizes: list[int], own: list[int], others: list[list[int]]) -> np.ndarray:
+    """Which lines of a page, given by their hashes, the pages beside it share."""
     votes, voters = np.zeros(len(own), int), 0
     for other in {tuple(o): o for o in others if o and o != own}.values():
         shared = np.array(common(own, other), bool)
-        size = sum(len(line) for line, same in zip(open_lines, shared, strict=True) if same)
         n = int(shared.sum())
+        size = int(np.array(sizes)[shared].sum())
         if n > COPY * min(len(own), len(other)) and size >= PROSE * n:
             continue
         votes += shared
         voters += 1
-    return [line for line, n in zip(open_lines, votes, strict=True) if not voters or 2 * n < voters]
+    return (2 * votes >= voters) & (voters > 0)
+
+
+def article(
+    marked: list[int], titles: list[bool], sizes: list[int], shared: np.ndarray
+) -> list[int]:
+    """Which lines make up the main text, given which are template."""
+    if not any(marked):
+        return np.flatnonzero(~shared).tolist()
+    own: Counter[int] = Counter()
+    for m, size, same in zip(marked, sizes, shared.tolist(), strict=True):
+        if m and not same:
+            own[m] += size
+    # Where all is template, nothing tells which is not the article.
+    kept = set(own) or set(marked) - {0}
+    # A main part with less of its own than the articles beside it or in it is not the article.
+    rest = {m for m in own if m < 0 and own[m] < sum(n for k, n in own.items() if k > 0)}
+    out = [i for i, m in enumerate(marked) if m in kept and not (m in rest and shared[i])]
+    if not any(titles[i] for i in out):
+        before = [i for i in range(out[0]) if not marked[i] and not shared[i]]
+        heads = [i for i in before if titles[i]]
+        out = [i for i in before if heads and i >= heads[-1]] + out
+    return out
 
 
-def extract_pages(pages: DataFrame) -> DataFrame:
-    """``page_id, url, text, n_chars`` of every page."""
-    rows = stored(parsed(pages), "parsed_pages")
+def neighbours(rows: DataFrame) -> DataFrame:
+    """Pages in the order of their hosts and paths, with the hashes of those beside each.
+
+    They are read off by windows over pieces of the order, of fixed size however large a host;
+    pages next to a piece are sent to it as well.
+    """
     order = ranked(
-        rows.select("page_id", "url", "host", "path", "open", "hashes"),
+        rows.select("row", "host", "path", "page_id", "marked", "titles", "sizes", "hashes"),
         "host", "path", "page_id", name="pages_in_order",
     )
-    asking = order.filter(F.col("open").isNotNull() & (F.col("host") != "")).select(
-        "page_id", "url", "host", "open", "hashes", F.col("rank").alias("asker")
-    )
-    asking = stored(asking, "open_pages")
-    # What is beside an open page, and no other, is joined with it.
-    steps = [step for step in range(-BESIDE, BESIDE + 1) if step]
-    beside = F.explode(F.array(*[F.col("asker") + F.lit(step) for step in steps])).alias("rank")
-    asked = stored(asking.select("host", "asker", beside), "asked")
-    known = order.select("rank", "host", "hashes").filter(maybe_in(asked, "rank", F.col("rank")))
-    near = (
-        asked.join(known, ["rank", "host"])
-        .groupBy("asker")
-        .agg(F.collect_list("hashes").alias("others"))  # 2 * BESIDE at most
+    pieces = max(1, -(-order.count() // PIECE))
+    piece = F.floor(F.col("rank") / PIECE)
+    near = F.array_distinct(F.array(*[F.floor((F.col("rank") + s) / PIECE) for s in (-BESIDE, 0, BESIDE)]))
+    sent = order.withColumn("piece", F.explode(near)).withColumn("guest", F.col("piece") != piece)
+    beside = Window.partitionBy("piece").orderBy("rank").rowsBetween(-BESIDE, BESIDE)
+    seen = F.collect_list(F.struct("rank", "host", "hashes")).over(beside)
+    same_host = F.filter("seen", lambda x: (x["host"] == F.col("host")) & (x["rank"] != F.col("rank")))
+    return (
+        sent.repartition(pieces, "piece")
+        .withColumn("seen", seen)
+        .filter(~F.col("guest") & (F.col("host") != ""))
+        .withColumn("others", F.transform(same_host, lambda x: x["hashes"]))
+        .select("row", "marked", "titles", "sizes", "hashes", "others")
     )
-    asking = asking.join(near, "asker", "left").select("page_id", "url", "open", "hashes", "others")
+
+
+def differences(rows: DataFrame) -> DataFrame:
+    """``row, stay``: the lines that stay, of pages with lines that are template."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = []
-            for row in frame.itertuples(index=False):
-                others = [list(o) for o in row.others] if row.others is not None else []
-                texts.append("\n".join(without_shared(list(row.open), list(row.hashes), others)))
-            yield frame[["page_id", "url"]].assign(text=texts)
-
-    differed = map_frames(asking, run, "url string, text string", ("page_id",))
-    alone = F.coalesce("text", F.array_join("open", "\n"))
-    sure = rows.filter(F.col("open").isNull() | (F.coalesce("host", F.lit("")) == ""))
+            out = []
+            for page in frame.itertuples(index=False):
+                own, others = page.hashes.tolist(), [o.tolist() for o in page.others]
+                shared = template(page.sizes.tolist(), own, others)
+                if shared.any():
+                    out.append((page.row, article(page.marked.tolist(), page.titles.tolist(), page.sizes.tolist(), shared)))
+            yield pd.DataFrame(out, columns=["row", "stay"])
+
+    # A page without any line of those beside it has no template.
+    meets = F.arrays_overlap("hashes", F.flatten("others"))
+    return map_frames(neighbours(rows).filter(meets), run, "row bigint, stay array<int>", ids=())
+
+
+def extract_pages(pages: DataFrame) -> DataFrame:
+    """``page_id, url, text, n_chars`` of every page."""
+    rows = stored(parsed(pages).withColumn("row", F.monotonically_increasing_id()), "parsed_pages")
+    changed = stored(differences(rows), "differences")
+    # Lines of other pages need not be sent to where the differences are.
+    key = F.xxhash64("row")
+    hit = maybe_in(changed.select(key.alias("key")), "key", key)
+    some = rows.filter(hit).join(changed.withColumnRenamed("stay", "__stay"), "row", "left")
+    rest = rows.filter(~hit).withColumn("__stay", F.lit(None).cast("array<int>"))
+    stay = F.coalesce("__stay", "stay")
+    parts = F.transform(stay, lambda i: F.element_at("lines", i + 1))
+    text = F.array_join(F.when(stay.isNull(), F.col("lines")).otherwise(parts), "\n")
+    columns = ["page_id", "url", "lines", "stay", "__stay"]
     return (
-        sure.select("page_id", "url", alone.alias("text"))
-        .unionByName(differed)
+        some.select(columns)
+        .unionByName(rest.select(columns))
+        .select("page_id", "url", text.alias("text"))
         .withColumn("n_chars", F.length("text").cast("long"))
     )

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from newspipe.llm import page_diff
 from newspipe.llm.queries import REGISTRY
@@ -101,6 +102,59 @@ def test_copies_do_not_delete_each_other(spark):
     assert got[20] == STORY[:2] and got[21] == [*STORY[:2], "Updated"]
 
 
+COMMON = "This report was made together with other papers."
+
+
+def test_marked_pages_are_compared_too(spark):
+    """Marked elements that are template go, passages in common stay in an article."""
+    def within(i):
+        return (
+            f"<h1>The Daily</h1><main><div>Front page</div><article><h1>Title {i}</h1><p>Text {i}</p><p>{COMMON}</p>"
+            "</article><article><p>Our app is out</p></article><div>Write to us</div></main>"
+        )
+
+    def beside(i):
+        return (
+            f"<h1>The Daily</h1><h1>Title {i}</h1><div>Print</div><p>Lead {i}</p><div class=entry-content>"
+            f"<p>Text {i}</p><p>{COMMON}</p></div><div>Next title {i}</div>"
+        )
+
+    def untitled(i):
+        return f"<h1>The Daily</h1><div>Print</div><article><p>Text {i}</p></article>"
+
+    def in_main(i):
+        return f"<main><h1>Title {i}</h1><p>A longer text, number {i}</p><p>{COMMON}</p><article>Teaser {i}</article></main>"
+
+    makes = [within, beside, untitled, in_main]
+    rows = [(10 * k + i, f"https://{k}.example/{i}", make(i)) for k, make in enumerate(makes) for i in range(4)]
+    rows += [(50 + k, f"https://lone{k}.example/", make(0)) for k, make in enumerate(makes)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text.split("\n") for r in page_diff.extract_pages(df).collect()}
+    for i in range(4):
+        assert got[i] == [f"Title {i}", f"Text {i}", COMMON]
+        assert got[10 + i] == [f"Title {i}", f"Lead {i}", f"Text {i}", COMMON]
+        assert got[20 + i] == [f"Text {i}"]
+        assert got[30 + i] == [f"Title {i}", f"A longer text, number {i}", COMMON, f"Teaser {i}"]
+    # Without neighbours nothing is template.
+    assert got[50] == ["Front page", "Title 0", "Text 0", COMMON, "Our app is out", "Write to us"]
+    assert got[51] == ["Title 0", "Print", "Lead 0", "Text 0", COMMON]
+
+
+def test_every_page_is_paired(spark, monkeypatch):
+    """With more pages of a host than a window looks at."""
+    monkeypatch.setattr(page_diff, "PIECE", 7)
+    rows = [(i, f"https://a.example/{i:03}", f"<article>{i}</article>") for i in range(60)]
+    rows += [(100 + i, f"https://b.example/{i}", f"<p>{i}</p>") for i in range(2)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    pages = page_diff.parsed(df).withColumn("row", F.col("page_id"))
+    one = {r.row: r.hashes[0] for r in pages.collect()}
+    got = {r.row: sorted(h[0] for h in r.others) for r in page_diff.neighbours(pages).collect()}
+    assert got.keys() == one.keys()
+    for i in range(60):
+        assert got[i] == sorted(one[k] for k in range(i - 2, i + 3) if k != i and 0 <= k < 60)
+    assert got[100] == [one[101]] and got[101] == [one[100]]
+
+
 def test_a_very_long_page(spark):
     long = [f"line {i} of a page without end" for i in range(20_000)]
     rows = [(1, "https://e.example/1", page("Long", *long)), (2, "https://e.example/2", page("Short", "s"))]
