@@ -4,7 +4,9 @@ A cursor-paginated API gives each response a pointer to the next. Landed respons
 the cursor they were fetched with, and no running number, form a linked list over all files.
 It is ranked by pointer doubling: every round knows the first responses up to a power of two
 and jumps by that power, and joining the two doubles both. So the rounds follow the logarithm
-of the length, and every round is a join of narrow rows by their cursor.
+of the length, and every round is a join of narrow rows by their cursor. Their tables are as long
+as the list, however small as files, so both sides are shuffled: broadcasts would
+send the list through the driver several times a round.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 FIRST = ""  # stands for the cursor of the first response, which has none
+SHUFFLED = "merge"  # hint for joins of which no side may pass through the driver
 
 
 def _kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
@@ -35,9 +38,9 @@ def cursor_order(links: DataFrame) -> DataFrame:
     known = _kept(spark, links.filter(F.col("cursor") == FIRST).select("cursor", F.lit(0).cast("long").alias("place")), "places")
     reach, held = 1, known.count()
     while True:
-        ahead = known.join(jump, "cursor").select(F.col("next").alias("cursor"), (F.col("place") + reach).alias("place"))
+        ahead = known.join(jump.hint(SHUFFLED), "cursor").select(F.col("next").alias("cursor"), (F.col("place") + reach).alias("place"))
         # Pointers past the last landed response lead nowhere.
-        landed = ahead.join(links.select("cursor"), "cursor", "left_semi")
+        landed = ahead.join(links.select("cursor").hint(SHUFFLED), "cursor", "left_semi")
         # On a circle a response is met again and again; its first place counts.
         known = _kept(
             spark, known.unionByName(landed).groupBy("cursor").agg(F.min("place").alias("place")), "places"
@@ -47,7 +50,7 @@ def cursor_order(links: DataFrame) -> DataFrame:
             return known
         held, reach = now, 2 * reach
         far = jump.select(F.col("cursor").alias("next"), F.col("next").alias("far"))
-        jump = _kept(spark, jump.join(far, "next").select("cursor", F.col("far").alias("next")), "jumps")
+        jump = _kept(spark, jump.join(far.hint(SHUFFLED), "next").select("cursor", F.col("far").alias("next")), "jumps")
 
 
 def ordered_by_cursor(pages: DataFrame, cursor: str = "cursor") -> DataFrame:
@@ -63,6 +66,6 @@ def ordered_by_cursor(pages: DataFrame, cursor: str = "cursor") -> DataFrame:
     one = _kept(pages.sparkSession, rows.groupBy("__key").agg(F.min("__copy").alias("__copy")), "copies")
     places = cursor_order(one.select(F.col("__key").alias("cursor"), F.col("__copy.next").alias("next")))
     places = places.select(F.col("cursor").alias("__key"), F.col("place").alias("fetch_seq"))
-    found = rows.drop("fetch_seq").join(one.join(places, "__key"), ["__key", "__copy"])
+    found = rows.drop("fetch_seq").join(one.join(places.hint(SHUFFLED), "__key").hint(SHUFFLED), ["__key", "__copy"])
     # Copies that are the same in everything are one.
     return found.dropDuplicates(["fetch_seq"]).select("fetch_seq", *[c for c in pages.columns if c != "fetch_seq"])

@@ -40,6 +40,23 @@ def test_rounds_follow_the_logarithm(spark, monkeypatch):
     assert kept.count("places") <= 1 + 9
 
 
+def test_no_table_passes_through_the_driver(spark, monkeypatch):
+    """Tables of a round are small as files and as long as the list."""
+    from newspipe.sources import cursors
+
+    plans = []
+    original = cursors._kept
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(cursors, "_kept", lambda s, r, name: plans.append(plan(r)) or original(s, r, name))
+    rows = [(c or None, False, ["{}"], n or None) for c, n in chain(20)]
+    plans.append(plan(ordered_by_cursor(spark.createDataFrame(rows, PAGE))))
+    assert sum("SortMergeJoin" in p for p in plans) > 5
+    assert not any("Broadcast" in p for p in plans)
+
+
 def test_the_first_response_is_needed(spark):
     df = spark.createDataFrame([("a", "b"), ("b", "a")], "cursor string, next string")
     assert cursor_order(df).count() == 0
