@@ -42,7 +42,7 @@ LOSS_TOKENS = 2048
 END = 1
 GROUP = 4096
 STORED_AT = "__number"  # of a piece where it is stored
-CACHED = 600_000  # pieces that a worker remembers
+CACHED = 1_000_000  # pieces that a worker remembers, in some 70 bytes each
 
 SPACE, LETTER, NUMBER, OTHER = range(4)
 # Code points with the property White_Space.
@@ -111,6 +111,48 @@ def split(codes: np.ndarray, offset: np.ndarray) -> np.ndarray:
     return np.flatnonzero(starts)
 
 
+class Numbers:
+    """Numbers, from 0, of the 64-bit keys given; a hash table with linear probing."""
+
+    def __init__(self) -> None:
+        self.keys = np.empty(0, np.uint64)
+        self.slots = np.full(1 << 10, -1, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each key, -1 for new ones."""
+        found = np.full(len(keys), -1, np.int32)
+        mask = np.uint64(len(self.slots) - 1)
+        left, slot = np.arange(len(keys)), keys & mask
+        while len(left):
+            here = self.slots[slot]
+            left, slot, here = (x[here >= 0] for x in (left, slot, here))
+            same = self.keys[here] == keys[left]
+            found[left[same]] = here[same]
+            left, slot = left[~same], slot[~same] + np.uint64(1) & mask
+        return found
+
+    def add(self, keys: np.ndarray) -> None:
+        """Keys that are new and differ from each other."""
+        number = np.arange(len(self.keys), len(self.keys) + len(keys), dtype=np.int32)
+        self.keys = np.concatenate((self.keys, keys))
+        size = len(self.slots)
+        while size < 2 * len(self.keys):
+            size *= 2
+        if size > len(self.slots):
+            self.slots = np.full(size, -1, np.int32)
+            number = np.arange(len(self.keys), dtype=np.int32)
+        mask = np.uint64(size - 1)
+        slot = self.keys[number] & mask
+        while len(number):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = number[free]  # one of those that ask for a slot gets it
+            wait = self.slots[slot] != number
+            number, slot = number[wait], slot[wait] + np.uint64(1) & mask
+
+
 class Encoder:
     """Token ids of whole texts. Remembers the ids of pieces, by a hash of them."""
 
@@ -119,21 +161,30 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of a token
+        for token, number in vocabulary.items():
+            self.width[number] = len(token)  # a character stands for a byte
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
+        self.known = Numbers()
         self.flat = np.empty(0, np.uint32)  # ids of all known pieces
         self.stop = np.zeros(1, np.int64)  # where each piece's ids end, after a first 0
 
-    def learn(self, keys: list[int], texts: list[str]) -> None:
+    def learn(self, keys: np.ndarray, texts: list[str]) -> None:
         """Ids of strings that the pattern leaves whole."""
-        found = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
-        word = np.array(found.word_ids, np.int64)
-        stop = np.searchsorted(word, np.arange(1, len(texts) + 1)) + len(self.flat)
-        self.known.update(zip(keys, range(len(self.known), len(self.known) + len(keys)), strict=True))
-        self.flat = np.concatenate((self.flat, np.array(found.ids, np.uint32)))
-        self.stop = np.concatenate((self.stop, stop))
+        found = self.tokenizer.encode_batch_fast([texts], is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found[0].ids, np.uint32)
+        # Tokens hold all bytes of the strings, one string after the other.
+        told = np.cumsum(self.width[ids])
+        ends = np.cumsum([len(t.encode()) for t in texts])
+        stop = np.searchsorted(told, ends)
+        if told[-1] != ends[-1] or (told[stop] != ends).any():
+            raise ValueError("the vocabulary's tokens are not made of bytes")
+        self.known.add(keys)
+        self.stop = np.concatenate((self.stop, stop + 1 + len(self.flat)))
+        self.flat = np.concatenate((self.flat, ids))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and where each text's begin, with the end."""
@@ -145,24 +196,22 @@ class Encoder:
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         start = split(codes, offset[:-1][sizes > 0])
         end = np.append(start[1:], len(codes))
-        keys, first, back = np.unique(
-            run_hashes(codes, start, end), return_index=True, return_inverse=True
-        )
         if len(self.known) > CACHED:
             self.clear()
-        listed = keys.tolist()
-        new = [i for i, key in enumerate(listed) if key not in self.known]
-        if new:
-            strings = [joined[start[first[i]] : end[first[i]]] for i in new]
-            self.learn([listed[i] for i in new], strings)
-        spot = np.fromiter(map(self.known.__getitem__, listed), np.int64, len(listed))
+        keys = run_hashes(codes, start, end)
+        spot = self.known.find(keys)
+        new = np.flatnonzero(spot < 0)
+        if len(new):
+            first_number = len(self.known)
+            fresh, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            strings = [joined[start[i] : end[i]] for i in new[first]]
+            self.learn(fresh, strings)
+            spot[new] = first_number + back
         at = self.stop[spot]
-        length = self.stop[spot + 1] - at
-        counts = length[back]
+        counts = self.stop[spot + 1] - at
         ends = np.cumsum(counts)
         # The ids of every piece, one after the other.
-        within = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
-        ids = self.flat[np.repeat(at[back], counts) + within]
+        ids = self.flat[np.arange(ends[-1]) + np.repeat(at - ends + counts, counts)]
         piece = np.searchsorted(start, offset)
         return ids, np.concatenate(([0], ends))[piece]
 

@@ -104,3 +104,29 @@ def test_loss_tokens_limit_instruction_data(spark):
     assert all(
         sum(a for a, _ in h) <= 1000 and sum(b for _, b in h) <= 250 and len(h) <= 5 for h in held.values()
     )
+
+
+def test_numbers_of_keys():
+    rng = np.random.default_rng(1)
+    numbers, known = packing.Numbers(), {}
+    for n in (0, 1, 700, 5, 4000):
+        # Many keys ask for the same slots.
+        keys = np.unique(rng.integers(0, 50, n).astype(np.uint64) | rng.integers(0, 1 << 20, n).astype(np.uint64) << np.uint64(40))
+        assert numbers.find(keys).tolist() == [known.get(k, -1) for k in keys.tolist()]
+        new = keys[numbers.find(keys) < 0]
+        known |= {k: len(known) + i for i, k in enumerate(new.tolist())}
+        numbers.add(new)
+        assert len(numbers) == len(known)
+    assert numbers.find(np.array(list(known), np.uint64)).tolist() == list(known.values())
+
+
+def test_ids_do_not_depend_on_what_is_remembered(tokenizer, monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab cé 1'\n王") for _ in range(rng.randrange(60))) for _ in range(200)] + ["", "<|endoftext|> x"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for cached in (3, 1_000_000):
+        monkeypatch.setattr(packing, "CACHED", cached)
+        encoder = packing.Encoder(VOCABULARY)
+        for at in range(0, len(texts), 20):
+            ids, offset = encoder.encode(texts[at : at + 20])
+            assert [ids[a:b].tolist() for a, b in zip(offset[:-1], offset[1:], strict=True)] == want[at : at + 20]
